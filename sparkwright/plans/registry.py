@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import flights
+from . import flights, models
 
-_MODULES = [flights]
+_MODULES = [flights, models]
 
 
 def queries() -> dict:
