@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import flights, models
+from . import flights, models, text
 
-_MODULES = [flights, models]
+_MODULES = [flights, models, text]
 
 
 def queries() -> dict:
