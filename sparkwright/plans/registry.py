@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import flights, models, text
+from . import flights, models, search, text
 
-_MODULES = [flights, models, text]
+_MODULES = [flights, models, text, search]
 
 
 def queries() -> dict:
