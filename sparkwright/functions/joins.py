@@ -1,9 +1,18 @@
 """Joins whose broadcast side is size-checked first.
 
-A dimension-like side is broadcast only after an exact bound on its row count
-has been established (``limit(max_rows + 1).count()`` stops early).  Past the
-bound the join is left to a shuffle (sort-merge, with AQE skew splitting), and
-``salted_join`` spreads hot keys of the large side over several tasks.
+Two ways to check, chosen per call:
+
+* ``check="count"``: a dimension-like side (a labels table, say) is broadcast
+  only after an exact bound on its row count is established
+  (``limit(max_rows + 1).count()`` stops early).  Past the bound the join is a
+  shuffle join, salted over ``salts`` tasks per key when asked.
+* ``check="runtime"``: for a side that is itself the output of an aggregate
+  (a term dictionary), counting it first would run the whole upstream twice.
+  With adaptive execution on, a plain join is planned; AQE measures the
+  shuffled size of each side at run time and only then turns the join into a
+  broadcast (below ``spark.sql.adaptive.autoBroadcastJoinThreshold``), and
+  splits skewed partitions of a sort-merge join, so a hot key does not land on
+  one task.  With AQE off it falls back to the count check plus salting.
 """
 
 from __future__ import annotations
@@ -18,10 +27,19 @@ def small_enough(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def adaptive_on(df: DataFrame) -> bool:
+    conf = df.sparkSession.conf
+    return (conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+            and conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true")
+
+
 def checked_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                 max_rows: int = DEFAULT_BROADCAST_ROWS, salts: int | None = None) -> DataFrame:
-    """Broadcast ``small`` if it has at most ``max_rows`` rows, else shuffle-join
-    (salted over ``salts`` tasks per key when given)."""
+                 max_rows: int = DEFAULT_BROADCAST_ROWS, salts: int | None = None,
+                 check: str = "count") -> DataFrame:
+    """Broadcast ``small`` only behind a size check (see module doc), else
+    shuffle-join (salted over ``salts`` tasks per key when given)."""
+    if check == "runtime" and adaptive_on(big):
+        return big.join(small, on=on, how=how)
     if how in ("inner", "left", "left_outer", "left_semi", "left_anti") and small_enough(small, max_rows):
         return big.join(F.broadcast(small), on=on, how=how)
     if salts and isinstance(on, str) and how in ("inner", "left", "left_outer"):

@@ -16,6 +16,8 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 
+from ..functions.partitioning import persisted
+
 
 def decision_tree(**params) -> DecisionTreeClassifier:
     """M1. Defaults: depth 5, 32 bins, Gini."""
@@ -43,6 +45,8 @@ def random_forest(**params) -> RandomForestClassifier:
 
 
 def fit_and_score(estimator: Estimator, train: DataFrame, test: DataFrame) -> tuple[Model, DataFrame]:
-    """Fit on ``train`` only, then score ``test`` (a projection: no shuffle)."""
-    model = estimator.fit(train)
+    """Fit on ``train`` only (persisted for the fit's passes, released after),
+    then score ``test`` (a projection: no shuffle)."""
+    with persisted(train) as rows:
+        model = estimator.fit(rows)
     return model, model.transform(test)

@@ -63,15 +63,19 @@ def term_tfidf(df: DataFrame, id_col: str = "id", terms_col: str = "terms") -> D
 
     Plan: explode terms -> count per (id, term) -> document frequency per term
     (each (id, term) pair counts once; partial aggregation absorbs hot terms) ->
-    join back on term.  The dictionary side is broadcast only below a checked
-    row bound; above it the join is salted so a term held by most documents
-    does not land on one task.
+    join back on term.  The dictionary is broadcast only after its size is
+    checked at run time (AQE); past the threshold the sort-merge join's skewed
+    partitions are split, so a term held by most documents does not land on
+    one task (without AQE: a row-count check, then a salted join).
     """
-    pairs = (df.select(id_col, F.explode(terms_col).alias("term"))
+    # explode_outer + filter: a plain explode makes Catalyst infer size(terms) > 0
+    # and push it below upstream joins, running the tokenizer twice per document.
+    pairs = (df.select(id_col, F.explode_outer(terms_col).alias("term"))
+             .filter(F.col("term").isNotNull())
              .groupBy(id_col, "term").agg(F.count(F.lit(1)).cast("int").alias("tf")))
     n_docs = df.count()  # N counts every document row, as IDF does
     dictionary = pairs.groupBy("term").agg(F.count(F.lit(1)).cast("int").alias("doc_freq"))
     idf = F.ln((F.lit(n_docs) + 1.0) / (F.col("doc_freq") + 1.0))
-    joined = checked_join(pairs, dictionary, on="term", salts=32)
+    joined = checked_join(pairs, dictionary, on="term", salts=32, check="runtime")
     return joined.select(id_col, "term", "tf", "doc_freq", idf.alias("idf"),
                          (F.col("tf") * idf).alias("tfidf"))

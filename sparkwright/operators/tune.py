@@ -18,6 +18,8 @@ from pyspark.ml.feature import (IDF, HashingTF, OneHotEncoder, StopWordsRemover,
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
+
+from ..functions.partitioning import persisted
 from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, StringType,
                                StructField, StructType)
 
@@ -122,7 +124,8 @@ def cross_validate(estimator: Estimator, grid: list[dict], evaluator: Evaluator,
     Total fits = points x folds + 1 refit of the winner on all rows."""
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator,
                         numFolds=num_folds, foldCol=fold_col, parallelism=parallelism)
-    return cv.fit(df)
+    with persisted(df) as rows:
+        return cv.fit(rows)
 
 
 SEARCH_SCHEMA = StructType([StructField("point", IntegerType(), False),

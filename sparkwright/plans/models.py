@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from ..functions.partitioning import persisted
 from ..operators import evaluate, features, introspect, models, prep, tune
 from . import oracle as o
 from .common import KEY, one_row, p1, plain_bucket, r, split
@@ -79,7 +80,8 @@ def _km_model(spark, sf_dir, **params):
 def _km_org_model(spark, sf_dir):
     train, test = split(spark, sf_dir)
     pipe = tune.regression_stages("org", (), ("km",), "duration")
-    fitted = pipe.fit(train)
+    with persisted(train) as rows:
+        fitted = pipe.fit(rows)
     return fitted, fitted.transform(test), train
 
 
@@ -91,7 +93,8 @@ def _dummies_model(spark, sf_dir, extra_raw: tuple[str, ...], **params):
     raw = ("depart_bucket", *extra_raw)
     pipe = tune.regression_stages("org", raw, ("km",), "duration",
                                   regression=models.linear("duration", **params))
-    fitted = pipe.fit(train)
+    with persisted(train) as rows:
+        fitted = pipe.fit(rows)
     return fitted, train, test
 
 
@@ -172,13 +175,12 @@ def m9_elastic_net_km(spark, sf_dir):
     """Ridge, elastic net and lasso on km over the exercises' 4 x 3 grid: one
     pass per fit (normal equations, then a local solve on the driver)."""
     train, _ = split(spark, sf_dir)
-    train = features.assemble(train, ["km"]).select("features", "duration").cache()
     rows = []
-    for lam in REG_PARAMS:
-        for mix in MIX_PARAMS:
-            m = models.linear("duration", regParam=lam, elasticNetParam=mix).fit(train)
-            rows.append((lam, mix, float(m.intercept), float(m.coefficients[0])))
-    train.unpersist()
+    with persisted(features.assemble(train, ["km"]).select("features", "duration")) as fit_rows:
+        for lam in REG_PARAMS:
+            for mix in MIX_PARAMS:
+                m = models.linear("duration", regParam=lam, elasticNetParam=mix).fit(fit_rows)
+                rows.append((lam, mix, float(m.intercept), float(m.coefficients[0])))
     schema = StructType([StructField(c, DoubleType(), False)
                          for c in ("reg_param", "elastic_net", "intercept", "slope")])
     out = spark.createDataFrame(rows, schema)

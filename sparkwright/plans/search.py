@@ -14,18 +14,21 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvalu
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StringType, StructField, StructType
 
+from ..functions.partitioning import persisted
 from ..operators import evaluate, features, models, tune
 from . import oracle as o
 from .common import KEY, r, split, with_folds
 from .models import CLASS_FEATURES, _residual_cosines
 
-PARALLELISM = 8
+PARALLELISM = 4
 
 
 def _t1_fitted(spark, sf_dir):
     train, test = split(spark, sf_dir)
     pipe = tune.regression_stages("org", ("dow",), ("km",), "duration")
-    return pipe.fit(train), train, test
+    with persisted(train) as rows:
+        fitted = pipe.fit(rows)
+    return fitted, train, test
 
 
 def t1_regression_stages(spark, sf_dir):

@@ -14,6 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.partitioning import persisted, spread
 from ..operators import models, prep, text, tune
 from ..sources import views
 from . import oracle as o
@@ -23,7 +24,14 @@ SMS_KEY = "id"
 
 
 def _cleaned(spark, sf_dir) -> DataFrame:
-    return text.clean_text(views.sms(spark, sf_dir), "text")
+    return text.clean_text(spread(views.sms(spark, sf_dir)), "text")
+
+
+def _positions(df: DataFrame, col: str, name: str) -> DataFrame:
+    """(id, pos, token) rows; posexplode_outer + filter keeps Catalyst from
+    inferring a size filter below the labels join (which re-tokenizes)."""
+    return (df.select(SMS_KEY, F.posexplode_outer(col).alias("pos", name))
+            .filter(F.col("pos").isNotNull()))
 
 
 def _terms(spark, sf_dir) -> DataFrame:
@@ -38,11 +46,11 @@ def x1_clean_text(spark, sf_dir):
 
 def x4_tokens(spark, sf_dir):
     words = text.tokenize(_cleaned(spark, sf_dir), "text", "words")
-    return words.select(SMS_KEY, F.posexplode("words").alias("pos", "token"))
+    return _positions(words, "words", "token")
 
 
 def x5_terms(spark, sf_dir):
-    return _terms(spark, sf_dir).select(SMS_KEY, F.posexplode("terms").alias("pos", "term"))
+    return _positions(_terms(spark, sf_dir), "terms", "term")
 
 
 def x6_hashed_counts(spark, sf_dir):
@@ -82,34 +90,34 @@ def m3_logistic_tfidf(spark, sf_dir):
     """Spam model: 1024 hashed terms, IDF fitted on training rows, L2 logistic (regParam 0.2)."""
     hashed = text.hash_terms(_terms(spark, sf_dir), "terms", "hash", num_features=1024)
     train, test = _sms_split(hashed)
-    idf = IDF(inputCol="hash", outputCol="features").fit(train)
-    _, pred = models.fit_and_score(models.logistic(regParam=0.2), idf.transform(train), idf.transform(test))
+    with persisted(train) as rows:
+        idf = IDF(inputCol="hash", outputCol="features").fit(rows)
+        _, pred = models.fit_and_score(models.logistic(regParam=0.2), idf.transform(rows), idf.transform(test))
     return pred.select(SMS_KEY, "label", "prediction")
 
 
 def t2_text_stages(spark, sf_dir):
     train, test = _sms_split(_cleaned(spark, sf_dir))
-    fitted = tune.text_stages("text").fit(train)
+    with persisted(train) as rows:
+        fitted = tune.text_stages("text").fit(rows)
     return fitted.transform(test).select(SMS_KEY, "label", "prediction")
 
 
-def t9_grid_text(spark, sf_dir, num_folds: int = 5, parallelism: int = 8):
+def t9_grid_text(spark, sf_dir, num_folds: int = 5, parallelism: int = 4):
     """72-point search over hashing and logistic settings, 5 folds (360 fits + 1).
 
     Tokens and stop words are computed once and cached; hashing (its size and
     binary flag are searched), IDF and the classifier are refitted per fold."""
     terms = _terms(spark, sf_dir)
     train, _ = _sms_split(terms)
-    train = with_folds(train.select(SMS_KEY, "terms", "label"), num_folds, SMS_KEY).persist()
+    train = with_folds(train.select(SMS_KEY, "terms", "label"), num_folds, SMS_KEY)
     hasher = HashingTF(inputCol="terms", outputCol="hash")
     logistic = models.logistic()
     pipe = Pipeline(stages=[hasher, IDF(inputCol="hash", outputCol="features"), logistic])
     grid = tune.text_grid(hasher, logistic)
     cv = tune.cross_validate(pipe, grid, BinaryClassificationEvaluator(numBins=0), train,
                              num_folds, "fold", parallelism)
-    out = tune.search_table(spark, cv).withColumn("metric", r("metric"))
-    train.unpersist()
-    return out
+    return tune.search_table(spark, cv).withColumn("metric", r("metric"))
 
 
 QUERIES = {

@@ -8,7 +8,9 @@ Two reading styles, as in the reference exercises:
 * ``sms``: semicolon separated, no header, declared schema.
 
 Malformed input follows Spark's PERMISSIVE mode: a short row pads with nulls
-and a value that does not parse as the declared type becomes null.
+and a value that does not parse as the declared type becomes null.  The sms
+reader keeps Spark's default null token (the empty string), as the exercises
+do, so an empty text reads back as null.
 """
 
 from __future__ import annotations
