@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.joins import checked_join
+from ..session import shared_root
 
 # The cleaning patterns of the exercises.
 PUNCTUATION = r"[_():;,.!?\-]"
@@ -61,9 +62,9 @@ def fit_idf(df: DataFrame, col: str = "hash", output_col: str = "features",
 def term_tfidf(df: DataFrame, id_col: str = "id", terms_col: str = "terms") -> DataFrame:
     """X8 per term, no hashing: rows ``(id, term, tf, doc_freq, idf, tfidf)``.
 
-    Plan: explode terms -> count per (id, term) -> document frequency per term
-    (each (id, term) pair counts once; partial aggregation absorbs hot terms) ->
-    join back on term.  The dictionary is broadcast only after its size is
+    Plan: explode terms -> count per (id, term) (checkpointed once) ->
+    document frequency per term (each pair counts once; partial aggregation
+    absorbs hot terms) -> join back on term.  The dictionary is broadcast only after its size is
     checked at run time (AQE); past the threshold the sort-merge join's skewed
     partitions are split, so a term held by most documents does not land on
     one task (without AQE: a row-count check, then a salted join).
@@ -73,6 +74,11 @@ def term_tfidf(df: DataFrame, id_col: str = "id", terms_col: str = "terms") -> D
     pairs = (df.select(id_col, F.explode_outer(terms_col).alias("term"))
              .filter(F.col("term").isNotNull())
              .groupBy(id_col, "term").agg(F.count(F.lit(1)).cast("int").alias("tf")))
+    # Both join sides read the pairs: write them once to the shared checkpoint
+    # folder (also cuts the tokenizing lineage, so a lost executor does not
+    # re-tokenize whole texts) instead of tokenizing twice.
+    shared_root(df.sparkSession)
+    pairs = pairs.checkpoint(eager=True)
     n_docs = df.count()  # N counts every document row, as IDF does
     dictionary = pairs.groupBy("term").agg(F.count(F.lit(1)).cast("int").alias("doc_freq"))
     idf = F.ln((F.lit(n_docs) + 1.0) / (F.col("doc_freq") + 1.0))
