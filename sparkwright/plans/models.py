@@ -476,6 +476,17 @@ ORACLE = {
                round(sqrt(avg(pow(t.duration - (o.a + o.b * t.km), 2))), 6) AS value FROM test t, ols o
         UNION ALL
         SELECT 'km_org', 'rmse', round(sqrt(avg(pow(duration - prediction, 2))), 6) FROM fwl_test"""),
+    "i7_stage_params": """
+        SELECT CAST(stage AS INTEGER) AS stage, stage_class, param, value FROM (VALUES
+          (0, 'StringIndexerModel', 'inputCol', 'org'),
+          (0, 'StringIndexerModel', 'outputCol', 'org_idx'),
+          (0, 'StringIndexerModel', 'handleInvalid', 'error'),
+          (1, 'OneHotEncoderModel', 'inputCols', '[org_idx]'),
+          (1, 'OneHotEncoderModel', 'outputCols', '[org_dummy]'),
+          (1, 'OneHotEncoderModel', 'handleInvalid', 'error'),
+          (2, 'VectorAssembler', 'inputCols', '[km, org_dummy]'),
+          (2, 'VectorAssembler', 'outputCol', 'features'),
+          (3, 'LinearRegressionModel', 'labelCol', 'duration')) AS t(stage, stage_class, param, value)""",
     "e4_compare_auc": o.with_sql(_STUMP, f"""
         SELECT 'tree' AS model, 'auc' AS metric, round({_auc('stump', 'pos')}, 6) AS value
         UNION ALL SELECT 'gbt', 'auc', round({_auc('stump', '2 * p - 1')}, 6)

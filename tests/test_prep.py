@@ -42,3 +42,28 @@ def test_train_test_partition_rows(spark):
 def test_distinct_sorted(flights_fixture):
     rows = prep.distinct_sorted(flights_fixture, ["carrier"], ["carrier"]).collect()
     assert [r.carrier for r in rows] == ["AA", "UA", "US"]
+
+
+def test_training_frame_sizes_partitions_by_rows(spark):
+    from sparkwright.functions.partitioning import spread, training_frame
+    tiny = training_frame(spark.range(0, 500, numPartitions=8))
+    assert tiny.rdd.getNumPartitions() == 1 and tiny.count() == 500
+    par = spark.sparkContext.defaultParallelism
+    wide = training_frame(spark.range(0, 10_000 * par, numPartitions=1))
+    assert wide.rdd.getNumPartitions() == par
+    big = training_frame(spark.range(0, 10_000 * par, numPartitions=2 * par))
+    assert big.rdd.getNumPartitions() == 2 * par            # already wide: left alone
+    assert spread(spark.range(10, numPartitions=2 * par)).rdd.getNumPartitions() == 2 * par
+    for d in (tiny, wide, big):
+        d.unpersist()
+
+
+def test_checked_join_broadcasts_only_below_bound(spark):
+    from sparkwright.functions.joins import checked_join, small_enough
+    big = spark.range(0, 1000).withColumnRenamed("id", "k")
+    small = spark.range(0, 10).withColumnRenamed("id", "k")
+    assert small_enough(small, 10) and not small_enough(small, 9)
+    hinted = checked_join(big, small, "k", max_rows=10)._jdf.queryExecution().logical().toString()
+    unhinted = checked_join(big, small, "k", max_rows=9)._jdf.queryExecution().logical().toString()
+    assert "broadcast" in hinted.lower() and "broadcast" not in unhinted.lower()
+    assert checked_join(big, small, "k", max_rows=9).count() == 10
