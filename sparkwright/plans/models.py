@@ -303,6 +303,16 @@ def e4_compare_auc(spark, sf_dir):
     return evaluate.metric_table(spark, rows).withColumn("value", r("value"))
 
 
+def e4_compare_auc_default(spark, sf_dir):
+    """Default tree vs default boosted trees on (mon, depart, duration), scored
+    on the same test rows by exact AUC of their raw predictions."""
+    rows = []
+    for name, est in (("tree", models.decision_tree()), ("gbt", models.boosted_trees())):
+        _, pred = _class_scored(spark, sf_dir, est)
+        rows.append((name, "auc", evaluate.area_under_roc(pred)))
+    return evaluate.metric_table(spark, rows).withColumn("value", r("value"))
+
+
 QUERIES = {
     "m1_tree_stump": m1_tree_stump,
     "m1_tree_default": m1_tree_default,
@@ -332,6 +342,7 @@ QUERIES = {
     "e2_auc": e2_auc,
     "e3_rmse": e3_rmse,
     "e4_compare_auc": e4_compare_auc,
+    "e4_compare_auc_default": e4_compare_auc_default,
 }
 
 # ---- oracle ------------------------------------------------------------------------------
