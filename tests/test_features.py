@@ -1,5 +1,4 @@
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
 
 from sparkwright.functions.vectors import feature_names, one_hot_slot, vector_width
 from sparkwright.operators import features

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from sparkwright.operators import prep
 from sparkwright.sources import views
 from conftest import SF_SMALL

@@ -2,7 +2,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import HashingTF
 
-from sparkwright.operators import features, models, tune
+from sparkwright.operators import models, tune
 from sparkwright.plans import common
 from conftest import SF_SMALL
 
@@ -52,4 +52,3 @@ def test_text_stages_wiring():
     assert [s.getInputCol() for s in stages[1:4]] == [stages[0].getOutputCol(), stages[1].getOutputCol(),
                                                       stages[2].getOutputCol()]
     assert isinstance(stages[-1], LogisticRegression)
-    assert features is not None
