@@ -84,3 +84,50 @@ termed AS (
   SELECT id, label, words,
     list_filter(words, lambda w: NOT list_contains({STOP_LIST}, w)) AS terms
   FROM tokenized)"""
+
+
+# Spark's HashingTF slot of a term, in SQL: MurmurHash3 x86 32-bit over the
+# term's UTF-8 bytes with seed 42 (4-byte little-endian blocks, then the tail,
+# then the finaliser), taken mod the (power-of-two) feature count.  Unsigned
+# 64-bit arithmetic holds every 32-bit product; each step masks to 32 bits.
+_M32 = "4294967295"
+
+
+def _rotl(x: str, r: int) -> str:
+    return f"((({x}) << {r}) | (({x}) >> {32 - r})) & {_M32}"
+
+
+def _mix_k1(k: str) -> str:
+    step = f"((({k}) * 3432918353) & {_M32})"
+    return f"((({_rotl(step, 15)}) * 461845907) & {_M32})"
+
+
+def _mix_h1(h: str, k: str) -> str:
+    return f"((({_rotl(f'xor({h}, {k})', 13)}) * 5 + 3864292196) & {_M32})"
+
+
+def term_slots(vocab_cte: str, num_features: int) -> str:
+    """CTEs ``mm_*`` ending in ``mm_slot(term, slot)`` for every term of ``vocab_cte(term)``."""
+    return f"""
+mm_bytes AS (
+  SELECT term, octet_length(encode(term)) AS n,
+         list_transform(range(0, octet_length(encode(term))),
+                        lambda i: CAST(('0x' || substr(hex(encode(term)), 2 * i + 1, 2)) AS UBIGINT)) AS b
+  FROM {vocab_cte}),
+mm_blocks AS (
+  SELECT term, n, b,
+         list_transform(range(0, n // 4),
+                        lambda j: b[4 * j + 1] | (b[4 * j + 2] << 8) | (b[4 * j + 3] << 16) | (b[4 * j + 4] << 24)) AS blocks
+  FROM mm_bytes),
+mm_body AS (
+  SELECT term, n, b,
+         list_reduce(blocks, lambda h, k: {_mix_h1('h', _mix_k1('k'))}, CAST(42 AS UBIGINT)) AS h
+  FROM mm_blocks),
+mm_tail AS (
+  SELECT term, n,
+         xor(h, {_mix_k1("list_reduce(list_transform(range(0, n % 4), lambda i: b[(n // 4) * 4 + i + 1] << (8 * i)), lambda a, c: a | c, CAST(0 AS UBIGINT))")}) AS h
+  FROM mm_body),
+mm_f1 AS (SELECT term, xor(h, CAST(n AS UBIGINT)) AS h FROM mm_tail),
+mm_f2 AS (SELECT term, (xor(h, h >> 16) * 2246822507) & {_M32} AS h FROM mm_f1),
+mm_f3 AS (SELECT term, (xor(h, h >> 13) * 3266489909) & {_M32} AS h FROM mm_f2),
+mm_slot AS (SELECT term, CAST(xor(h, h >> 16) % {num_features} AS INTEGER) AS slot FROM mm_f3)"""

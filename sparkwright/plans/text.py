@@ -53,18 +53,22 @@ def x5_terms(spark, sf_dir):
     return _positions(_terms(spark, sf_dir), "terms", "term")
 
 
+def _slots(df: DataFrame, col: str, name: str) -> DataFrame:
+    """Non-zero slots of a vector column as ``(id, slot, name)`` rows."""
+    return (df.select(SMS_KEY, F.posexplode(vector_to_array(F.col(col))).alias("slot", name))
+            .filter(F.col(name) != 0))
+
+
 def x6_hashed_counts(spark, sf_dir):
-    """Hashed counts conserve the term count (collisions add up, nothing is lost)."""
+    """Hashed term counts (1024 slots): ``(id, slot, count)``; colliding terms add up."""
     hashed = text.hash_terms(_terms(spark, sf_dir), "terms", "hash", num_features=1024)
-    total = F.aggregate(vector_to_array(F.col("hash")), F.lit(0.0), lambda acc, x: acc + x)
-    return hashed.select(SMS_KEY, F.size("terms").alias("n_terms"), total.alias("hashed_total"))
+    return _slots(hashed, "hash", "count")
 
 
 def x7_hashed_presence(spark, sf_dir):
     """Binary hashing: every set slot is exactly 1."""
     hashed = text.hash_terms(_terms(spark, sf_dir), "terms", "hash", num_features=1024, binary=True)
-    values = vector_to_array(F.col("hash"))
-    return hashed.select(SMS_KEY, F.coalesce(F.array_max(values), F.lit(0.0)).alias("max_value"))
+    return _slots(hashed, "hash", "value")
 
 
 def x8_tfidf_terms(spark, sf_dir):
@@ -74,12 +78,10 @@ def x8_tfidf_terms(spark, sf_dir):
 
 
 def x8_idf_hashed(spark, sf_dir):
-    """IDF over hashed counts (the ML stage), summarised per document."""
+    """The IDF stage on hashed counts (1024 slots): ``(id, slot, weight)``."""
     hashed = text.hash_terms(_terms(spark, sf_dir), "terms", "hash", num_features=1024)
     _, weighted = text.fit_idf(hashed, "hash", "features")
-    values = vector_to_array(F.col("features"))
-    return weighted.select(SMS_KEY, F.size(F.filter(values, lambda x: x != 0)).alias("n_slots"),
-                           r(F.aggregate(values, F.lit(0.0), lambda a, x: a + x)).alias("weight_sum"))
+    return _slots(weighted, "features", "weight").withColumn("weight", r("weight"))
 
 
 def _sms_split(df: DataFrame):
@@ -133,6 +135,11 @@ QUERIES = {
     "t9_grid_text": t9_grid_text,
 }
 
+_HASHED = o.TERMS + """,
+vocab AS (SELECT DISTINCT unnest(terms) AS term FROM termed),""" + o.term_slots("vocab", 1024) + """,
+doc_terms AS (SELECT t.id, m.slot FROM (SELECT id, unnest(terms) AS term FROM termed) t
+              JOIN mm_slot m ON t.term = m.term)"""
+
 ORACLE = {
     "x1_clean_text": o.with_sql(o.CLEANED, "SELECT id, text FROM cleaned"),
     "x4_tokens": o.with_sql(o.TOKENS, """
@@ -141,11 +148,16 @@ ORACLE = {
     "x5_terms": o.with_sql(o.TERMS, """
         SELECT id, CAST(generate_subscripts(terms, 1) - 1 AS INTEGER) AS pos, unnest(terms) AS term
         FROM termed"""),
-    "x6_hashed_counts": o.with_sql(o.TERMS, """
-        SELECT id, CAST(len(terms) AS INTEGER) AS n_terms, CAST(len(terms) AS DOUBLE) AS hashed_total FROM termed"""),
-    "x7_hashed_presence": o.with_sql(o.TERMS, """
-        SELECT id, CASE WHEN len(terms) > 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS max_value
-        FROM termed"""),
+    "x6_hashed_counts": o.with_sql(_HASHED, """
+        SELECT id, slot, CAST(count(*) AS DOUBLE) AS count FROM doc_terms GROUP BY id, slot"""),
+    "x7_hashed_presence": o.with_sql(_HASHED, """
+        SELECT DISTINCT id, slot, CAST(1 AS DOUBLE) AS value FROM doc_terms"""),
+    "x8_idf_hashed": o.with_sql(_HASHED + """,
+        tf AS (SELECT id, slot, count(*) AS tf FROM doc_terms GROUP BY id, slot),
+        dfs AS (SELECT slot, count(*) AS df FROM tf GROUP BY slot),
+        nd AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM termed)""", """
+        SELECT tf.id, tf.slot, round(tf.tf * ln(((SELECT n FROM nd) + 1) / (dfs.df + 1)), 6) AS weight
+        FROM tf JOIN dfs ON tf.slot = dfs.slot"""),
     "x8_tfidf_terms": o.with_sql(o.TERMS + """,
         pairs AS (SELECT id, term, CAST(count(*) AS INTEGER) AS tf
                   FROM (SELECT id, unnest(terms) AS term FROM termed) GROUP BY id, term),
