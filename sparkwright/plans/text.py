@@ -54,8 +54,9 @@ def x5_terms(spark, sf_dir):
 
 
 def _slots(df: DataFrame, col: str, name: str) -> DataFrame:
-    """Non-zero slots of a vector column as ``(id, slot, name)`` rows."""
-    return (df.select(SMS_KEY, F.posexplode(vector_to_array(F.col(col))).alias("slot", name))
+    """Non-zero slots of a vector column as ``(id, slot, name)`` rows (outer
+    explode for the same reason as ``_positions``; the filter drops its nulls)."""
+    return (df.select(SMS_KEY, F.posexplode_outer(vector_to_array(F.col(col))).alias("slot", name))
             .filter(F.col(name) != 0))
 
 

@@ -74,3 +74,17 @@ def test_salted_join_equals_plain_join(sms_fixture):
     plain = sorted(tuple(r) for r in pairs.join(d, "term").select("id", "term", "tf", "doc_freq").collect())
     salted = checked_join(pairs, d, on="term", max_rows=0, salts=8)   # bound 0: never broadcast
     assert sorted(tuple(r) for r in salted.select("id", "term", "tf", "doc_freq").collect()) == plain
+
+
+def test_sql_murmur3_slot_matches_hashing_tf(spark):
+    import duckdb
+
+    from sparkwright.plans import oracle as o
+    words = ["", "a", "ab", "abc", "abcd", "abcde", "prize", "straße", "été", "naïve", "日本語", "😀x", "don't"]
+    values = ", ".join("('" + w.replace("'", "''") + "')" for w in words)
+    for n in (1024, 1 << 18):
+        sql = o.with_sql(f"vocab AS (SELECT * FROM (VALUES {values}) AS v(term))," + o.term_slots("vocab", n),
+                         "SELECT term, slot FROM mm_slot")
+        got = dict(duckdb.sql(sql).fetchall())
+        hasher = HashingTF(numFeatures=n)
+        assert got == {w: hasher.indexOf(w) for w in words}
