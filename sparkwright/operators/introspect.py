@@ -53,6 +53,22 @@ def level_effects(spark: SparkSession, model, names: list[str], prefix: str,
         [(lvl, base + by_name.get(f"{prefix}{lvl}", 0.0)) for lvl in levels], schema)
 
 
+def level_effects_2(spark: SparkSession, model, names: list[str],
+                    first: tuple[str, str, list[str]], second: tuple[str, str, list[str]]) -> DataFrame:
+    """I3 for two one-hot factors: intercept + dummy of each factor's level, for
+    every level pair (a dropped level contributes 0).  ``first`` / ``second``
+    are ``(output column, dummy name prefix, levels)``; rows = levels x levels,
+    bounded by the model, never by the data."""
+    by_name = dict(zip(names, (float(b) for b in model.coefficients.toArray())))
+    base = float(model.intercept)
+    (col_a, prefix_a, levels_a), (col_b, prefix_b, levels_b) = first, second
+    rows = [(a, b, base + by_name.get(f"{prefix_a}{a}", 0.0) + by_name.get(f"{prefix_b}{b}", 0.0))
+            for a in levels_a for b in levels_b]
+    schema = StructType([StructField(col_a, StringType(), False), StructField(col_b, StringType(), False),
+                         StructField("effect", DoubleType(), False)])
+    return spark.createDataFrame(rows, schema)
+
+
 def zero_count(spark: SparkSession, model) -> DataFrame:
     """I4. Number of coefficients that are exactly zero."""
     coefs = [float(b) for b in model.coefficients.toArray()]

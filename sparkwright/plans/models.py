@@ -236,6 +236,19 @@ def i3_level_effects(spark, sf_dir):
     return out.withColumn("effect", r("effect"))
 
 
+def i3_level_effects_depart(spark, sf_dir):
+    """Ground minutes by origin and departure bucket from the km + origin +
+    departure model (intercept + both dummies, looked up by name)."""
+    fitted, train, _ = _dummies_model(spark, sf_dir, ())
+    names = introspect.names_for(fitted.transform(train.limit(0)))
+    orgs = list(fitted.stages[0].labelsArray[0])
+    buckets = list(train.schema["depart_bucket"].metadata["ml_attr"]["vals"])
+    out = introspect.level_effects_2(spark, fitted.stages[-1], names,
+                                     ("org", "org_dummy_", orgs),
+                                     ("depart", "depart_bucket_dummy_", buckets))
+    return out.withColumn("effect", r("effect"))
+
+
 def i4_zero_coefficients(spark, sf_dir):
     fitted, _, _ = _dummies_model(spark, sf_dir, ("dow", "mon"), regParam=1.0, elasticNetParam=1.0)
     return introspect.zero_count(spark, fitted.stages[-1])
@@ -331,6 +344,7 @@ QUERIES = {
     "i1_coefficients": i1_coefficients,
     "i2_speed": i2_speed,
     "i3_level_effects": i3_level_effects,
+    "i3_level_effects_depart": i3_level_effects_depart,
     "i4_zero_coefficients": i4_zero_coefficients,
     "i5_tree_count": i5_tree_count,
     "i6_feature_importance": i6_feature_importance,

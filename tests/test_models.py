@@ -105,3 +105,18 @@ def test_inspection_tables(spark):
     assert [r.term for r in table] == ["intercept", "km"]
     params = introspect.stage_params(spark, lasso).collect()
     assert {(r.param, r.value) for r in params} >= {("regParam", "1000.0"), ("elasticNetParam", "1.0")}
+
+
+def test_two_factor_effects_reconstruct_predictions(spark):
+    """intercept + origin dummy + bucket dummy + slope * km == the model's prediction."""
+
+    from sparkwright.plans import models as pm
+    fitted, train, _ = pm._dummies_model(spark, SF_SMALL, ())
+    effects = {(r.org, r.depart): r.effect for r in pm.i3_level_effects_depart(spark, SF_SMALL).collect()}
+    vals = train.schema["depart_bucket"].metadata["ml_attr"]["vals"]
+    slope = fitted.stages[-1].coefficients[0]
+    scored = fitted.transform(train).select("org", "depart_bucket", "km", "prediction").limit(50).collect()
+    for row in scored:
+        expect = effects[(row.org, vals[int(row.depart_bucket)])] + slope * row.km
+        assert abs(expect - row.prediction) < 1e-4
+    assert len(effects) == len(fitted.stages[0].labelsArray[0]) * len(vals)
