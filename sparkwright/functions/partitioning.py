@@ -25,7 +25,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df
 
 
-ROWS_PER_TASK = 10_000
+ROWS_PER_TASK = 25_000
 
 
 def training_frame(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:

@@ -43,13 +43,13 @@ def test_distinct_sorted(flights_fixture):
 
 
 def test_training_frame_sizes_partitions_by_rows(spark):
-    from sparkwright.functions.partitioning import spread, training_frame
+    from sparkwright.functions.partitioning import ROWS_PER_TASK, spread, training_frame
     tiny = training_frame(spark.range(0, 500, numPartitions=8))
     assert tiny.rdd.getNumPartitions() == 1 and tiny.count() == 500
     par = spark.sparkContext.defaultParallelism
-    wide = training_frame(spark.range(0, 10_000 * par, numPartitions=1))
+    wide = training_frame(spark.range(0, ROWS_PER_TASK * par, numPartitions=1))
     assert wide.rdd.getNumPartitions() == par
-    big = training_frame(spark.range(0, 10_000 * par, numPartitions=2 * par))
+    big = training_frame(spark.range(0, ROWS_PER_TASK * par, numPartitions=2 * par))
     assert big.rdd.getNumPartitions() == 2 * par            # already wide: left alone
     assert spread(spark.range(10, numPartitions=2 * par)).rdd.getNumPartitions() == 2 * par
     for d in (tiny, wide, big):
