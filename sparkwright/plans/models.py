@@ -468,6 +468,11 @@ ORACLE = {
         SELECT 'km_only' AS model, round(b, 6) AS minutes_per_km, round(60 / b, 4) AS km_per_hour FROM ols
         UNION ALL SELECT 'km_org', round(slope, 6), round(60 / slope, 4) FROM s"""),
     "i3_level_effects": o.with_sql(_FWL, "SELECT org AS level, round(effect, 6) AS effect FROM lvl"),
+    "i3_level_effects_depart": o.with_sql(
+        o.SPLIT + "," + o.two_factor_fit("train", "org", "least(floor(depart / 3), 7) + 1", 8), """
+        SELECT l.lvl AS org, printf('%.1f, %.1f', 3.0 * (k - 1), 3.0 * k) AS depart,
+               round(fit.a + fit.f[l.fi] + fit.g[k], 6) AS effect
+        FROM flv l, fit, range(1, 9) AS r(k)""", recursive=True),
     "a1_confusion_matrix": o.with_sql(_STUMP, """
         SELECT label, tree_prediction AS prediction, count(*) AS count FROM stump GROUP BY 1, 2"""),
     "a2_confusion_cells": o.with_sql(_STUMP + """,

@@ -164,6 +164,9 @@ SELECT CAST(0 AS INTEGER) AS point, '' AS params, round(avg(rmse), 6) AS metric,
 ORACLE = {
     "t1_regression_stages": o.with_sql(_T1_SLOTS, """
         SELECT slot, n_nonzero, CAST(0 AS DOUBLE) AS cos_residual FROM slots"""),
+    "t1_regression_scored": o.with_sql(o.SPLIT + "," + o.two_factor_fit("train", "org", "dow + 1", 7), """
+        SELECT t.event_id, round(fit.a + fit.b * t.km + fit.f[l.fi] + fit.g[t.dow + 1], 4) AS prediction
+        FROM test t JOIN flv l ON t.org = l.lvl, fit""", recursive=True),
     "t6_cv_linear_km": o.with_sql(_CV_KM, _ONE_POINT),
     "t7_cv_regression_stages": o.with_sql(_CV_ORG, _ONE_POINT),
 }
