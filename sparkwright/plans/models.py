@@ -7,6 +7,8 @@ features) are checked by row count here and by invariants in tests.
 * least squares on km + origin: within-origin (Frisch-Waugh-Lovell) slope and
   per-origin means;
 * many-dummy least squares: residuals orthogonal to every feature column;
+* km + two crossed factors (level effects): the same least squares fitted in
+  SQL by cyclic block updates (``oracle.two_factor_fit``);
 * one-predictor lasso / ridge / elastic net: soft-threshold formula in
   standardized units with the penalty scaled by the label's population std;
 * single-split tree, boosted stump, one-tree forest without bootstrap on the

@@ -3,6 +3,8 @@
 Folds are a key hash of ``event_id`` (``fold`` column), so every search is
 reproducible and has, where the model has a closed form, a SQL oracle:
 
+* T1: residuals orthogonal to every column, and test predictions from the
+  same least squares fitted in SQL by cyclic block updates;
 * T4/T6: plain 5-fold CV of least squares on km, via per-fold sums;
 * T7: 3-fold CV of the km + origin pipeline, via per-fold, per-origin sums
   (every fitted stage, the indexer included, is refitted inside each fold).
