@@ -55,8 +55,9 @@ def one_hot_sizes(model: OneHotEncoderModel, input_cols: list[str]) -> DataFrame
 
 def bucketize(df: DataFrame, input_col: str, output_col: str, splits: list[float] | None = None,
               handle_invalid: str = "error") -> DataFrame:
-    """F5. Left-closed buckets, the last closed at both ends; values outside the
-    splits raise (or go to an extra bucket with ``keep``)."""
+    """F5. Left-closed buckets, the last closed at both ends.  Values outside
+    the splits always raise; NaN raises, or goes to an extra bucket with
+    ``handle_invalid='keep'``; null stays null."""
     return Bucketizer(splits=splits or DEPART_SPLITS, inputCol=input_col, outputCol=output_col,
                       handleInvalid=handle_invalid).transform(df)
 

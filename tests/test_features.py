@@ -35,3 +35,35 @@ def test_assemble_names_and_values(flights_fixture):
     assert feature_names(df) == ["depart", "org_dummy_ORD", "org_dummy_JFK"]
     first = df.select(vector_to_array("features").alias("a")).first().a
     assert first == [9.48, 0.0, 1.0]
+
+
+def test_unseen_category_raises_by_default_and_keep_adds_a_level(spark):
+    import pytest
+    train = spark.createDataFrame([("ORD",), ("ORD",), ("SFO",)], "org string")
+    test = spark.createDataFrame([("ORD",), ("XYZ",)], "org string")
+    model, _ = features.index_categories(train, ["org"], ["org_idx"])
+    with pytest.raises(Exception):
+        model.transform(test).collect()
+    keep, _ = features.index_categories(train, ["org"], ["org_idx"], handle_invalid="keep")
+    assert [r.org_idx for r in keep.transform(test).orderBy("org").collect()] == [0.0, 2.0]
+
+
+def test_bucket_range_and_nulls(spark):
+    import pytest
+    df = spark.createDataFrame([(0.0,), (23.99,), (24.0,), (None,)], "depart double")
+    got = [r.depart_bucket for r in features.bucketize(df, "depart", "depart_bucket").collect()]
+    assert got == [0.0, 7.0, 7.0, None]               # last bucket closed at both ends; null stays null
+    for hi in ("error", "keep"):                       # outside the splits: always an error
+        with pytest.raises(Exception):
+            features.bucketize(spark.createDataFrame([(25.0,)], "depart double"), "depart", "b",
+                               handle_invalid=hi).collect()
+    nan = spark.createDataFrame([(float("nan"),)], "depart double")
+    assert features.bucketize(nan, "depart", "b", handle_invalid="keep").first().b == 8.0
+
+
+def test_null_into_assembler_raises_unless_skipped(spark):
+    import pytest
+    df = spark.createDataFrame([(1.0, 2.0), (None, 3.0)], "a double, b double")
+    with pytest.raises(Exception):
+        features.assemble(df, ["a", "b"]).collect()
+    assert features.assemble(df, ["a", "b"], handle_invalid="skip").count() == 1

@@ -120,3 +120,12 @@ def test_two_factor_effects_reconstruct_predictions(spark):
         expect = effects[(row.org, vals[int(row.depart_bucket)])] + slope * row.km
         assert abs(expect - row.prediction) < 1e-4
     assert len(effects) == len(fitted.stages[0].labelsArray[0]) * len(vals)
+
+
+def test_tree_merges_leaves_of_equal_class(spark):
+    """A single tree prunes a split whose two leaves predict the same class."""
+    from pyspark.ml.linalg import Vectors
+    rows = [(Vectors.dense([float(x)]), 0.0) for x in range(20)] + [(Vectors.dense([30.0]), 1.0)] * 2
+    df = spark.createDataFrame(rows, ["features", "label"])
+    m = models.decision_tree(maxDepth=3).fit(df)
+    assert m.depth <= 1

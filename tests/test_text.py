@@ -88,3 +88,11 @@ def test_sql_murmur3_slot_matches_hashing_tf(spark):
         got = dict(duckdb.sql(sql).fetchall())
         hasher = HashingTF(numFeatures=n)
         assert got == {w: hasher.indexOf(w) for w in words}
+
+
+def test_null_text_must_be_filtered_before_tokenizing(spark):
+    import pytest
+    df = spark.createDataFrame([(1, None), (2, "Hi there")], "id int, text string")
+    with pytest.raises(Exception):
+        text.tokenize(df).collect()
+    assert text.tokenize(df.filter("text IS NOT NULL")).first().words == ["hi", "there"]
