@@ -29,7 +29,9 @@ def _flights_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def s1_csv_inferred(spark, sf_dir):
     """CSV with header, ``NA`` nulls, inferred types, read back from a file
-    Spark wrote from the flights view."""
+    Spark wrote from the flights view.  The write is only there because the
+    shared tables are parquet; a user points ``read_flights_csv`` at their
+    files.  Inference costs one extra pass over the files."""
     df = _flights_csv_inferred(spark, sf_dir)
     return df.withColumn("event_id", F.col("event_id").cast("bigint"))
 
