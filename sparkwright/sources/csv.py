@@ -1,6 +1,6 @@
 """Delimited-file scans (S1, S2) and the writers used to make CSV from the test tables.
 
-Two reading styles, as in the reference exercises:
+Two reading styles, as in the exercises:
 
 * ``flights``: comma separated, header row, ``NA`` as the null token, types
   either inferred (one extra pass over the files) or declared (no extra pass;
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (DoubleType, IntegerType, StringType, StructField,
                                StructType)
 
-# Types the reference's flights file is inferred to have (column order as in the file).
+# Types the exercises' flights file is inferred to have (column order as in the file).
 FLIGHTS_SCHEMA = StructType([
     StructField("mon", IntegerType()),
     StructField("dom", IntegerType()),

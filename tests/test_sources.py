@@ -5,7 +5,7 @@ from sparkwright.sources import (FLIGHTS_SCHEMA, SMS_SCHEMA, preview, read_fligh
 from sparkwright.session import scratch_path
 
 
-def test_inferred_types_match_reference_dtypes(flights_fixture):
+def test_inferred_types_match_the_exercises_dtypes(flights_fixture):
     assert flights_fixture.dtypes == [(f.name, f.dataType.simpleString()) for f in FLIGHTS_SCHEMA.fields]
     assert [r.delay for r in flights_fixture.collect()] == [None, 30, -8, -5, None]
 
