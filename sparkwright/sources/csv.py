@@ -46,10 +46,16 @@ _TEXT_OPTIONS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false"
 
 
 def read_flights_csv(spark: SparkSession, path: str, infer_schema: bool = False,
-                     schema: StructType | None = None) -> DataFrame:
+                     schema: StructType | None = None,
+                     sampling_ratio: float | None = None) -> DataFrame:
+    """Comma file with a header and ``NA`` nulls.  Inference reads the files
+    once more before the query; ``sampling_ratio`` infers from that fraction
+    of rows instead (for very large inputs; a rare wider type can be missed)."""
     reader = spark.read.options(sep=",", header="true", nullValue="NA")
     if infer_schema:
         reader = reader.option("inferSchema", "true")
+        if sampling_ratio is not None:
+            reader = reader.option("samplingRatio", str(sampling_ratio))
     else:
         reader = reader.schema(schema or FLIGHTS_SCHEMA)
     return reader.csv(path)

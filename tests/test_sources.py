@@ -47,3 +47,9 @@ def test_schema_count_preview(flights_fixture):
     assert [(r.column_name, r.data_type) for r in st][:3] == [("mon", "int"), ("dom", "int"), ("dow", "int")]
     assert row_count(flights_fixture).first().n == 5
     assert [r.mon for r in preview(flights_fixture, 2, "mon").collect()] == [0, 2]
+
+
+def test_inference_on_a_sample(spark, write_text):
+    from conftest import FLIGHTS_CSV
+    df = read_flights_csv(spark, write_text("s", FLIGHTS_CSV), infer_schema=True, sampling_ratio=1.0)
+    assert df.schema == FLIGHTS_SCHEMA
