@@ -68,3 +68,12 @@ def test_forest_search_table(spark):
     assert len(table) == 12 and sum(r.is_best for r in table) == 1
     assert all(0 <= r.metric <= 1 for r in table)
     assert [r for r in table if r.is_best][0].metric == max(r.metric for r in table)
+
+
+@pytest.mark.skipif(not __import__("os").environ.get("RUN_SLOW"), reason="360 fits; set RUN_SLOW=1")
+def test_text_search_table(spark):
+    table = Q["t9_grid_text"](spark, SF_SMALL).collect()
+    assert len(table) == 72 and sum(r.is_best for r in table) == 1
+    assert [r for r in table if r.is_best][0].metric == max(r.metric for r in table)
+    assert {r.params.split(",")[0] for r in table} == {"numFeatures=1024", "numFeatures=4096",
+                                                      "numFeatures=16384"}
