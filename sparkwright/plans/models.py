@@ -11,6 +11,7 @@ features) are checked by row count here and by invariants in tests.
   SQL by cyclic block updates (``oracle.two_factor_fit``);
 * one-predictor lasso / ridge / elastic net: soft-threshold formula in
   standardized units with the penalty scaled by the label's population std;
+  the 29-column lasso by coordinate descent on the correlation matrix;
 * single-split tree, boosted stump, one-tree forest without bootstrap on the
   departure bucket: best Gini cut and leaf class counts;
 * logistic on origin dummies only: saturated, probability = origin's mean label.
@@ -427,6 +428,50 @@ _DUMMY_SLOTS_ALL = _DUMMY_SLOTS[:-1] + """
   UNION ALL SELECT CAST((SELECT levels FROM lv) + 7 + (SELECT max(top) FROM dw) + mon AS INTEGER), n
             FROM mo WHERE mon < top)"""
 
+# Lasso on the 29 dummy-layout columns, solved in SQL the way it is defined:
+# in standardized units it minimises 1/2 b'Rb - b'c + (regParam / sd(y)) |b|_1,
+# R the population correlation matrix of the columns and c their correlation
+# with the label.  Cyclic coordinate descent (soft-thresholding, 60 sweeps)
+# reaches the unique optimum with exact zeros.
+_LASSO_CD = o.SPLIT + """,
+idx AS (SELECT org, row_number() OVER (ORDER BY count(*) DESC, org) - 1 AS i,
+               count(*) OVER () AS levels FROM train GROUP BY org),
+lv AS (SELECT max(levels) AS nl FROM idx),
+tops AS (SELECT max(dow) AS dtop, max(mon) AS mtop FROM train),
+rw AS (SELECT t.event_id, t.km, CAST(t.duration AS DOUBLE) AS y, x.i AS oi,
+              CAST(least(floor(t.depart / 3), 7) AS INTEGER) AS b, t.dow, t.mon
+       FROM train t JOIN idx x ON t.org = x.org),
+ex AS (
+  SELECT event_id, 0 AS slot, km AS x FROM rw
+  UNION ALL SELECT event_id, CAST(1 + oi AS INTEGER), 1.0 FROM rw WHERE oi < (SELECT nl FROM lv) - 1
+  UNION ALL SELECT event_id, CAST((SELECT nl FROM lv) + b AS INTEGER), 1.0 FROM rw WHERE b < 7
+  UNION ALL SELECT event_id, CAST((SELECT nl FROM lv) + 7 + dow AS INTEGER), 1.0 FROM rw
+            WHERE dow < (SELECT dtop FROM tops)
+  UNION ALL SELECT event_id, CAST((SELECT nl FROM lv) + 7 + (SELECT dtop FROM tops) + mon AS INTEGER), 1.0 FROM rw
+            WHERE mon < (SELECT mtop FROM tops)),
+st AS (SELECT CAST(count(*) AS DOUBLE) AS n, avg(y) AS my, stddev_pop(y) AS sy FROM rw),
+mom AS (SELECT slot, sum(x) / (SELECT n FROM st) AS m, sqrt(sum(x * x) / (SELECT n FROM st) - pow(sum(x) / (SELECT n FROM st), 2)) AS s
+        FROM ex GROUP BY slot),
+cxy AS (SELECT e.slot, (sum(e.x * r.y) / (SELECT n FROM st) - m.m * (SELECT my FROM st)) / (m.s * (SELECT sy FROM st)) AS c
+        FROM ex e JOIN rw r ON e.event_id = r.event_id JOIN mom m ON e.slot = m.slot GROUP BY e.slot, m.m, m.s),
+pxx AS (SELECT a.slot AS j, b.slot AS k, sum(a.x * b.x) / (SELECT n FROM st) AS mjk
+        FROM ex a JOIN ex b ON a.event_id = b.event_id GROUP BY 1, 2),
+cor AS (SELECT a.slot AS j, b.slot AS k, (coalesce(p.mjk, 0) - a.m * b.m) / (a.s * b.s) AS rjk
+        FROM mom a CROSS JOIN mom b LEFT JOIN pxx p ON p.j = a.slot AND p.k = b.slot),
+mats AS (SELECT (SELECT list(row ORDER BY j) FROM (SELECT j, list(rjk ORDER BY k) AS row FROM cor GROUP BY j)) AS rm,
+                (SELECT list(c ORDER BY slot) FROM cxy) AS cv,
+                (SELECT CAST(count(*) AS INTEGER) FROM mom) AS p,
+                1.0 / (SELECT sy FROM st) AS lam),
+cd(t, b) AS (
+  SELECT 0, list_transform(range((SELECT p FROM mats)), lambda i: CAST(0 AS DOUBLE))
+  UNION ALL
+  SELECT t + 1, list_transform(range(p), lambda i: CASE WHEN i = t % p
+                  THEN sign(z) * greatest(abs(z) - lam, 0) / rm[i + 1][i + 1] ELSE b[i + 1] END)
+  FROM (SELECT t, b, p, lam, rm,
+               cv[(t % p) + 1] - list_sum(list_transform(range(p), lambda k: CASE WHEN k = t % p THEN 0
+                   ELSE rm[(t % p) + 1][k + 1] * b[k + 1] END)) AS z
+        FROM cd, mats WHERE t < 60 * p))"""
+
 _ELASTIC = """(sy / sx) * sign(c / (sx * sy)) * greatest(abs(c / (sx * sy)) - lam * mix / sy, 0)
               / (1 + lam * (1 - mix) / sy)"""
 
@@ -508,6 +553,10 @@ ORACLE = {
                round(sqrt(avg(pow(t.duration - (o.a + o.b * t.km), 2))), 6) AS value FROM test t, ols o
         UNION ALL
         SELECT 'km_org', 'rmse', round(sqrt(avg(pow(duration - prediction, 2))), 6) FROM fwl_test"""),
+    "i4_zero_coefficients": o.with_sql(_LASSO_CD, """
+        SELECT CAST(len(b) AS INTEGER) AS n_coefficients,
+               CAST(len(list_filter(b, lambda v: v = 0)) AS INTEGER) AS n_zero
+        FROM cd WHERE t = 60 * (SELECT p FROM mats)""", recursive=True),
     "i7_stage_params": """
         SELECT CAST(stage AS INTEGER) AS stage, stage_class, param, value FROM (VALUES
           (0, 'StringIndexerModel', 'inputCol', 'org'),
