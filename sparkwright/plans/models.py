@@ -166,11 +166,12 @@ def m7_linear_all(spark, sf_dir):
 
 
 def m8_lasso_km(spark, sf_dir):
-    model, _, _ = _km_model(spark, sf_dir, regParam=1.0, elasticNetParam=1.0)
+    model, _, _ = _km_model(spark, sf_dir, regParam=LASSO_REG_PARAM, elasticNetParam=1.0)
     return introspect.coefficient_table(spark, model, ["km"]).withColumn("coefficient", r("coefficient"))
 
 
 REG_PARAMS = [0.01, 0.1, 1.0, 10.0]     # fixed values: the regularisation grid of the exercises
+LASSO_REG_PARAM = 1.0                   # fixed value: the exercises' lasso strength
 MIX_PARAMS = [0.0, 0.5, 1.0]
 
 
@@ -253,7 +254,8 @@ def i3_level_effects_depart(spark, sf_dir):
 
 
 def i4_zero_coefficients(spark, sf_dir):
-    fitted, _, _ = _dummies_model(spark, sf_dir, ("dow", "mon"), regParam=1.0, elasticNetParam=1.0)
+    fitted, _, _ = _dummies_model(spark, sf_dir, ("dow", "mon"), regParam=LASSO_REG_PARAM,
+                                  elasticNetParam=1.0)
     return introspect.zero_count(spark, fitted.stages[-1])
 
 
@@ -461,7 +463,7 @@ cor AS (SELECT a.slot AS j, b.slot AS k, (coalesce(p.mjk, 0) - a.m * b.m) / (a.s
 mats AS (SELECT (SELECT list(row ORDER BY j) FROM (SELECT j, list(rjk ORDER BY k) AS row FROM cor GROUP BY j)) AS rm,
                 (SELECT list(c ORDER BY slot) FROM cxy) AS cv,
                 (SELECT CAST(count(*) AS INTEGER) FROM mom) AS p,
-                1.0 / (SELECT sy FROM st) AS lam),
+                """ + repr(LASSO_REG_PARAM) + """ / (SELECT sy FROM st) AS lam),
 cd(t, b) AS (
   SELECT 0, list_transform(range((SELECT p FROM mats)), lambda i: CAST(0 AS DOUBLE))
   UNION ALL
@@ -492,7 +494,8 @@ ORACLE = {
     "m6_linear_depart": o.with_sql(_DUMMY_SLOTS, "SELECT slot, n_nonzero, CAST(0 AS DOUBLE) AS cos_residual FROM slots"),
     "m7_linear_all": o.with_sql(_DUMMY_SLOTS_ALL, "SELECT slot, n_nonzero, CAST(0 AS DOUBLE) AS cos_residual FROM slots"),
     "m8_lasso_km": o.with_sql(_ST + """,
-        lasso AS (SELECT mx, my, sign(c) * greatest(abs(c) - 1.0 * sx, 0) / (sx * sx) AS b FROM st)""", """
+        lasso AS (SELECT mx, my, sign(c) * greatest(abs(c) - """ + repr(LASSO_REG_PARAM) + """ * sx, 0) / (sx * sx) AS b
+                  FROM st)""", """
         SELECT -1 AS position, 'intercept' AS term, round(my - b * mx, 6) AS coefficient FROM lasso
         UNION ALL SELECT 0, 'km', round(b, 6) FROM lasso"""),
     "m9_elastic_net_km": o.with_sql(_ST + f""",
