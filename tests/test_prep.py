@@ -65,3 +65,38 @@ def test_checked_join_broadcasts_only_below_bound(spark):
     unhinted = checked_join(big, small, "k", max_rows=9)._jdf.queryExecution().logical().toString()
     assert "broadcast" in hinted.lower() and "broadcast" not in unhinted.lower()
     assert checked_join(big, small, "k", max_rows=9).count() == 10
+
+
+def test_salted_join_spreads_a_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    from sparkwright.functions.joins import salted_join
+    n = 3000
+    big = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
+                                F.col("id").alias("v"))          # key 7 holds a third of all rows
+    small = spark.range(n).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    salts = 16
+    salted = big.withColumn("__salt", F.abs(F.xxhash64(*big.columns)) % F.lit(salts))
+    spread = salted.filter("k = 7").select("__salt").distinct().count()
+    assert spread == salts                                          # the hot key lands on every salt
+    joined = salted_join(big, small, on="k", salts=salts)
+    plain = big.join(small, "k")
+    assert joined.count() == plain.count() == n
+    assert joined.exceptAll(plain.select(*joined.columns)).count() == 0
+
+
+def test_runtime_checked_join_without_adaptive_execution(spark):
+    from pyspark.sql import functions as F
+
+    from sparkwright.functions.joins import checked_join
+    big = spark.range(200).select((F.col("id") % 5).alias("t"), F.col("id"))
+    small = big.groupBy("t").count()
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        off = checked_join(big, small, on="t", check="runtime", max_rows=0, salts=4)   # count check, salted
+        assert off.count() == 200
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    on = checked_join(big, small, on="t", check="runtime")
+    assert sorted(map(tuple, on.collect())) == sorted(map(tuple, off.select(*on.columns).collect()))
