@@ -14,7 +14,9 @@ features) are checked by row count here and by invariants in tests.
   the 29-column lasso by coordinate descent on the correlation matrix;
 * single-split tree, boosted stump, one-tree forest without bootstrap on the
   departure bucket: best Gini cut and leaf class counts;
-* logistic on origin dummies only: saturated, probability = origin's mean label.
+* logistic on origin dummies only: saturated, probability = origin's mean label;
+* default logistic on three numeric columns: the likelihood maximised in SQL
+  by coordinate Newton steps (predicted classes compared).
 """
 
 from __future__ import annotations
@@ -474,6 +476,26 @@ cd(t, b) AS (
                    ELSE rm[(t % p) + 1][k + 1] * b[k + 1] END)) AS z
         FROM cd, mats WHERE t < 60 * p))"""
 
+# Unpenalised logistic regression on (mon, depart, duration): the maximum-
+# likelihood fit by cyclic one-coordinate Newton steps on standardized
+# columns (100 sweeps; converged well before).  Only the 0/1 predictions are
+# compared, which L-BFGS's stopping point does not change on these rows.
+_LOGISTIC_MLE = o.SPLIT + """,
+sc AS (SELECT avg(mon) AS m1, stddev_pop(mon) AS s1, avg(depart) AS m2, stddev_pop(depart) AS s2,
+              avg(duration) AS m3, stddev_pop(duration) AS s3 FROM train),
+zt AS (SELECT [1.0, (mon - m1) / s1, (depart - m2) / s2, (duration - m3) / s3] AS z, CAST(label AS DOUBLE) AS y
+       FROM train, sc),
+nt(t, b) AS (
+  SELECT 0, [CAST(0 AS DOUBLE), 0, 0, 0]
+  UNION ALL
+  SELECT t + 1, list_transform(range(4), lambda i: CASE WHEN i = t % 4 THEN b[i + 1] + step ELSE b[i + 1] END)
+  FROM (SELECT t, b,
+          (SELECT sum(z[(t % 4) + 1] * (y - 1 / (1 + exp(-list_dot_product(z, b)))))
+                  / sum(z[(t % 4) + 1] * z[(t % 4) + 1] * (1 / (1 + exp(-list_dot_product(z, b))))
+                        * (1 - 1 / (1 + exp(-list_dot_product(z, b)))))
+           FROM zt) AS step
+        FROM nt WHERE t < 400))"""
+
 _ELASTIC = """(sy / sx) * sign(c / (sx * sy)) * greatest(abs(c / (sx * sy)) - lam * mix / sy, 0)
               / (1 + lam * (1 - mix) / sy)"""
 
@@ -487,6 +509,12 @@ ORACLE = {
         m AS (SELECT org, avg(label) AS p FROM train GROUP BY org)""", """
         SELECT t.event_id, t.label, CASE WHEN m.p > 0.5 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction, round(m.p, 6) AS p1
         FROM test t JOIN m ON t.org = m.org"""),
+    "m2_logistic_default": o.with_sql(_LOGISTIC_MLE, """
+        SELECT t.event_id, t.label,
+               CASE WHEN nt.b[1] + nt.b[2] * (t.mon - sc.m1) / sc.s1 + nt.b[3] * (t.depart - sc.m2) / sc.s2
+                         + nt.b[4] * (t.duration - sc.m3) / sc.s3 > 0
+                    THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction
+        FROM test t, sc, nt WHERE nt.t = 400""", recursive=True),
     "m4_linear_km": o.with_sql(_OLS_KM, """
         SELECT -1 AS position, 'intercept' AS term, round(a, 6) AS coefficient FROM ols
         UNION ALL SELECT 0, 'km', round(b, 6) FROM ols"""),
