@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, sharding, token_files
+from . import bpe, chat, decontaminate, language, quality, sharding, token_files
 from .storage import shared_folder
 
 
@@ -58,6 +58,55 @@ SELECT conv_id, count(*) AS n_turns,
 FROM placed GROUP BY conv_id
 """
 
+
+QUALITY_COLUMNS = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept removed_words".split()
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and the line-frequency verdict of every document."""
+    return quality.quality(_read(spark, sf_dir, "documents")).select(*QUALITY_COLUMNS)
+
+
+OP3_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT row, i, array_to_string(words[i:i + 4], ' ') AS win
+  FROM (SELECT row, words, unnest(range(1, len(words) - 3)) AS i FROM docs)),
+twice AS (
+  SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY row, win) AS n FROM windows) WHERE n > 1),
+repeated AS (
+  SELECT row, count(DISTINCT i + k) AS n_repeat_words FROM twice, range(0, 5) t(k) GROUP BY row),
+raw_lines AS (
+  SELECT row, host, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS line_words
+  FROM (SELECT row, host, unnest(string_split(text, chr(10))) AS line FROM docs)),
+dup AS (
+  SELECT row, count(*) - count(DISTINCT line) AS n_dup_lines FROM raw_lines WHERE len(line_words) > 0 GROUP BY row),
+lines AS (
+  SELECT row, host, line, sum(words) AS words FROM (
+    SELECT row, host, len(line_words) AS words, substr(md5(translate(array_to_string(line_words, ' '),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')), 1, 16) AS line
+    FROM raw_lines WHERE len(line_words) > 0) GROUP BY ALL),
+lows AS (
+  SELECT row, min(line) AS low, coalesce(list_sort(list(line))[2], min(line)) AS second FROM lines GROUP BY row),
+frequent AS (
+  SELECT host, line FROM (
+    SELECT host, line, count(DISTINCT CASE WHEN line = low THEN second ELSE low END) AS n
+    FROM lines JOIN lows USING (row) GROUP BY host, line)
+  JOIN (SELECT host, count(*) AS docs FROM docs GROUP BY host) USING (host)
+  WHERE n > 50 AND n > docs * 0.1),
+removed AS (SELECT row, sum(words) AS n FROM lines JOIN frequent USING (host, line) GROUP BY row),
+judged AS (
+  SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+    len(words) < 10 OR 100 * coalesce(n_repeat_words, 0) > 20 * len(words) AS base_failed,
+    CAST(coalesce(n, 0) AS BIGINT) AS removed_words
+  FROM docs LEFT JOIN repeated USING (row) LEFT JOIN dup USING (row) LEFT JOIN removed USING (row))
+SELECT *, NOT base_failed AND n_words - removed_words >= n_words * 0.3 AS kept FROM judged
+"""
+
 SHARDS = [f"shard-{k:02d}" for k in range(32)]
 TABLE_SIZE = 5003
 
@@ -103,6 +152,53 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from rows that are not held out."""
+    documents = _read(spark, sf_dir, "documents")
+    names, model = language.learn(language.teaching(documents))
+    found = language.identify(documents, names, model)
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    done = decontaminate.decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return done.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+OP8_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+items AS (
+  SELECT coalesce(item_id::VARCHAR, 'null') AS item, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+cut AS (
+  SELECT DISTINCT item, least(len(words), 13) AS size, array_to_string(words[i:i + 12], ' ') AS win
+  FROM (SELECT item, words, unnest(range(1, greatest(len(words) - 12, 1) + 1)) AS i FROM items WHERE len(words) > 0)),
+sizes AS (SELECT DISTINCT size FROM cut),
+spread AS (
+  SELECT row, size, i, array_to_string(words[i:i + size - 1], ' ') AS win
+  FROM (SELECT row, words, size, unnest(range(1, len(words) - size + 2)) AS i FROM docs, sizes)),
+hits AS (SELECT row, i, size, item FROM spread JOIN cut USING (size, win)),
+hit AS (
+  SELECT row, count(DISTINCT place) AS n_hit FROM (SELECT row, unnest(range(i, i + size)) AS place FROM hits) GROUP BY row),
+named AS (
+  SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT row, item FROM hits) GROUP BY row)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(words) AS contaminated
+FROM docs LEFT JOIN hit USING (row) LEFT JOIN named USING (row)
+"""
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids written to files, and read from them."""
     documents = _read(spark, sf_dir, "documents")
@@ -112,9 +208,17 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_chat_format": op2_chat_format,
+    "op3_quality_rules": op3_quality_rules,
     "op4_sharding": op4_sharding,
     "op6_bpe": op6_bpe,
+    "op7_language": op7_language,
+    "op8_decontaminate": op8_decontaminate,
     "op10_token_files": op10_token_files,
 }
 
-ORACLE = {"op2_chat_format": OP2_SQL, "op4_sharding": OP4_SQL}
+ORACLE = {
+    "op2_chat_format": OP2_SQL,
+    "op3_quality_rules": OP3_SQL,
+    "op4_sharding": OP4_SQL,
+    "op8_decontaminate": OP8_SQL,
+}
