@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, language, quality, sharding, token_files
+from . import bpe, chat, decontaminate, language, near_duplicates, quality, sharding, token_files
 from .storage import shared_folder
 
 
@@ -199,6 +199,11 @@ FROM docs LEFT JOIN hit USING (row) LEFT JOIN named USING (row)
 """
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of every document."""
+    return near_duplicates.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids written to files, and read from them."""
     documents = _read(spark, sf_dir, "documents")
@@ -213,6 +218,7 @@ QUERIES = {
     "op6_bpe": op6_bpe,
     "op7_language": op7_language,
     "op8_decontaminate": op8_decontaminate,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_token_files": op10_token_files,
 }
 
