@@ -40,21 +40,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .words import WordCache, split_words
+from .words import FAR, WordCache, byte_characters, split_words
 
 #: Entries of the arc table per Python worker.
-ARC_ENTRIES = 2_000_000
-#: From here on character classes differ between Unicode versions, so texts
-#: with such characters are split by the tokenizer file's own normalizer.
-_FAR = re.compile("[԰-\U0010ffff]")
-
-
-def _byte_characters() -> dict[int, str]:
-    """Byte-level BPE writes each byte as a printable character: bytes that are
-    printable in Latin-1 as themselves, the others from U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = (b for b in range(256) if b not in plain)
-    return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(others)}
+ARC_ENTRIES = 500_000
 
 
 class Automaton:
@@ -71,7 +60,7 @@ class Automaton:
         split = next(p for p in conf["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pattern = regex.compile(split["pattern"]["Regex"])
         self.special_pattern = re.compile("|".join(sorted(map(re.escape, self.special), key=len, reverse=True)) or r"(?!)")
-        self.bytes = _byte_characters()
+        self.bytes = byte_characters()
         self._compile(model["merges"])
         self.arcs: dict[int, bool] = {}
         self._library = None
@@ -92,9 +81,10 @@ class Automaton:
                 self.rank[joined], self.left[joined], self.right[joined] = r, u_id, v_id
             self.rules.setdefault(u_id * n + v_id, r)
         suffix = len(self.end)
-        self.inner = {s: i for s, i in self.ids.items() if i not in void and not (suffix and s.endswith(self.end))}
         self.final = {s[: len(s) - suffix]: i for s, i in self.ids.items() if i not in void and s.endswith(self.end)}
-        self.longest = max(map(len, [*self.inner, *self.final]), default=1)
+        # tokens within a word, and all their beginnings (-1)
+        inner = {s: i for s, i in self.ids.items() if i not in void and not (suffix and s.endswith(self.end))}
+        self.inner = {s[:k]: -1 for s in inner for k in range(1, len(s))} | inner
 
     def _arc(self, x: int, y: int) -> bool:
         """Whether the state behind token x has an arc y, all gadgets so far."""
@@ -124,15 +114,22 @@ class Automaton:
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of one pre-split word in byte-level characters."""
-        n, longest = len(word), self.longest
+        n, size = len(word), self.size
+        inner, final, arcs = self.inner.get, self.final.get, self.arcs.get
         state, begin = [-1] * (n + 1), [0] * (n + 1)
-        for end in range(1, n + 1):
-            tokens = self.final if end == n else self.inner
-            for start in range(max(0, end - longest), end):
-                token = tokens.get(word[start:end])
-                if token is not None and (start == 0 or state[start] >= 0 and self.arc(state[start], token)):
-                    state[end], begin[end] = token, start
+        for start in range(n):
+            here = state[start] * size
+            if start and here < 0:
+                continue  # no token sequence ends here
+            last = final(word[start:])
+            if last is not None and state[n] < 0 and (not start or arcs(here + last) or self.arc(state[start], last)):
+                state[n], begin[n] = last, start
+            for end in range(start + 1, n):
+                token = inner(word[start:end])
+                if token is None:
                     break
+                if token >= 0 and state[end] < 0 and (not start or arcs(here + token) or self.arc(state[start], token)):
+                    state[end], begin[end] = token, start
         out, at = [], n
         while at:
             if state[at] < 0:
@@ -143,7 +140,7 @@ class Automaton:
 
     def pre_split(self, text: str) -> list[str]:
         """Words of a text without special tokens, in byte-level characters."""
-        if _FAR.search(text):
+        if FAR.search(text):  # split by the tokenizer file's own normalizer
             if self._library is None:
                 from tokenizers import Tokenizer
 
@@ -170,11 +167,22 @@ class Automaton:
     def decode(self, ids: list[int]) -> str:
         return " ".join([self.labels[i] for i in ids])
 
-    def encode_batch(self, words: list[str]) -> Iterator[tuple[int, str, str]]:
-        """Number of ids, ids as text, decoded text of each word."""
-        for w in words:
-            ids = self.encode(w)
-            yield len(ids), " ".join(map(str, ids)), self.decode(ids)
+    def entry(self, ids: list[int]) -> tuple[int, str, str]:
+        """Number of ids, ids as text, decoded text."""
+        return len(ids), " ".join(map(str, ids)), self.decode(ids)
+
+    def letters(self, word: str) -> tuple[int, str, str]:
+        """Entry of a lower-case word of plain letters, which is not split."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.bytes)
+        return self.entry(self.encode_word(word))
+
+    def any_word(self, word: str) -> tuple[int, str, str]:
+        return self.entry(self.encode(word))
+
+
+def _join(a: tuple[int, str, str], b: tuple[int, str, str]) -> tuple[int, str, str]:
+    return a[0] + b[0], f"{a[1]} {b[1]}", f"{a[2]} {b[2]}"
 
 
 _LOADED: dict[str, tuple[Automaton, WordCache]] = {}
@@ -186,7 +194,7 @@ def automaton(spec: str) -> tuple[Automaton, WordCache]:
     if key not in _LOADED:
         _LOADED.clear()
         a = Automaton(spec)
-        _LOADED[key] = a, WordCache(a.encode_batch)
+        _LOADED[key] = a, WordCache(a.letters, a.any_word, _join)
     return _LOADED[key]
 
 

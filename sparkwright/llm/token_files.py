@@ -35,6 +35,7 @@ import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .words import WordCache, split_words
+from .words import WordCache, byte_characters, split_words
 
 MAGIC, HEAD = b"PFR1", struct.Struct("<4sIIIQ")
 _DOC = np.dtype([("has", "u1"), ("doc_id", "<i8"), ("n", "<u4")])
@@ -157,9 +158,11 @@ class Segment:
 _LOADED: dict[str, WordCache] = {}
 
 
-def _encoder(spec: str) -> WordCache:
+def _encoder(spec: str, kind: str) -> WordCache:
     """Words to the bytes of their ids, through the tokenizers library.  Its
-    pre-tokenizer must not reach over white space (``encode_ids`` checks)."""
+    pre-tokenizer must not reach over white space (``encode_ids`` checks).  A
+    word of plain letters is one pre-split word, which goes to the library's
+    BPE model as it is."""
     key = hashlib.md5(spec.encode()).hexdigest()
     if key not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -168,55 +171,74 @@ def _encoder(spec: str) -> WordCache:
         tok = Tokenizer.from_str(spec)
         tok.no_truncation()
         tok.no_padding()
+        model, characters, code = tok.model, byte_characters(), {"<u2": "H", "<u4": "I"}[kind]
 
-        def encode(words: list[str]) -> list[bytes]:
-            return [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast(words, add_special_tokens=False)]
+        def letters(word: str) -> bytes:
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(characters)
+            return array(code, [t.id for t in model.tokenize(word)]).tobytes()
+
+        def any_word(word: str) -> bytes:
+            return np.array(tok.encode(word, add_special_tokens=False).ids, kind).tobytes()
 
         _LOADED.clear()
-        _LOADED[key] = WordCache(encode)
+        _LOADED[key] = WordCache(letters, any_word, lambda a, b: a + b)
     return _LOADED[key]
 
 
-def _drops_space(spec: str) -> bool:
-    """Whether white space only separates words: checked on a probe."""
+def _fits(spec: str) -> bool:
+    """Whether it is a byte-level BPE for which white space only separates
+    words, and marks are apart from letters: checked on a probe."""
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_str(spec)
     ids = lambda x: tok.encode(x, add_special_tokens=False).ids
-    return ids(" a \n\tb's  ") == ids("a") + ids("b's")
+    return '"ByteLevel"' in spec and ids(" a \n\tb's, É. ") == ids("a") + ids("b") + ids("'s") + ids(",") + ids("é") + ids(".")
+
+
+def id_kind(spec: str, end_id: int) -> str:
+    from tokenizers import Tokenizer
+
+    return "<u2" if max(end_id, *Tokenizer.from_str(spec).get_vocab().values()) < 1 << 16 else "<u4"
 
 
 def encode_ids(documents: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
-    """``doc_id, ids``: the ids of a text and the end id as u32 bytes."""
+    """``doc_id, width, ids``: the ids of a text and the end id, ``width``
+    bytes each (two, or four if the vocabulary needs them)."""
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = f.read()
-    if not _drops_space(spec):
-        raise ValueError("a tokenizer that drops white space is expected")
-    end = struct.pack("<I", end_id)
+    if not _fits(spec):
+        raise ValueError("a byte-level tokenizer that drops white space is expected")
+    kind = id_kind(spec, end_id)
+    end = np.array([end_id], kind).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _encoder(spec)
+        cache = _encoder(spec, kind)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 ids = [b"".join([*cache.many(split_words(t or "")), end]) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+                width = pa.array([int(kind[-1])] * len(ids), pa.int32())
+                yield pa.RecordBatch.from_arrays([part.column(0), width, pa.array(ids, pa.binary())], ["doc_id", "width", "ids"])
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary")
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        run, "doc_id long, width int, ids binary"
+    )
 
 
 # -- files ----------------------------------------------------------------
 
 
 def _pack_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted ``part, doc_id, ids`` rows to segments, one part after another."""
+    """Sorted ``part, doc_id, width, ids`` rows to segments, one part after
+    another."""
     held: list[tuple] = []
     state = {"part": None, "segment": 0, "ids": 0}
 
     def close() -> Iterator[pa.RecordBatch]:
         if held:
-            docs = np.array([(d is not None, d or 0, len(b) // 4) for d, b in held], _DOC)
-            ids = np.frombuffer(b"".join(b for _, b in held), "<u4")
+            docs = np.array([(d is not None, d or 0, len(b)) for d, b in held], _DOC)
+            ids = np.concatenate([b for _, b in held]).astype("<u4")
             yield pa.RecordBatch.from_arrays(
                 [pa.array([v], k) for v, k in ((state["part"], pa.int32()), (state["segment"], pa.int32()), (len(ids), pa.int64()), (pack(ids, docs), pa.binary()))],
                 ["part", "segment", "n_ids", "data"],
@@ -226,25 +248,27 @@ def _pack_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             state["ids"] = 0
 
     for batch in batches:
-        for part, doc_id, ids in zip(*(c.to_pylist() for c in batch.columns)):
+        for k in range(batch.num_rows):
+            part, doc_id, width, data = (c[k].as_py() for c in batch.columns)
+            ids = np.frombuffer(data, f"<u{width}")
             if part != state["part"]:
                 yield from close()
                 state.update(part=part, segment=0)
             held.append((doc_id, ids))
-            state["ids"] += len(ids) // 4
+            state["ids"] += len(ids)
             if state["ids"] >= SEGMENT_IDS:
                 yield from close()
     yield from close()
 
 
 def write_ids(encoded: DataFrame, bounds: list[int], path: str) -> None:
-    """Write ``doc_id, ids`` rows in ascending ``doc_id`` order.  ``bounds``
+    """Write ``doc_id, width, ids`` rows in ascending ``doc_id`` order.  ``bounds``
     are the first ids of the parts after the first."""
     part = F.lit(0)
     if bounds:
         firsts = F.array(*[F.lit(b).cast("long") for b in bounds])
         part = F.when(F.col("doc_id").isNull(), 0).otherwise(F.size(F.filter(firsts, lambda b: b <= F.col("doc_id"))))
-    dealt = encoded.select(part.cast("int").alias("part"), "doc_id", "ids").repartition(len(bounds) + 1, "part")
+    dealt = encoded.select(part.cast("int").alias("part"), "doc_id", "width", "ids").repartition(len(bounds) + 1, "part")
     packed = dealt.sortWithinPartitions("part", "doc_id", "ids").mapInArrow(
         _pack_rows, "part int, segment int, n_ids long, data binary"
     )

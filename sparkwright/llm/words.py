@@ -4,19 +4,31 @@ cache of what each word encodes to."""
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+import unicodedata
+from collections.abc import Callable
 
 import regex
 
 _SEPARATORS = re.compile("[\x1c-\x1f]")  # white space for str.split(), not for Unicode
 _SPACE = regex.compile(r"\s+")
+#: From here on character classes differ between Unicode versions.
+FAR = re.compile("[԰-\U0010ffff]")
+_TAILS = frozenset(".,;:!?")
 
 #: Cached words per Python worker; beyond it the cache starts anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 250_000
 #: Longer words are encoded each time.
 CACHE_LENGTH = 48
 
 
+def byte_characters() -> dict[int, str]:
+    """Byte-level BPE writes each byte as a printable character: bytes that are
+    printable in Latin-1 as themselves, the others from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = (b for b in range(256) if b not in plain)
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(others)}
+
+
 def split_words(text: str) -> list[str]:
     """Maximal runs without Unicode white space."""
     if _SEPARATORS.search(text):
@@ -24,20 +36,52 @@ def split_words(text: str) -> list[str]:
     return text.split()
 
 
+def plain_letters(word: str) -> bool:
+    """Letters only, of which normalizing and lower-casing are plain."""
+    return word.isalpha() and (
+        word.isascii() or not FAR.search(word) and "Σ" not in word and unicodedata.is_normalized("NFC", word)
+    )
+
+
 class WordCache:
-    """Maps words through ``encode_batch``; results are kept per worker."""
+    """Maps words to values that are kept per worker.
+
+    ``letters`` encodes a lower-case word of plain letters, ``any_word`` any
+    word; ``join`` puts two values together.  A word that is plain letters and
+    one mark is its letters' value and the mark's, so that ``Word,`` and
+    ``word`` are encoded once."""
 
-    def __init__(self, encode_batch: Callable[[list[str]], Iterable]):
-        self.encode_batch = encode_batch
+    def __init__(self, letters: Callable, any_word: Callable, join: Callable):
+        self.letters, self.any_word, self.join = letters, any_word, join
         self.known: dict = {}
+        self.marks: dict = {}
+
+    def _new(self, word: str):
+        mark = word[-1] if word[-1] in _TAILS else ""
+        core = word[:-1] if mark else word
+        low = core.lower()
+        if not (plain_letters(core) and low.isalpha()):
+            return self.any_word(word)
+        value = self.known.get(low)
+        if value is None:
+            value = self.letters(low)
+            if len(low) <= CACHE_LENGTH:
+                self.known[low] = value
+        if mark:
+            if mark not in self.marks:
+                self.marks[mark] = self.any_word(mark)
+            value = self.join(value, self.marks[mark])
+        return value
 
     def many(self, words: list[str]) -> list:
         found = list(map(self.known.get, words))
-        missing = list(dict.fromkeys(w for w, v in zip(words, found) if v is None))
+        missing = dict.fromkeys([w for w, v in zip(words, found) if v is None])
         if not missing:
             return found
-        new = dict(zip(missing, self.encode_batch(missing), strict=True))
-        if len(self.known) + len(new) > CACHE_WORDS:
+        if len(self.known) + 2 * len(missing) > CACHE_WORDS:
             self.known.clear()
-        self.known.update((w, v) for w, v in new.items() if len(w) <= CACHE_LENGTH)
-        return [new[w] if v is None else v for w, v in zip(words, found)]
+        for w in missing:
+            missing[w] = value = self._new(w)
+            if len(w) <= CACHE_LENGTH:
+                self.known[w] = value
+        return [missing[w] if v is None else v for w, v in zip(words, found)]

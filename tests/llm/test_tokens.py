@@ -53,11 +53,14 @@ def test_arc_table_may_start_anew(monkeypatch, library):
 
 
 def test_small_word_cache(monkeypatch):
-    monkeypatch.setattr(words, "CACHE_WORDS", 2)
-    cache = words.WordCache(lambda batch: [w.upper() for w in batch])
-    assert cache.many(["a", "b", "a", "c", "d"]) == ["A", "B", "A", "C", "D"]
-    assert cache.many(["d", "a"]) == ["D", "A"]
-    assert cache.many(["x" * 100]) == ["X" * 100] and "x" * 100 not in cache.known
+    monkeypatch.setattr(words, "CACHE_WORDS", 4)
+    asked = []
+    cache = words.WordCache(lambda w: asked.append(w) or f"<{w}>", lambda w: f"[{w}]", lambda a, b: a + b)
+    assert cache.many(["a", "b", "A", "b,", "c3", "Σ"]) == ["<a>", "<b>", "<a>", "<b>[,]", "[c3]", "[Σ]"]
+    assert asked == ["a", "b"]
+    assert cache.many(["d", "a"]) == ["<d>", "<a>"] and len(cache.known) <= 4
+    assert cache.many(["x" * 100]) == [f"<{'x' * 100}>"] and "x" * 100 not in cache.known
+    assert cache.many([".", "é́", "İ", "e\u0301", "a.."]) == ["[.]", "[é́]", "[İ]", "[e\u0301]", "[a..]"]
 
 
 def odd_documents(spark):
