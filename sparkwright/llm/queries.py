@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, language, near_duplicates, quality, sharding, token_files
+from . import bpe, chat, decontaminate, language, licenses, near_duplicates, quality, sharding, token_files, toxicity
 from .storage import shared_folder
 
 
@@ -14,6 +14,11 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every match of a license notice in every document."""
+    return licenses.scan(_read(spark, sf_dir, "documents"))
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one that quotes a control string, formatted and
     read back."""
@@ -141,6 +146,12 @@ FROM (SELECT doc_id, CAST(('0x' || substr(md5(coalesce('=' || doc_id::VARCHAR, '
 """
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score of every document, learnt from rows not held out."""
+    scored = toxicity.toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    return scored.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -212,9 +223,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_chat_format": op2_chat_format,
     "op3_quality_rules": op3_quality_rules,
     "op4_sharding": op4_sharding,
+    "op5_toxicity": op5_toxicity,
     "op6_bpe": op6_bpe,
     "op7_language": op7_language,
     "op8_decontaminate": op8_decontaminate,
