@@ -15,8 +15,8 @@ Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z are lower-cased.
 Scale: texts are read in place (one pass counts the benchmark's words, one
 joins, one counts words) and never shuffled while the benchmark's windows
 stay under ``BROADCAST_BYTES``, which is measured.  A larger benchmark is
-joined by shuffling only the words that are a prefix, each with the words
-around it.  A prefix is the rarest word of its window, so a frequent word is
+joined by shuffling the words one by one, and the texts once for the
+comparison.  A prefix is the rarest word of its window, so a frequent word is
 joined only for windows that have nothing rarer.  Hits are collected per
 document and are at most its words.
 
@@ -84,24 +84,20 @@ def prefixes(documents: DataFrame, found: DataFrame, small: bool) -> DataFrame:
     )
 
 
-def occurrences(documents: DataFrame, index: DataFrame, size: int, small: bool) -> DataFrame:
+def occurrences(documents: DataFrame, index: DataFrame, small: bool) -> DataFrame:
     """Every occurrence of a window: ``key, start, length, items``."""
-    spread = _spread(documents).withColumn("total", F.size("words")).withColumn("from", F.lit(0))
-    if not small:  # shuffle prefix words only, each with the words around it
-        near = F.greatest(F.col("at") - size + 1, F.lit(0))
-        spread = spread.join(index.select(F.col("prefix").alias("word")).distinct(), "word", "left_semi").select(
-            "key", "at", "word", "total", near.alias("from"), F.slice("words", near + 1, 2 * size - 1).alias("words")
-        )
+    spread = _spread(documents).withColumn("total", F.size("words"))
     start = F.col("at") - F.col("place")
-    meets = (
-        (F.col("word") == F.col("prefix"))
-        & (start >= 0)
-        & (start + F.size("window") <= F.col("total"))
-        & (F.slice("words", F.greatest(start - F.col("from"), F.lit(0)) + 1, F.size("window")) == F.col("window"))
-    )
-    return spread.join(_small(index, small), meets).select(
-        "key", start.alias("start"), F.size("window").alias("length"), "items"
-    )
+    fits = (F.col("word") == F.col("prefix")) & (start >= 0) & (start + F.size("window") <= F.col("total"))
+    if small:
+        meets = fits & (F.slice("words", F.greatest(start, F.lit(0)) + 1, F.size("window")) == F.col("window"))
+        found = spread.join(F.broadcast(index), meets)
+        return found.select("key", start.alias("start"), F.size("window").alias("length"), "items")
+    # shuffle single words, then the texts once to compare the whole windows
+    fitting = spread.drop("words").join(index, fits).select("key", start.alias("start"), "window", "items")
+    texts = documents.select(_key().alias("key"), words_of(F.col("text")).alias("words")).dropDuplicates(["key"])
+    same = F.slice("words", F.col("start") + 1, F.size("window")) == F.col("window")
+    return fitting.join(texts, "key").where(same).select("key", "start", F.size("window").alias("length"), "items")
 
 
 def _covered(spans: Column) -> Column:
@@ -124,7 +120,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, size: int = 13, pa
     bytes_all = found.agg(F.sum(window_bytes + item_bytes)).first()[0] or 0
     small = bytes_all <= BROADCAST_BYTES
     index = prefixes(documents, found, small)
-    hits = occurrences(documents, index, size, small)
+    hits = occurrences(documents, index, small)
     per_key = hits.groupBy("key").agg(
         F.array_sort(F.collect_set(F.struct("start", "length"))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
