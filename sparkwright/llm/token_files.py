@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .words import WordCache, byte_characters, split_words
+from .words import CACHE_WORDS, WordCache, byte_characters, split_words
 
 MAGIC, HEAD = b"PFR1", struct.Struct("<4sIIIQ")
 _DOC = np.dtype([("has", "u1"), ("doc_id", "<i8"), ("n", "<u4")])
@@ -182,7 +182,7 @@ def _encoder(spec: str, kind: str) -> WordCache:
             return np.array(tok.encode(word, add_special_tokens=False).ids, kind).tobytes()
 
         _LOADED.clear()
-        _LOADED[key] = WordCache(letters, any_word, lambda a, b: a + b)
+        _LOADED[key] = WordCache(letters, any_word, lambda a, b: a + b, 2 * CACHE_WORDS)
     return _LOADED[key]
 
 

@@ -43,7 +43,7 @@ def plain_letters(word: str) -> bool:
     )
 
 
-class WordCache:
+class WordCache(dict):
     """Maps words to values that are kept per worker.
 
     ``letters`` encodes a lower-case word of plain letters, ``any_word`` any
@@ -51,37 +51,32 @@ class WordCache:
     one mark is its letters' value and the mark's, so that ``Word,`` and
     ``word`` are encoded once."""
 
-    def __init__(self, letters: Callable, any_word: Callable, join: Callable):
-        self.letters, self.any_word, self.join = letters, any_word, join
-        self.known: dict = {}
+    def __init__(self, letters: Callable, any_word: Callable, join: Callable, size: int = CACHE_WORDS):
+        super().__init__()
+        self.letters, self.any_word, self.join, self.size = letters, any_word, join, size
         self.marks: dict = {}
 
-    def _new(self, word: str):
+    def __missing__(self, word: str):
         mark = word[-1] if word[-1] in _TAILS else ""
         core = word[:-1] if mark else word
         low = core.lower()
+        if len(self) >= self.size:
+            self.clear()
         if not (plain_letters(core) and low.isalpha()):
-            return self.any_word(word)
-        value = self.known.get(low)
-        if value is None:
-            value = self.letters(low)
-            if len(low) <= CACHE_LENGTH:
-                self.known[low] = value
-        if mark:
-            if mark not in self.marks:
-                self.marks[mark] = self.any_word(mark)
-            value = self.join(value, self.marks[mark])
+            value = self.any_word(word)
+        else:
+            value = self.get(low)
+            if value is None:
+                value = self.letters(low)
+                if len(low) <= CACHE_LENGTH:
+                    self[low] = value
+            if mark:
+                if mark not in self.marks:
+                    self.marks[mark] = self.any_word(mark)
+                value = self.join(value, self.marks[mark])
+        if len(word) <= CACHE_LENGTH:
+            self[word] = value
         return value
 
     def many(self, words: list[str]) -> list:
-        found = list(map(self.known.get, words))
-        missing = dict.fromkeys([w for w, v in zip(words, found) if v is None])
-        if not missing:
-            return found
-        if len(self.known) + 2 * len(missing) > CACHE_WORDS:
-            self.known.clear()
-        for w in missing:
-            missing[w] = value = self._new(w)
-            if len(w) <= CACHE_LENGTH:
-                self.known[w] = value
-        return [missing[w] if v is None else v for w, v in zip(words, found)]
+        return list(map(self.__getitem__, words))

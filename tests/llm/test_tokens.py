@@ -52,14 +52,13 @@ def test_arc_table_may_start_anew(monkeypatch, library):
         assert a.encode(t) == expected(library, t)[0]
 
 
-def test_small_word_cache(monkeypatch):
-    monkeypatch.setattr(words, "CACHE_WORDS", 4)
+def test_small_word_cache():
     asked = []
-    cache = words.WordCache(lambda w: asked.append(w) or f"<{w}>", lambda w: f"[{w}]", lambda a, b: a + b)
+    cache = words.WordCache(lambda w: asked.append(w) or f"<{w}>", lambda w: f"[{w}]", lambda a, b: a + b, 4)
     assert cache.many(["a", "b", "A", "b,", "c3", "Σ"]) == ["<a>", "<b>", "<a>", "<b>[,]", "[c3]", "[Σ]"]
     assert asked == ["a", "b"]
-    assert cache.many(["d", "a"]) == ["<d>", "<a>"] and len(cache.known) <= 4
-    assert cache.many(["x" * 100]) == [f"<{'x' * 100}>"] and "x" * 100 not in cache.known
+    assert cache.many(["d", "a"]) == ["<d>", "<a>"] and len(cache) <= 5
+    assert cache.many(["x" * 100]) == [f"<{'x' * 100}>"] and "x" * 100 not in cache
     assert cache.many([".", "é́", "İ", "e\u0301", "a.."]) == ["[.]", "[é́]", "[İ]", "[e\u0301]", "[a..]"]
 
 
