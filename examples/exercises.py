@@ -1,11 +1,10 @@
 """The four exercise scripts, step by step, with sparkwright operators.
 
-    python examples/exercises.py [sf_dir] [--quick]
+    python examples/exercises.py [sf_dir]
 
 Reads the flights and sms views from the test tables (sf_dir), goes through
 loading, cleaning, encoding, text features, models, inspection, evaluation
 and search in the exercises' order, and prints small result tables.
-``--quick`` shrinks the two grid searches to their first points.
 """
 
 from __future__ import annotations
@@ -30,7 +29,7 @@ def show(title, df, n=10):
     df.show(n, truncate=False)
 
 
-def main(sf_dir: str, quick: bool) -> None:
+def main(sf_dir: str) -> None:
     spark = (SparkSession.builder.master("local[*]").config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
@@ -98,7 +97,7 @@ def main(sf_dir: str, quick: bool) -> None:
     # 6. Pipelines and cross-validated search.
     folds = common.with_folds(train, 5)
     reg = models.linear()
-    grid = tune.linear_grid(reg)[: 2 if quick else None]
+    grid = tune.linear_grid(reg)
     cv = tune.cross_validate(tune.regression_stages("org", regression=reg), grid,
                              RegressionEvaluator(labelCol="duration"), folds, 5)
     show("linear search", tune.search_table(spark, cv))
@@ -112,7 +111,7 @@ def main(sf_dir: str, quick: bool) -> None:
     show("trees", introspect.tree_summary(spark, gbt))
     show("importance", introspect.feature_importance(spark, gbt, ["mon", "depart", "duration"]))
     forest = models.random_forest()
-    fgrid = tune.forest_grid(forest)[: 2 if quick else None]
+    fgrid = tune.forest_grid(forest)
     fcv = tune.cross_validate(forest, fgrid, BinaryClassificationEvaluator(numBins=0),
                               common.with_folds(cls_train, 5), 5)
     show("forest search", tune.search_table(spark, fcv))
@@ -120,5 +119,4 @@ def main(sf_dir: str, quick: bool) -> None:
 
 
 if __name__ == "__main__":
-    args = [a for a in sys.argv[1:] if not a.startswith("--")]
-    main(args[0] if args else "/root/testdata/sf0.01", "--quick" in sys.argv)
+    main(sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01")

@@ -24,10 +24,16 @@ def key_bucket(key: str | Column, salt: str | int, modulus: int) -> Column:
     return key_hash(key, salt) % F.lit(modulus)
 
 
+def split_point(fraction: float) -> int:
+    """First hash value that is not in the training share."""
+    if not 0 <= fraction <= 1:
+        raise ValueError("a fraction from 0 to 1 is expected")
+    return round(fraction * (1 << 32))
+
+
 def train_flag(key: str | Column, train_fraction: float = 0.8, seed: int = 17) -> Column:
-    """True for the training share: bucket of 1000 below ``1000 * fraction``."""
-    cut = int(round(train_fraction * 1000))
-    return key_bucket(key, seed, 1000) < F.lit(cut)
+    """True for the training share: the 32-bit hash below that share of 2^32."""
+    return key_hash(key, seed) < F.lit(split_point(train_fraction)).cast("bigint")
 
 
 def fold_column(key: str | Column, num_folds: int, seed: str | int = "fold") -> Column:

@@ -1,18 +1,10 @@
-"""Joins whose broadcast side is size-checked first.
-
-Two ways to check, chosen per call:
-
-* ``check="count"``: a dimension-like side (a labels table, say) is broadcast
-  only after an exact bound on its row count is established
-  (``limit(max_rows + 1).count()`` stops early).  Past the bound the join is a
-  shuffle join, salted over ``salts`` tasks per key when asked.
-* ``check="runtime"``: for a side that is itself the output of an aggregate
-  (a term dictionary), counting it first would run the whole upstream twice.
-  With adaptive execution on, a plain join is planned; AQE measures the
-  shuffled size of each side at run time and only then turns the join into a
-  broadcast (below ``spark.sql.adaptive.autoBroadcastJoinThreshold``), and
-  splits skewed partitions of a sort-merge join, so a hot key does not land on
-  one task.  With AQE off it falls back to the count check plus salting.
+"""Equi-joins that hold up under a hot key.
+
+With adaptive execution on, a plain join is planned: Spark measures each
+side's shuffled bytes and only then broadcasts (below
+``spark.sql.adaptive.autoBroadcastJoinThreshold``), and splits the skewed
+partitions of a sort-merge join, so a hot key does not land on one task.  With
+adaptive execution off, the join is salted when asked.
 """
 
 from __future__ import annotations
@@ -20,12 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def small_enough(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
 
 def adaptive_on(df: DataFrame) -> bool:
     conf = df.sparkSession.conf
@@ -33,18 +19,12 @@ def adaptive_on(df: DataFrame) -> bool:
             and conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true")
 
 
-def checked_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                 max_rows: int = DEFAULT_BROADCAST_ROWS, salts: int | None = None,
-                 check: str = "count") -> DataFrame:
-    """Broadcast ``small`` only behind a size check (see module doc), else
-    shuffle-join (salted over ``salts`` tasks per key when given)."""
-    if check == "runtime" and adaptive_on(big):
+def skew_safe_join(big: DataFrame, small: DataFrame, on: str, how: str = "inner", salts: int = 32) -> DataFrame:
+    """Join by measured size, skew split at run time; salted over ``salts``
+    tasks per key where Spark cannot do that."""
+    if adaptive_on(big) or how not in ("inner", "left", "left_outer"):
         return big.join(small, on=on, how=how)
-    if how in ("inner", "left", "left_outer", "left_semi", "left_anti") and small_enough(small, max_rows):
-        return big.join(F.broadcast(small), on=on, how=how)
-    if salts and isinstance(on, str) and how in ("inner", "left", "left_outer"):
-        return salted_join(big, small, on=on, salts=salts, how=how)
-    return big.join(small, on=on, how=how)
+    return salted_join(big, small, on=on, salts=salts, how=how)
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: str, salts: int = 32,

@@ -1,13 +1,10 @@
-"""Partition and persistence policy for inputs that are scanned many times.
+"""Persistence policy for inputs that are scanned many times.
 
 Model fits (and cross-validation folds) make several passes over their input.
-``training_frame`` persists it (MEMORY_AND_DISK, so it spills instead of
-failing; lost blocks are recomputed from the short scan-and-project lineage
-when an executor goes away) with a partition count sized by its row count.
-``spread`` only adds a round-robin shuffle when the input arrived in fewer
-partitions than the cluster can run at once, e.g. a small file that is a
-single parquet row group; at scale (thousands of input splits) both are
-no-ops, so no extra shuffle is planned there.
+It is persisted MEMORY_AND_DISK: it spills instead of failing, and lost blocks
+are recomputed from the scan-and-project lineage when an executor goes away.
+The partition count is the reader's (or AQE's); callers who want another one
+repartition their frame.
 """
 
 from __future__ import annotations
@@ -18,47 +15,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
-ROWS_PER_TASK = 25_000
-
-
-def training_frame(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Persist ``df`` for a multi-pass fit, with a partition count that follows
-    its size: ``min(parallelism, ceil(rows / rows_per_task))``.
-
-    The first count materializes the cache (the fit's first pass would do the
-    same work).  Inputs in fewer partitions than that are spread; tiny inputs
-    in many partitions are coalesced, because an iterative fit pays a
-    scheduling and tree-aggregate cost per partition on every pass.  Large
-    inputs, already split wider than the cluster, are kept as they are.
-    """
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = cached.count()
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    target = max(1, min(parallelism, -(-rows // rows_per_task)))
-    parts = cached.rdd.getNumPartitions()
-    if parts < target:
-        resized = cached.repartition(target)
-    elif parts > target and target < parallelism:
-        resized = cached.coalesce(target)
-    else:
-        return cached
-    resized = resized.persist(StorageLevel.MEMORY_AND_DISK)
-    resized.count()
-    cached.unpersist()
-    return resized
-
-
 @contextmanager
 def persisted(df: DataFrame):
     """``with persisted(train) as t: model = est.fit(t)``; released afterwards."""
-    frame = training_frame(df)
+    frame = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield frame
     finally:

@@ -29,11 +29,19 @@ def feature_names(df: DataFrame, col: str = "features") -> list[str]:
     return names
 
 
+def sparse_slots(col: str, slot: str = "slot", value: str = "value") -> Column:
+    """The stored slots of a vector as ``array<struct<slot, value>>``, without
+    widening a sparse vector."""
+    v = F.unwrap_udt(F.col(col))
+    at = F.coalesce(v["indices"], F.sequence(F.lit(0), F.size(v["values"]) - 1))
+    return F.transform(at, lambda i, k: F.struct(i.alias(slot), F.get(v["values"], k).alias(value)))
+
+
 def one_hot_slot(col: str) -> Column:
     """Index of the single set slot of a one-hot vector; null for the dropped level."""
-    arr = vector_to_array(F.col(col))
-    return F.when(F.array_max(arr) > 0, F.array_position(arr, F.lit(1.0)) - 1).cast("int")
+    return F.get(F.filter(sparse_slots(col), lambda s: s["value"] > 0), F.lit(0))["slot"]
 
 
 def vector_width(col: str) -> Column:
-    return F.size(vector_to_array(F.col(col))).cast("int")
+    v = F.unwrap_udt(F.col(col))
+    return F.coalesce(v["size"], F.size(v["values"])).cast("int")

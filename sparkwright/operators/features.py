@@ -47,12 +47,6 @@ def one_hot(df: DataFrame, input_cols: list[str], output_cols: list[str],
     return model, model.transform(df)
 
 
-def one_hot_sizes(model: OneHotEncoderModel, input_cols: list[str]) -> DataFrame:
-    schema = StructType([StructField("column_name", StringType(), False),
-                         StructField("levels", IntegerType(), False)])
-    return _active().createDataFrame(list(zip(input_cols, [int(s) for s in model.categorySizes])), schema)
-
-
 def bucketize(df: DataFrame, input_col: str, output_col: str, splits: list[float] | None = None,
               handle_invalid: str = "error") -> DataFrame:
     """F5. Left-closed buckets, the last closed at both ends.  Values outside

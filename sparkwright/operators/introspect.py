@@ -41,29 +41,36 @@ def speed_table(coefficients: DataFrame, term: str = "km") -> DataFrame:
         slope.alias("minutes_per_km"), F.try_divide(F.lit(60.0), slope).alias("km_per_hour"))
 
 
-def level_effects(spark: SparkSession, model, names: list[str], prefix: str,
-                  levels: list[str]) -> DataFrame:
-    """I3. Intercept plus the dummy coefficient of each level, looked up by
-    name (never by position); the dropped level gets the intercept alone."""
+def _effect(by_name: dict[str, float], prefix: str, labels: list[str], level: str) -> float:
+    """Dummy coefficient of a level; 0 for the dropped one (the last label)."""
+    if level not in labels:
+        raise KeyError(f"no level {level!r}")
+    return 0.0 if level == labels[-1] else by_name[f"{prefix}{level}"]
+
+
+def level_effects(spark: SparkSession, model, names: list[str], prefix: str, labels: list[str],
+                  levels: list[str] | None = None) -> DataFrame:
+    """I3. Intercept plus the dummy coefficient of each of ``levels`` (all by
+    default), looked up by name.  ``labels`` are all levels in index order, the
+    dropped one last; a name that is none of them raises."""
     by_name = dict(zip(names, (float(b) for b in model.coefficients.toArray())))
     base = float(model.intercept)
     schema = StructType([StructField("level", StringType(), False),
                          StructField("effect", DoubleType(), False)])
     return spark.createDataFrame(
-        [(lvl, base + by_name.get(f"{prefix}{lvl}", 0.0)) for lvl in levels], schema)
+        [(lvl, base + _effect(by_name, prefix, labels, lvl)) for lvl in levels or labels], schema)
 
 
-def level_effects_2(spark: SparkSession, model, names: list[str],
-                    first: tuple[str, str, list[str]], second: tuple[str, str, list[str]]) -> DataFrame:
-    """I3 for two one-hot factors: intercept + dummy of each factor's level, for
-    every level pair (a dropped level contributes 0).  ``first`` / ``second``
-    are ``(output column, dummy name prefix, levels)``; rows = levels x levels,
-    bounded by the model, never by the data."""
+def level_effects_2(spark: SparkSession, model, names: list[str], first: tuple[str, str, list[str]],
+                    second: tuple[str, str, list[str]], pairs: list[tuple[str, str]]) -> DataFrame:
+    """I3 for two one-hot factors: intercept + dummy of each factor's level for
+    the wanted ``pairs``.  ``first`` / ``second`` are ``(output column, dummy
+    name prefix, labels)`` as in ``level_effects``."""
     by_name = dict(zip(names, (float(b) for b in model.coefficients.toArray())))
     base = float(model.intercept)
-    (col_a, prefix_a, levels_a), (col_b, prefix_b, levels_b) = first, second
-    rows = [(a, b, base + by_name.get(f"{prefix_a}{a}", 0.0) + by_name.get(f"{prefix_b}{b}", 0.0))
-            for a in levels_a for b in levels_b]
+    (col_a, prefix_a, labels_a), (col_b, prefix_b, labels_b) = first, second
+    rows = [(a, b, base + _effect(by_name, prefix_a, labels_a, a) + _effect(by_name, prefix_b, labels_b, b))
+            for a, b in pairs]
     schema = StructType([StructField(col_a, StringType(), False), StructField(col_b, StringType(), False),
                          StructField("effect", DoubleType(), False)])
     return spark.createDataFrame(rows, schema)

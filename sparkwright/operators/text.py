@@ -13,7 +13,7 @@ from pyspark.ml.feature import IDF, HashingTF, IDFModel, StopWordsRemover, Token
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.joins import checked_join
+from ..functions.joins import skew_safe_join
 from ..session import shared_root
 
 # The cleaning patterns of the exercises.
@@ -59,7 +59,8 @@ def fit_idf(df: DataFrame, col: str = "hash", output_col: str = "features",
     return model, model.transform(df)
 
 
-def term_tfidf(df: DataFrame, id_col: str = "id", terms_col: str = "terms") -> DataFrame:
+def term_tfidf(df: DataFrame, id_col: str = "id", terms_col: str = "terms",
+               n_docs: int | None = None) -> DataFrame:
     """X8 per term, no hashing: rows ``(id, term, tf, doc_freq, idf, tfidf)``.
 
     Plan: explode terms -> count per (id, term) (checkpointed once) ->
@@ -73,15 +74,16 @@ def term_tfidf(df: DataFrame, id_col: str = "id", terms_col: str = "terms") -> D
     # and push it below upstream joins, running the tokenizer twice per document.
     pairs = (df.select(id_col, F.explode_outer(terms_col).alias("term"))
              .filter(F.col("term").isNotNull())
-             .groupBy(id_col, "term").agg(F.count(F.lit(1)).cast("int").alias("tf")))
+             .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
     # Both join sides read the pairs: write them once to the shared checkpoint
     # folder (also cuts the tokenizing lineage, so a lost executor does not
     # re-tokenize whole texts) instead of tokenizing twice.
     shared_root(df.sparkSession)
     pairs = pairs.checkpoint(eager=True)
-    n_docs = df.count()  # N counts every document row, as IDF does
-    dictionary = pairs.groupBy("term").agg(F.count(F.lit(1)).cast("int").alias("doc_freq"))
+    if n_docs is None:
+        n_docs = df.count()  # N counts every document row, as IDF does
+    dictionary = pairs.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
     idf = F.ln((F.lit(n_docs) + 1.0) / (F.col("doc_freq") + 1.0))
-    joined = checked_join(pairs, dictionary, on="term", salts=32, check="runtime")
+    joined = skew_safe_join(pairs, dictionary, on="term", salts=32)
     return joined.select(id_col, "term", "tf", "doc_freq", idf.alias("idf"),
                          (F.col("tf") * idf).alias("tfidf"))

@@ -1,5 +1,9 @@
 """Pipelines, parameter grids and cross-validated search.
 
+``staged_search`` fits the feature stages once per fold (and per setting of
+theirs), keeps the result, and fits only the model for each of its points;
+``cross_validate`` refits the whole pipeline each time.
+
 Leak rule: every *fitted* stage (indexer, encoder, IDF, model) sits inside the
 pipeline that the search refits per fold; only stateless preparation
 (cleaning, tokens, stop words) may run once before the search.  Folds come
@@ -10,7 +14,11 @@ validator for the duration of that fold only.
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator, Pipeline
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import (IDF, HashingTF, OneHotEncoder, StopWordsRemover,
@@ -68,16 +76,27 @@ def linear_grid(regression: LinearRegression) -> list[dict]:
             .build())
 
 
-def text_grid(hasher: HashingTF, logistic: LogisticRegression) -> list[dict]:
-    """T9. 3 x 2 x 4 x 3 = 72 points."""
+def hashing_grid(hasher: HashingTF) -> list[dict]:
+    """3 x 2 = 6 settings of the text features."""
     return (ParamGridBuilder()
             .addGrid(hasher.numFeatures, [1024, 4096, 16384])
             .addGrid(hasher.binary, [True, False])
+            .build())
+
+
+def logistic_grid(logistic: LogisticRegression) -> list[dict]:
+    """4 x 3 = 12 points of the classifier."""
+    return (ParamGridBuilder()
             .addGrid(logistic.regParam, [0.01, 0.1, 1.0, 10.0])
             .addGrid(logistic.elasticNetParam, [0.0, 0.5, 1.0])
             .build())
 
 
+def text_grid(hasher: HashingTF, logistic: LogisticRegression) -> list[dict]:
+    """T9. 6 x 12 = 72 points."""
+    return [{**a, **b} for a in hashing_grid(hasher) for b in logistic_grid(logistic)]
+
+
 def forest_grid(forest: RandomForestClassifier) -> list[dict]:
     """T10. 4 x 3 = 12 points."""
     return (ParamGridBuilder()
@@ -139,11 +158,53 @@ def best_index(metrics: list[float], larger_is_better: bool) -> int:
     return metrics.index(best)
 
 
-def search_table(spark: SparkSession, cv_model: CrossValidatorModel) -> DataFrame:
+@dataclass
+class SearchResult:
+    points: list[dict]
+    metrics: list[float]
+    evaluator: Evaluator
+    best_model: PipelineModel | None = None
+
+    @property
+    def best(self) -> int:
+        return best_index(self.metrics, self.evaluator.isLargerBetter())
+
+
+def staged_search(stages: Pipeline, stage_grid: list[dict], model: Estimator, grid: list[dict],
+                  evaluator: Evaluator, df: DataFrame, num_folds: int, keep: list[str],
+                  fold_col: str = "fold", parallelism: int | None = None) -> SearchResult:
+    """T8-T9. K-fold search over ``stage_grid`` x ``grid``, the stages fitted
+    once per fold and setting on that fold's training rows only.  ``keep`` are
+    the columns that model and evaluator read.  As many fits at once as the
+    cluster has cores (``parallelism``).  The winner is refitted on all rows."""
+    spark = df.sparkSession
+    points = [{**a, **b} for a in stage_grid for b in grid]
+    totals = [0.0] * len(points)
+    with persisted(df) as rows, ThreadPool(parallelism or spark.sparkContext.defaultParallelism) as pool:
+        for s, setting in enumerate(stage_grid):
+            for fold in range(num_folds):
+                train = rows.where(rows[fold_col] != fold)
+                fitted = stages.fit(train, setting)
+                valid = fitted.transform(rows.where(rows[fold_col] == fold)).select(*keep)
+                with persisted(fitted.transform(train).select(*keep)) as seen, persisted(valid) as unseen:
+                    def score(point):
+                        return evaluator.evaluate(model.fit(seen, point).transform(unseen))
+
+                    found = pool.map(inheritable_thread_target(spark)(score), grid, chunksize=1)
+                for k, metric in enumerate(found):
+                    totals[s * len(grid) + k] += metric
+        result = SearchResult(points, [t / num_folds for t in totals], evaluator)
+        setting, point = stage_grid[result.best // len(grid)], grid[result.best % len(grid)]
+        fitted = stages.fit(rows, setting)
+        best = model.fit(fitted.transform(rows), point)
+    result.best_model = PipelineModel([*fitted.stages, best])
+    return result
+
+
+def search_table(spark: SparkSession, found: CrossValidatorModel | SearchResult) -> DataFrame:
     """T12. One row per grid point with its params and mean metric; exactly one
     ``is_best``, chosen by the evaluator's direction (min RMSE, max AUC)."""
-    grid = cv_model.getEstimatorParamMaps()
-    metrics = [float(m) for m in cv_model.avgMetrics]
-    best = best_index(metrics, cv_model.getEvaluator().isLargerBetter())
-    rows = [(i, describe_point(p), m, i == best) for i, (p, m) in enumerate(zip(grid, metrics))]
+    if not isinstance(found, SearchResult):
+        found = SearchResult(found.getEstimatorParamMaps(), [float(m) for m in found.avgMetrics], found.getEvaluator())
+    rows = [(i, describe_point(p), float(m), i == found.best) for i, (p, m) in enumerate(zip(found.points, found.metrics))]
     return spark.createDataFrame(rows, SEARCH_SCHEMA)

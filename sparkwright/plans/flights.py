@@ -22,29 +22,26 @@ PREPARED_COLS = ["event_id", "mon", "dom", "dow", "carrier", "org", "depart", "d
 
 # ---- S: sources -----------------------------------------------------------
 
-def _flights_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = csv_source.write_flights_csv(views.flights(spark, sf_dir), scratch_path(spark, "flights-csv"))
-    return csv_source.read_flights_csv(spark, path, infer_schema=True)
-
-
 def s1_csv_inferred(spark, sf_dir):
     """CSV with header, ``NA`` nulls, inferred types, read back from a file
     Spark wrote from the flights view.  The write is only there because the
     shared tables are parquet; a user points ``read_flights_csv`` at their
     files.  Inference costs one extra pass over the files."""
-    df = _flights_csv_inferred(spark, sf_dir)
-    return df.withColumn("event_id", F.col("event_id").cast("bigint"))
+    path = csv_source.write_flights_csv(views.flights(spark, sf_dir), scratch_path(spark, "flights-csv"))
+    df = csv_source.read_flights_csv(spark, path, infer_schema=True)
+    return df.withColumns({c: F.col(c).cast("bigint") for c in ("event_id", "flight")})
 
 
 def s2_csv_declared(spark, sf_dir):
-    """Semicolon CSV, no header, declared (id int, text string, label int)."""
-    path = csv_source.write_sms_csv(views.sms(spark, sf_dir), scratch_path(spark, "sms-csv"))
-    return csv_source.read_sms_csv(spark, path)
+    """Semicolon CSV, no header, declared (id bigint, text string, label int);
+    the texts hold line feeds, and null is told from empty."""
+    path = csv_source.write_sms_csv(views.sms(spark, sf_dir), scratch_path(spark, "sms-csv"), "\\N")
+    return csv_source.read_sms_csv(spark, path, "id bigint, text string, label int", True, "\\N")
 
 
 def s4_schema_table(spark, sf_dir):
-    """``dtypes`` of the inferred flights CSV as rows."""
-    return src_inspect.schema_table(_flights_csv_inferred(spark, sf_dir))
+    """``dtypes`` of the flights view as rows."""
+    return src_inspect.schema_table(views.flights(spark, sf_dir))
 
 
 def s5_row_counts(spark, sf_dir):
@@ -194,7 +191,7 @@ idx AS (
 
 _SCHEMA_ROWS = ", ".join(
     f"({i}, '{c}', '{t}', true)" for i, (c, t) in enumerate(zip(
-        FLIGHT_COLS, ["int", "int", "int", "int", "string", "int", "string", "int", "double",
+        FLIGHT_COLS, ["bigint", "int", "int", "int", "string", "bigint", "string", "int", "double",
                       "int", "int"])))
 
 ORACLE = {

@@ -142,19 +142,18 @@ def m5_linear_km_org(spark, sf_dir):
 def _residual_cosines(fitted, train: DataFrame) -> DataFrame:
     """For each feature slot (and the intercept as slot -1): rows with the slot
     non-zero, and |cos| between that column and the training residuals.  Least
-    squares makes every cosine zero.  One pass: explode slots, aggregate per
-    slot (partial aggregation keeps the shuffle to slots x tasks rows)."""
-    scored = fitted.transform(train)
-    resid = (F.col("duration") - F.col("prediction")).alias("resid")
-    cols = F.concat(F.array(F.lit(1.0)), vector_to_array(F.col("features")))
-    long = scored.select(resid, F.posexplode(cols).alias("pos", "x"))
-    agg = long.groupBy("pos").agg(
-        F.count_if(F.col("x") != 0).alias("n_nonzero"),
-        F.sum(F.col("x") * F.col("resid")).alias("xr"),
-        F.sum(F.col("x") * F.col("x")).alias("xx"),
-        F.sum(F.col("resid") * F.col("resid")).alias("rr"))
+    squares makes every cosine zero.  One aggregate with three sums per slot
+    (the model's width is known), laid out as rows afterwards."""
+    width = len(introspect.names_for(fitted.transform(train.limit(0))))
+    resid = F.col("duration") - F.col("prediction")
+    rows = fitted.transform(train).select(resid.alias("resid"), vector_to_array(F.col("features")).alias("x"))
+    columns = [F.lit(1.0), *(F.col("x")[i] for i in range(width))]
+    slots = [F.struct(F.lit(i - 1).alias("slot"), F.count_if(x != 0).alias("n_nonzero"),
+                      F.sum(x * F.col("resid")).alias("xr"), F.sum(x * x).alias("xx")) for i, x in enumerate(columns)]
+    agg = rows.agg(F.array(*slots).alias("slots"), F.sum(F.col("resid") * F.col("resid")).alias("rr"))
+    long = agg.select("rr", F.inline("slots"))
     cos = F.abs(F.col("xr")) / F.sqrt(F.col("xx") * F.col("rr"))
-    return agg.select((F.col("pos") - 1).alias("slot"), "n_nonzero", r(cos).alias("cos_residual"))
+    return long.select("slot", "n_nonzero", r(cos).alias("cos_residual"))
 
 
 def m6_linear_depart(spark, sf_dir):
@@ -225,33 +224,36 @@ def i1_coefficients(spark, sf_dir):
 def i2_speed(spark, sf_dir):
     km_model, _, _ = _km_model(spark, sf_dir)
     fitted, _, _ = _km_org_model(spark, sf_dir)
-    rows = [("km_only", float(km_model.coefficients[0])),
-            ("km_org", float(fitted.stages[-1].coefficients[0]))]
-    schema = StructType([StructField("model", StringType(), False),
-                         StructField("minutes_per_km", DoubleType(), False)])
-    df = spark.createDataFrame(rows, schema)
-    return df.select("model", r("minutes_per_km").alias("minutes_per_km"),
-                     r(F.lit(60.0) / F.col("minutes_per_km"), 4).alias("km_per_hour"))
+    out = None
+    for name, model in (("km_only", km_model), ("km_org", fitted.stages[-1])):
+        table = introspect.speed_table(introspect.coefficient_table(spark, model, ["km"]))
+        row = table.select(F.lit(name).alias("model"), r("minutes_per_km").alias("minutes_per_km"),
+                           r("km_per_hour", 4).alias("km_per_hour"))
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def i3_level_effects(spark, sf_dir):
     fitted, _, train = _km_org_model(spark, sf_dir)
     names = introspect.names_for(fitted.transform(train.limit(0)))
-    levels = fitted.stages[0].labelsArray[0]
-    out = introspect.level_effects(spark, fitted.stages[-1], names, "org_dummy_", list(levels))
+    labels = fitted.stages[0].labelsArray[0]
+    out = introspect.level_effects(spark, fitted.stages[-1], names, "org_dummy_", list(labels))
     return out.withColumn("effect", r("effect"))
 
 
 def i3_level_effects_depart(spark, sf_dir):
-    """Ground minutes by origin and departure bucket from the km + origin +
-    departure model (intercept + both dummies, looked up by name)."""
+    """Ground minutes of the (origin, departure bucket) pairs that the training
+    rows have, from the km + origin + departure model (intercept + both
+    dummies, looked up by name)."""
     fitted, train, _ = _dummies_model(spark, sf_dir, ())
     names = introspect.names_for(fitted.transform(train.limit(0)))
     orgs = list(fitted.stages[0].labelsArray[0])
     buckets = list(train.schema["depart_bucket"].metadata["ml_attr"]["vals"])
+    seen = train.select("org", F.col("depart_bucket").cast("int").alias("b")).distinct().collect()
     out = introspect.level_effects_2(spark, fitted.stages[-1], names,
                                      ("org", "org_dummy_", orgs),
-                                     ("depart", "depart_bucket_dummy_", buckets))
+                                     ("depart", "depart_bucket_dummy_", buckets),
+                                     sorted((x.org, buckets[x.b]) for x in seen))
     return out.withColumn("effect", r("effect"))
 
 
@@ -550,7 +552,8 @@ ORACLE = {
         o.SPLIT + "," + o.two_factor_fit("train", "org", "least(floor(depart / 3), 7) + 1", 8), """
         SELECT l.lvl AS org, printf('%.1f, %.1f', 3.0 * (k - 1), 3.0 * k) AS depart,
                round(fit.a + fit.f[l.fi] + fit.g[k], 6) AS effect
-        FROM flv l, fit, range(1, 9) AS r(k)""", recursive=True),
+        FROM (SELECT DISTINCT org, CAST(least(floor(depart / 3), 7) + 1 AS INTEGER) AS k FROM train)
+        JOIN flv l ON l.lvl = org, fit""", recursive=True),
     "a1_confusion_matrix": o.with_sql(_STUMP, """
         SELECT label, tree_prediction AS prediction, count(*) AS count FROM stump GROUP BY 1, 2"""),
     "a2_confusion_cells": o.with_sql(_STUMP + """,

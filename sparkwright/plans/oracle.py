@@ -8,12 +8,16 @@ Spark side builds with the operators.  DuckDB spells a few things differently:
 
 from __future__ import annotations
 
+from ..functions.hashing import split_point
 from ..functions.stopwords import ENGLISH_STOP_WORDS
 
 
+def md5_hash(key_sql: str, salt: str) -> str:
+    return f"CAST('0x' || substr(md5(CAST({key_sql} AS VARCHAR) || '|{salt}'), 1, 8) AS BIGINT)"
+
+
 def md5_bucket(key_sql: str, salt: str, modulus: int) -> str:
-    return (f"(CAST('0x' || substr(md5(CAST({key_sql} AS VARCHAR) || '|{salt}'), 1, 8) AS BIGINT)"
-            f" % {modulus})")
+    return f"({md5_hash(key_sql, salt)} % {modulus})"
 
 
 FLIGHTS = """
@@ -24,7 +28,7 @@ flights AS (
     CAST(day(ts) AS INTEGER) AS dom,
     CAST(isodow(ts) - 1 AS INTEGER) AS dow,
     'C' || CAST(user_id % 9 AS VARCHAR) AS carrier,
-    CAST(user_id AS INTEGER) AS flight,
+    user_id AS flight,
     event_type AS org,
     100 + 25 * k AS mile,
     round(hour(ts) + minute(ts) / CAST(60 AS DOUBLE), 2) AS depart,
@@ -46,7 +50,7 @@ prepared AS (
     AND depart IS NOT NULL AND duration IS NOT NULL)"""
 
 SPLIT = PREPARED + f""",
-split AS (SELECT *, {md5_bucket('event_id', '17', 1000)} < 800 AS is_train FROM prepared),
+split AS (SELECT *, {md5_hash('event_id', '17')} < {split_point(0.8)} AS is_train FROM prepared),
 train AS (SELECT * FROM split WHERE is_train),
 test AS (SELECT * FROM split WHERE NOT is_train)"""
 
@@ -62,26 +66,26 @@ def _sql_list(words) -> str:
 STOP_LIST = _sql_list(ENGLISH_STOP_WORDS)
 
 SMS = """
-sms AS (SELECT CAST(d.doc_id AS INTEGER) AS id, d.text AS text, CAST(l.quality AS INTEGER) AS label
+sms AS (SELECT d.doc_id AS id, d.text AS text, CAST(l.quality AS INTEGER) AS label
         FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
 
 # X1-X3 cleaning; X4 Tokenizer: lower-case, split on single whitespace, trailing
 # empties dropped (Java split), leading empty kept.
-CLEANED = SMS + r""",
+CLEANED = r"""
 cleaned AS (
-  SELECT id, label,
+  SELECT doc_id AS id,
     regexp_replace(regexp_replace(regexp_replace(text, '[_():;,.!?\-]', ' ', 'g'), '[0-9]', ' ', 'g'), ' +', ' ', 'g') AS text
-  FROM sms)"""
+  FROM documents WHERE text IS NOT NULL)"""
 
 TOKENS = CLEANED + r""",
 tokenized AS (
-  SELECT id, label, text,
+  SELECT id, text,
     regexp_split_to_array(lower(regexp_replace(text, '\s+$', '')), '\s') AS words
   FROM cleaned)"""
 
 TERMS = TOKENS + f""",
 termed AS (
-  SELECT id, label, words,
+  SELECT id, words,
     list_filter(words, lambda w: NOT list_contains({STOP_LIST}, w)) AS terms
   FROM tokenized)"""
 

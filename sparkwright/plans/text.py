@@ -1,7 +1,7 @@
 """Queries for the SMS text path.
 
-Texts are processed whole: every character of every labelled document goes
-through cleaning and tokenizing.  Stateless steps (cleaning, tokens, stop
+Texts are processed whole: every character of every document goes through
+cleaning and tokenizing; the models use the labelled ones.  Stateless steps (cleaning, tokens, stop
 words) run once; fitted steps (IDF, the classifier) see training rows only.
 """
 
@@ -10,11 +10,11 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.partitioning import persisted, spread
+from ..functions.partitioning import persisted
+from ..functions.vectors import sparse_slots
 from ..operators import models, prep, text, tune
 from ..sources import views
 from . import oracle as o
@@ -24,18 +24,22 @@ SMS_KEY = "id"
 
 
 def _cleaned(spark, sf_dir) -> DataFrame:
-    return text.clean_text(spread(views.sms(spark, sf_dir)), "text")
+    """Every document's text, cleaned."""
+    return text.clean_text(views.texts(spark, sf_dir), "text")
+
+
+def _labelled(spark, sf_dir) -> DataFrame:
+    """Cleaned texts of the labelled documents, for the models."""
+    return text.clean_text(views.sms(spark, sf_dir), "text")
 
 
 def _positions(df: DataFrame, col: str, name: str) -> DataFrame:
-    """(id, pos, token) rows; posexplode_outer + filter keeps Catalyst from
-    inferring a size filter below the labels join (which re-tokenizes)."""
-    return (df.select(SMS_KEY, F.posexplode_outer(col).alias("pos", name))
-            .filter(F.col("pos").isNotNull()))
+    """(id, pos, token) rows."""
+    return df.select(SMS_KEY, F.posexplode(col).alias("pos", name))
 
 
-def _terms(spark, sf_dir) -> DataFrame:
-    words = text.tokenize(_cleaned(spark, sf_dir), "text", "words")
+def _terms(spark, sf_dir, source=_cleaned) -> DataFrame:
+    words = text.tokenize(source(spark, sf_dir), "text", "words")
     return text.remove_stop_words(words, "words", "terms")
 
 
@@ -54,10 +58,8 @@ def x5_terms(spark, sf_dir):
 
 
 def _slots(df: DataFrame, col: str, name: str) -> DataFrame:
-    """Non-zero slots of a vector column as ``(id, slot, name)`` rows (outer
-    explode for the same reason as ``_positions``; the filter drops its nulls)."""
-    return (df.select(SMS_KEY, F.posexplode_outer(vector_to_array(F.col(col))).alias("slot", name))
-            .filter(F.col(name) != 0))
+    """Non-zero slots of a vector column as ``(id, slot, name)`` rows."""
+    return df.select(SMS_KEY, F.inline(sparse_slots(col, "slot", name))).filter(F.col(name) != 0)
 
 
 def x6_hashed_counts(spark, sf_dir):
@@ -74,7 +76,8 @@ def x7_hashed_presence(spark, sf_dir):
 
 def x8_tfidf_terms(spark, sf_dir):
     """Term-level TF-IDF with Spark's weight ln((N + 1) / (df + 1))."""
-    out = text.term_tfidf(_terms(spark, sf_dir), SMS_KEY, "terms")
+    n_docs = views.texts(spark, sf_dir).count()
+    out = text.term_tfidf(_terms(spark, sf_dir), SMS_KEY, "terms", n_docs)
     return out.select(SMS_KEY, "term", "tf", "doc_freq", r("idf").alias("idf"), r("tfidf").alias("tfidf"))
 
 
@@ -91,7 +94,7 @@ def _sms_split(df: DataFrame):
 
 def m3_logistic_tfidf(spark, sf_dir):
     """Spam model: 1024 hashed terms, IDF fitted on training rows, L2 logistic (regParam 0.2)."""
-    hashed = text.hash_terms(_terms(spark, sf_dir), "terms", "hash", num_features=1024)
+    hashed = text.hash_terms(_terms(spark, sf_dir, _labelled), "terms", "hash", num_features=1024)
     train, test = _sms_split(hashed)
     with persisted(train) as rows:
         idf = IDF(inputCol="hash", outputCol="features").fit(rows)
@@ -100,27 +103,27 @@ def m3_logistic_tfidf(spark, sf_dir):
 
 
 def t2_text_stages(spark, sf_dir):
-    train, test = _sms_split(_cleaned(spark, sf_dir))
+    train, test = _sms_split(_labelled(spark, sf_dir))
     with persisted(train) as rows:
         fitted = tune.text_stages("text").fit(rows)
     return fitted.transform(test).select(SMS_KEY, "label", "prediction")
 
 
-def t9_grid_text(spark, sf_dir, num_folds: int = 5, parallelism: int = 4):
+def t9_grid_text(spark, sf_dir, num_folds: int = 5):
     """72-point search over hashing and logistic settings, 5 folds (360 fits + 1).
 
-    Tokens and stop words are computed once and cached; hashing (its size and
-    binary flag are searched), IDF and the classifier are refitted per fold."""
-    terms = _terms(spark, sf_dir)
+    Tokens and stop words are computed once; hashing (its size and binary flag
+    are searched) and IDF are fitted once per fold and setting, the classifier
+    for each of its 12 points on the kept result."""
+    terms = _terms(spark, sf_dir, _labelled)
     train, _ = _sms_split(terms)
     train = with_folds(train.select(SMS_KEY, "terms", "label"), num_folds, SMS_KEY)
     hasher = HashingTF(inputCol="terms", outputCol="hash")
     logistic = models.logistic()
-    pipe = Pipeline(stages=[hasher, IDF(inputCol="hash", outputCol="features"), logistic])
-    grid = tune.text_grid(hasher, logistic)
-    cv = tune.cross_validate(pipe, grid, BinaryClassificationEvaluator(numBins=0), train,
-                             num_folds, "fold", parallelism)
-    return tune.search_table(spark, cv).withColumn("metric", r("metric"))
+    stages = Pipeline(stages=[hasher, IDF(inputCol="hash", outputCol="features")])
+    found = tune.staged_search(stages, tune.hashing_grid(hasher), logistic, tune.logistic_grid(logistic),
+                               BinaryClassificationEvaluator(numBins=0), train, num_folds, ["features", "label"])
+    return tune.search_table(spark, found).withColumn("metric", r("metric"))
 
 
 QUERIES = {
@@ -160,9 +163,9 @@ ORACLE = {
         SELECT tf.id, tf.slot, round(tf.tf * ln(((SELECT n FROM nd) + 1) / (dfs.df + 1)), 6) AS weight
         FROM tf JOIN dfs ON tf.slot = dfs.slot"""),
     "x8_tfidf_terms": o.with_sql(o.TERMS + """,
-        pairs AS (SELECT id, term, CAST(count(*) AS INTEGER) AS tf
+        pairs AS (SELECT id, term, count(*) AS tf
                   FROM (SELECT id, unnest(terms) AS term FROM termed) GROUP BY id, term),
-        dict AS (SELECT term, CAST(count(*) AS INTEGER) AS doc_freq FROM pairs GROUP BY term),
+        dict AS (SELECT term, count(*) AS doc_freq FROM pairs GROUP BY term),
         nd AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM termed)""", """
         SELECT p.id, p.term, p.tf, d.doc_freq,
                round(ln(((SELECT n FROM nd) + 1) / (d.doc_freq + 1)), 6) AS idf,

@@ -9,21 +9,18 @@ from pyspark.sql import SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder that every executor can reach.
-
-    The cluster names it in ``spark.checkpoint.dir``; we only read it.  When it is
-    unset (unit tests on a laptop) a private folder is made and registered, so
-    ``DataFrame.checkpoint()`` works in both cases.
-    """
+    """Folder that every executor can reach: ``spark.checkpoint.dir`` as the
+    cluster names it.  Only where that is unset and driver and executors are
+    one process (local master, as in tests) a folder is made and registered."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="sparkwright-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is not set")
+        root = tempfile.mkdtemp(prefix="sparkwright-shared-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

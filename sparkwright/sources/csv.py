@@ -46,30 +46,29 @@ _TEXT_OPTIONS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false"
 
 
 def read_flights_csv(spark: SparkSession, path: str, infer_schema: bool = False,
-                     schema: StructType | None = None,
-                     sampling_ratio: float | None = None) -> DataFrame:
-    """Comma file with a header and ``NA`` nulls.  Inference reads the files
-    once more before the query; ``sampling_ratio`` infers from that fraction
-    of rows instead (for very large inputs; a rare wider type can be missed)."""
+                     schema: StructType | None = None) -> DataFrame:
+    """Comma file with a header and ``NA`` nulls.  Inference reads all files
+    once more before the query."""
     reader = spark.read.options(sep=",", header="true", nullValue="NA")
     if infer_schema:
         reader = reader.option("inferSchema", "true")
-        if sampling_ratio is not None:
-            reader = reader.option("samplingRatio", str(sampling_ratio))
     else:
         reader = reader.schema(schema or FLIGHTS_SCHEMA)
     return reader.csv(path)
 
 
 def read_sms_csv(spark: SparkSession, path: str, schema: StructType | None = None,
-                 multiline: bool = True) -> DataFrame:
+                 multiline: bool = False, null_token: str | None = None) -> DataFrame:
     """Semicolon file, no header, declared schema.
 
     ``multiline`` lets quoted fields hold newlines; such files are read one task
     per file, so write them as many part files (as ``write_sms_csv`` does).
-    """
+    ``null_token`` tells null from an empty text (Spark's default reads both
+    as null)."""
     reader = (spark.read.schema(schema or SMS_SCHEMA)
               .options(sep=";", header="false", multiLine=str(multiline).lower(), **_TEXT_OPTIONS))
+    if null_token is not None:
+        reader = reader.options(nullValue=null_token, emptyValue="")
     return reader.csv(path)
 
 
@@ -79,7 +78,9 @@ def write_flights_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_sms_csv(df: DataFrame, path: str) -> str:
-    (df.write.mode("errorifexists").options(sep=";", header="false", **_TEXT_OPTIONS)
-     .csv(path))
+def write_sms_csv(df: DataFrame, path: str, null_token: str | None = None) -> str:
+    writer = df.write.mode("errorifexists").options(sep=";", header="false", **_TEXT_OPTIONS)
+    if null_token is not None:
+        writer = writer.options(nullValue=null_token, emptyValue='""')
+    writer.csv(path)
     return path

@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.joins import checked_join
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -28,7 +26,7 @@ _FLIGHT_COLUMNS = [
     "cast(day(ts) as int) as dom",
     "cast(weekday(ts) as int) as dow",
     "concat('C', cast(user_id % 9 as string)) as carrier",
-    "cast(user_id as int) as flight",
+    "user_id as flight",
     "event_type as org",
     "100 + 25 * k as mile",
     "round(hour(ts) + minute(ts) / cast(60 as double), 2) as depart",
@@ -50,17 +48,19 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flights_from_events(table(spark, sf_dir, "events"))
 
 
-def sms_from_tables(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """``documents`` joined with ``labels`` -> (id, text, label).
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that has a text, as (id, text)."""
+    docs = table(spark, sf_dir, "documents")
+    return docs.select(F.col("doc_id").alias("id"), "text").where(F.col("text").isNotNull())
 
-    ``labels`` is the small side here, but it is only broadcast after its row
-    count is checked; otherwise a shuffle join on the unique ``doc_id`` runs.
-    """
+
+def sms_from_tables(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """``documents`` joined with ``labels`` -> (id, text, label); Spark picks
+    the join by the measured size of ``labels``."""
     docs = documents.select("doc_id", "text")
     labs = labels.select("doc_id", F.col("quality").alias("label"))
-    joined = checked_join(docs, labs, on="doc_id", how="inner")
-    return joined.select(F.col("doc_id").cast("int").alias("id"), "text",
-                         F.col("label").cast("int").alias("label"))
+    joined = docs.join(labs, on="doc_id")
+    return joined.select(F.col("doc_id").alias("id"), "text", F.col("label").cast("int").alias("label"))
 
 
 def sms(spark: SparkSession, sf_dir: str) -> DataFrame:

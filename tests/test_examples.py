@@ -8,6 +8,6 @@ from conftest import SF_SMALL  # noqa: E402
 
 def test_exercise_walkthrough_runs(spark, capsys):
     import exercises
-    exercises.main(SF_SMALL, quick=True)
+    exercises.main(SF_SMALL)
     out = capsys.readouterr().out
     assert "== forest search" in out and "best test RMSE" in out

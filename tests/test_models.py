@@ -83,7 +83,7 @@ def test_default_classifiers_beat_majority_on_planted_signal(spark):
     train, test = common.split(spark, "/root/testdata/sf0.01")
     tr, te = features.assemble(train, CLASS_FEATURES), features.assemble(test, CLASS_FEATURES)
     majority = max(te.filter("label = 1").count(), te.filter("label = 0").count()) / te.count()
-    for est in (models.decision_tree(), models.random_forest(), models.boosted_trees(maxIter=5)):
+    for est in (models.decision_tree(), models.random_forest(), models.boosted_trees()):
         _, pred = models.fit_and_score(est, tr, te)
         acc = pred.filter("label = prediction").count() / pred.count()
         assert acc > majority + 0.05, type(est).__name__

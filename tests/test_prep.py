@@ -42,29 +42,29 @@ def test_distinct_sorted(flights_fixture):
     assert [r.carrier for r in rows] == ["AA", "UA", "US"]
 
 
-def test_training_frame_sizes_partitions_by_rows(spark):
-    from sparkwright.functions.partitioning import ROWS_PER_TASK, spread, training_frame
-    tiny = training_frame(spark.range(0, 500, numPartitions=8))
-    assert tiny.rdd.getNumPartitions() == 1 and tiny.count() == 500
-    par = spark.sparkContext.defaultParallelism
-    wide = training_frame(spark.range(0, ROWS_PER_TASK * par, numPartitions=1))
-    assert wide.rdd.getNumPartitions() == par
-    big = training_frame(spark.range(0, ROWS_PER_TASK * par, numPartitions=2 * par))
-    assert big.rdd.getNumPartitions() == 2 * par            # already wide: left alone
-    assert spread(spark.range(10, numPartitions=2 * par)).rdd.getNumPartitions() == 2 * par
-    for d in (tiny, wide, big):
-        d.unpersist()
-
-
-def test_checked_join_broadcasts_only_below_bound(spark):
-    from sparkwright.functions.joins import checked_join, small_enough
-    big = spark.range(0, 1000).withColumnRenamed("id", "k")
-    small = spark.range(0, 10).withColumnRenamed("id", "k")
-    assert small_enough(small, 10) and not small_enough(small, 9)
-    hinted = checked_join(big, small, "k", max_rows=10)._jdf.queryExecution().logical().toString()
-    unhinted = checked_join(big, small, "k", max_rows=9)._jdf.queryExecution().logical().toString()
-    assert "broadcast" in hinted.lower() and "broadcast" not in unhinted.lower()
-    assert checked_join(big, small, "k", max_rows=9).count() == 10
+def test_fractions_close_to_the_ends_leave_both_sides(spark):
+    rows = spark.range(100_000)
+    for fraction in (0.9996, 0.0004):
+        train, test = prep.train_test_split(rows, "id", fraction)
+        assert train.count() > 0 and test.count() > 0
+    train, test = prep.train_test_split(rows, "id", 1.0)
+    assert (train.count(), test.count()) == (100_000, 0)
+
+
+def test_building_a_query_over_a_join_runs_no_job(spark):
+    from sparkwright.functions.partitioning import persisted
+    from sparkwright.sources import views
+    docs = spark.range(1000).selectExpr("id AS doc_id", "string(id) AS text")
+    labels = spark.range(1000).selectExpr("id AS doc_id", "int(id % 2) AS quality")
+    spark.sparkContext.setJobGroup("build", "building")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        with persisted(views.sms_from_tables(docs, labels)):
+            assert not spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_salted_join_spreads_a_hot_key(spark):
@@ -85,18 +85,19 @@ def test_salted_join_spreads_a_hot_key(spark):
     assert joined.exceptAll(plain.select(*joined.columns)).count() == 0
 
 
-def test_runtime_checked_join_without_adaptive_execution(spark):
+def test_join_without_adaptive_execution_is_salted(spark):
     from pyspark.sql import functions as F
 
-    from sparkwright.functions.joins import checked_join
+    from sparkwright.functions.joins import skew_safe_join
     big = spark.range(200).select((F.col("id") % 5).alias("t"), F.col("id"))
     small = big.groupBy("t").count()
     before = spark.conf.get("spark.sql.adaptive.enabled")
     try:
         spark.conf.set("spark.sql.adaptive.enabled", "false")
-        off = checked_join(big, small, on="t", check="runtime", max_rows=0, salts=4)   # count check, salted
-        assert off.count() == 200
+        off = skew_safe_join(big, small, on="t", salts=4)
+        assert "__salt" in off._jdf.queryExecution().logical().toString()
+        rows = sorted(map(tuple, off.select("t", "id", "count").collect()))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
-    on = checked_join(big, small, on="t", check="runtime")
-    assert sorted(map(tuple, on.collect())) == sorted(map(tuple, off.select(*on.columns).collect()))
+    on = skew_safe_join(big, small, on="t")
+    assert sorted(map(tuple, on.select("t", "id", "count").collect())) == rows and len(rows) == 200

@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from sparkwright.plans import common
-from sparkwright.plans.text import _cleaned, _sms_split
+from sparkwright.plans.text import _labelled, _sms_split
 from conftest import SF_SMALL
 
 Q = entry.queries()
@@ -16,7 +16,7 @@ Q = entry.queries()
 @pytest.fixture(scope="module")
 def sizes(spark):
     train, test = common.split(spark, SF_SMALL)
-    sms_train, sms_test = _sms_split(_cleaned(spark, SF_SMALL))
+    sms_train, sms_test = _sms_split(_labelled(spark, SF_SMALL))
     return {"test": test.count(), "sms_test": sms_test.count()}
 
 
@@ -57,7 +57,7 @@ def test_linear_search_tables(spark):
     best = min(r.metric for r in table)
     assert [r for r in table if r.is_best][0].metric == best
     summary = Q["t12_best_metric"](spark, SF_SMALL).first()
-    assert (summary.n_points, summary.best_metric, summary.larger_is_better) == (12, best, False)
+    assert (summary.n_points, summary.larger_is_better) == (12, False) and abs(summary.best_metric - best) < 2e-6
     chosen = Q["t11_best_model"](spark, SF_SMALL).first()
     winner = [r for r in table if r.is_best][0].params
     assert winner.startswith(f"regParam={chosen.reg_param!r}") and chosen.test_rmse > 0
@@ -70,7 +70,6 @@ def test_forest_search_table(spark):
     assert [r for r in table if r.is_best][0].metric == max(r.metric for r in table)
 
 
-@pytest.mark.skipif(not __import__("os").environ.get("RUN_SLOW"), reason="360 fits; set RUN_SLOW=1")
 def test_text_search_table(spark):
     table = Q["t9_grid_text"](spark, SF_SMALL).collect()
     assert len(table) == 72 and sum(r.is_best for r in table) == 1

@@ -67,12 +67,12 @@ def test_idf_stage_matches_term_formula(sms_fixture):
 
 
 def test_salted_join_equals_plain_join(sms_fixture):
-    from sparkwright.functions.joins import checked_join
+    from sparkwright.functions.joins import salted_join
     pairs = (_terms(sms_fixture).select("id", F.explode("terms").alias("term"))
              .groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf")))
     d = pairs.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
     plain = sorted(tuple(r) for r in pairs.join(d, "term").select("id", "term", "tf", "doc_freq").collect())
-    salted = checked_join(pairs, d, on="term", max_rows=0, salts=8)   # bound 0: never broadcast
+    salted = salted_join(pairs, d, on="term", salts=8)
     assert sorted(tuple(r) for r in salted.select("id", "term", "tf", "doc_freq").collect()) == plain
 
 

@@ -1,3 +1,4 @@
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import HashingTF
@@ -23,16 +24,18 @@ def test_search_table_one_best_by_direction(spark):
     df = common.with_folds(train, 3).select("org", "km", "duration", "fold")
     reg = models.linear()
     pipe = tune.regression_stages("org", (), ("km",), regression=reg)
-    cv = tune.cross_validate(pipe, tune.linear_grid(reg)[:4], RegressionEvaluator(labelCol="duration"),
+    cv = tune.cross_validate(pipe, tune.linear_grid(reg), RegressionEvaluator(labelCol="duration"),
                              df, 3, "fold", 2)
     rows = tune.search_table(spark, cv).collect()
-    assert len(rows) == 4 and sum(r.is_best for r in rows) == 1
+    assert len(rows) == 12 and sum(r.is_best for r in rows) == 1
     best = [r for r in rows if r.is_best][0]
     assert best.metric == min(r.metric for r in rows)
     assert best.params.startswith("regParam=")
-    again = tune.cross_validate(pipe, tune.linear_grid(reg)[:4], RegressionEvaluator(labelCol="duration"),
-                                df, 3, "fold", 1)
-    assert [round(m, 9) for m in again.avgMetrics] == [round(m, 9) for m in cv.avgMetrics]
+    stages = Pipeline(stages=pipe.getStages()[:-1])
+    again = tune.staged_search(stages, [{}], reg, tune.linear_grid(reg), RegressionEvaluator(labelCol="duration"),
+                               df, 3, ["features", "duration"])
+    assert [round(m, 9) for m in again.metrics] == [round(m, 9) for m in cv.avgMetrics]
+    assert again.best_model.stages[-1].coefficients == cv.bestModel.stages[-1].coefficients
 
 
 def test_folds_partition_rows(spark):
