@@ -14,12 +14,12 @@ when a word first asks for it: the arc ``y`` behind ``x`` exists if none of
 the gadgets applied since removed it, which is found by going back through
 the gadgets that made ``x`` and ``y``.  The entry then stays in the table.
 
-A word has one accepted path through the automaton.  Going over the word's
-positions, the state at a position is the last token of its prefix: the one
-token ending there that has an arc from the state at its start.  Decoding
-emits the labels of the arcs.
+A word has one accepted path through the automaton, and so has each of its
+prefixes.  The path is followed with the longest arc first; where no arc goes
+on, that position is no boundary in the word and is not entered again, so the
+work is linear in the word.  Decoding emits the labels of the arcs.
 
-Words are cached per Python worker within ``words.CACHE_WORDS``; the arc table
+Words are cached per Python worker within twice ``words.CACHE_WORDS``; the arc table
 starts anew beyond ``ARC_ENTRIES``.
 
 Defined results: a null text counts as empty (no ids, empty decoded text);
@@ -40,7 +40,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .words import FAR, WordCache, byte_characters, split_words
+from .words import CACHE_WORDS, FAR, WordCache, byte_characters, split_words
 
 #: Entries of the arc table per Python worker.
 ARC_ENTRIES = 500_000
@@ -116,27 +116,40 @@ class Automaton:
         """Ids of one pre-split word in byte-level characters."""
         n, size = len(word), self.size
         inner, final, arcs = self.inner.get, self.final.get, self.arcs.get
-        state, begin = [-1] * (n + 1), [0] * (n + 1)
-        for start in range(n):
-            here = state[start] * size
-            if start and here < 0:
-                continue  # no token sequence ends here
-            last = final(word[start:])
-            if last is not None and state[n] < 0 and (not start or arcs(here + last) or self.arc(state[start], last)):
-                state[n], begin[n] = last, start
-            for end in range(start + 1, n):
-                token = inner(word[start:end])
+        out: list[int] = []  # labels of the arcs gone along
+        ends: list[int] = []
+        untried: list[list[int]] = []  # per place on the path, shorter arcs
+        dead: set[int] = set()
+        at, state = 0, -1
+        while True:
+            last = final(word[at:])
+            if last is not None and (state < 0 or arcs(state * size + last) or self.arc(state, last)):
+                out.append(last)
+                return out
+            choices: list[int] = []
+            for end in range(at + 1, n):
+                token = inner(word[at:end])
                 if token is None:
                     break
-                if token >= 0 and state[end] < 0 and (not start or arcs(here + token) or self.arc(state[start], token)):
-                    state[end], begin[end] = token, start
-        out, at = [], n
-        while at:
-            if state[at] < 0:
-                raise ValueError(f"no path for {word!r}")
-            out.append(state[at])
-            at = begin[at]
-        return out[::-1]
+                if token >= 0:
+                    choices += (end, token)
+            while True:
+                if choices:
+                    token, end = choices.pop(), choices.pop()
+                    if end not in dead and (state < 0 or arcs(state * size + token) or self.arc(state, token)):
+                        break
+                elif out:  # no way on from here, whatever led here
+                    dead.add(at)
+                    out.pop()
+                    ends.pop()
+                    choices = untried.pop()
+                    at, state = (ends[-1], out[-1]) if out else (0, -1)
+                else:
+                    raise ValueError(f"no path for {word!r}")
+            untried.append(choices)
+            out.append(token)
+            ends.append(end)
+            at, state = end, token
 
     def pre_split(self, text: str) -> list[str]:
         """Words of a text without special tokens, in byte-level characters."""
@@ -194,7 +207,7 @@ def automaton(spec: str) -> tuple[Automaton, WordCache]:
     if key not in _LOADED:
         _LOADED.clear()
         a = Automaton(spec)
-        _LOADED[key] = a, WordCache(a.letters, a.any_word, _join)
+        _LOADED[key] = a, WordCache(a.letters, a.any_word, _join, 2 * CACHE_WORDS)
     return _LOADED[key]
 
 
