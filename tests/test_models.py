@@ -129,3 +129,20 @@ def test_tree_merges_leaves_of_equal_class(spark):
     df = spark.createDataFrame(rows, ["features", "label"])
     m = models.decision_tree(maxDepth=3).fit(df)
     assert m.depth <= 1
+
+
+def test_unknown_levels_raise(spark):
+    import pytest
+
+    from sparkwright.plans import models as pm
+    fitted, _, train = pm._km_org_model(spark, SF_SMALL)
+    names = introspect.names_for(fitted.transform(train.limit(0)))
+    labels = list(fitted.stages[0].labelsArray[0])
+    model = fitted.stages[-1]
+    dropped = introspect.level_effects(spark, model, names, "org_dummy_", labels, labels[-1:]).first()
+    assert dropped.effect == model.intercept
+    with pytest.raises(KeyError):
+        introspect.level_effects(spark, model, names, "org_dummy_", labels, ["misspelt"])
+    with pytest.raises(KeyError):
+        introspect.level_effects_2(spark, model, names, ("a", "org_dummy_", labels), ("b", "org_dummy_", labels),
+                                   [(labels[0], "misspelt")])
