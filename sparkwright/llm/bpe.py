@@ -40,6 +40,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .storage import make_importable
 from .words import CACHE_WORDS, FAR, WordCache, byte_characters, split_words
 
 #: Entries of the arc table per Python worker.
@@ -222,6 +223,7 @@ def encode_decode(documents: DataFrame, tokenizer_path: str) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded``: ``ids`` are the decimal ids joined
     by one space, ``decoded`` the text made from them."""
     spec = read_spec(tokenizer_path)
+    make_importable(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, cache = automaton(spec)

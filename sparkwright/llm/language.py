@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import make_importable
+
 BUCKETS = 1 << 15
 UNDETERMINED = "und"
 _LETTER: list[np.ndarray] = []
@@ -61,6 +63,7 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def learn(labelled: DataFrame, label: str = "lang") -> tuple[list[str], np.ndarray]:
     """Languages and log-likelihoods (languages x ``BUCKETS``) from ``text``
     and ``label``."""
+    make_importable(labelled.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -132,6 +135,7 @@ def infer(words: np.ndarray, penalty: float) -> tuple[list[int], np.ndarray]:
 def identify(documents: DataFrame, names: list[str], model: np.ndarray, penalty: float = 3.0) -> DataFrame:
     """``doc_id, lang_pred, score, languages``: the largest language, its
     share, and the chosen set as ``array<struct<lang, share>>``."""
+    make_importable(documents.sparkSession)
     table = np.ascontiguousarray(model.T)
     kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
 

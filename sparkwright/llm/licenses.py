@@ -32,6 +32,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import make_importable
+
 GRAM, WINDOW, BAND = 3, 2, 8
 BLOCK_WORDS = 200_000
 _WORD = re.compile(r"[^\W_]+")
@@ -227,6 +229,7 @@ def scan(documents: DataFrame, templates: list[tuple[str, str]] | None = None, l
     """One row per match: ``doc_id, license, template`` (its number),
     ``matched`` words, ``coverage`` of the template, ``start`` and ``end`` (code
     points of the text) and the ``span`` itself."""
+    make_importable(documents.sparkSession)
     templates = default_templates() if templates is None else templates
     kind = documents.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, license string, template int, matched int, coverage double, start int, end int, span string"

@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .storage import settle
+from .storage import make_importable, settle
 
 SHINGLE, LEAST = 5, (75, 100)
 TREES, WIDTH, FIRST_DEPTH, DEPTH = 10, 128, 3, 24
@@ -140,6 +140,7 @@ def _class_of(shingles: np.ndarray) -> bytes:
 def describe(documents: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, cls, sketch, nodes``; the last three null for an
     empty set."""
+    make_importable(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import settle
+from .storage import make_importable, settle
 
 SPACES, SYMBOLS = b" \t\n\x0b\x0c\r", b"#*$%&|<>"
 WINDOW = 5
@@ -104,6 +104,7 @@ _LINES = pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64()), ("near
 
 def measure_documents(documents: DataFrame, host: str = "source") -> DataFrame:
     """One pass: counts and ``lines`` (line, words, near) per document."""
+    make_importable(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

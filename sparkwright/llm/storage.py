@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +24,15 @@ def shared_folder(spark: SparkSession) -> str:
     return named
 
 
+def make_importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import this package however the
+    driver found it.  On a cluster the package is installed or shipped."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Cut the lineage: ``df`` written once to the shared folder."""
     shared_folder(df.sparkSession)

@@ -43,6 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .storage import make_importable
 from .words import CACHE_WORDS, WordCache, byte_characters, split_words
 
 MAGIC, HEAD = b"PFR1", struct.Struct("<4sIIIQ")
@@ -211,6 +212,7 @@ def encode_ids(documents: DataFrame, tokenizer_path: str, end_id: int) -> DataFr
         raise ValueError("a byte-level tokenizer that drops white space is expected")
     kind = id_kind(spec, end_id)
     end = np.array([end_id], kind).tobytes()
+    make_importable(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _encoder(spec, kind)
@@ -289,6 +291,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
     ``start`` counts the ids before it: the totals of the parts before (as many
     rows as parts), of the segments before, and of the segment's rows before."""
+    make_importable(spark)
     files = spark.read.schema("part int, segment int, n_ids long, data binary").parquet(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

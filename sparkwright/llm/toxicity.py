@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .language import _is_letter, teaching
-from .storage import settle
+from .storage import make_importable, settle
 
 #: Bounds on the sample and the vocabulary.
 POSITIVES, UNLABELLED, VOCABULARY, LEAST, BAGS = 6000, 18000, 4096, 4, 4
@@ -99,6 +99,7 @@ def _drawn(doc_id: Column, share: float) -> Column:
 
 def draw_sample(documents: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
     """``doc_id, text, positive`` of the bounded sample, and the class prior."""
+    make_importable(documents.sparkSession)
     known = teaching(labels).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where("toxic IS NOT NULL")
     n, toxic = known.agg(F.count("*"), F.coalesce(F.sum((F.col("toxic") == 1).cast("int")), F.lit(0))).first()
     if not toxic:
@@ -217,6 +218,7 @@ def fit(sample: DataFrame, vocabulary: np.ndarray, prior: float) -> np.ndarray:
 
 def score(documents: DataFrame, vocabulary: np.ndarray, weights: np.ndarray) -> DataFrame:
     """``doc_id, score`` of every whole text."""
+    make_importable(documents.sparkSession)
     slopes, bias = weights[:, :-1], weights[:, -1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
