@@ -26,7 +26,7 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.partitioning import persisted
 from ..operators import evaluate, features, introspect, models, prep, tune
@@ -119,9 +119,23 @@ def m1_tree_default(spark, sf_dir):
     return _scores(pred)
 
 
+def _default_logistic(spark, sf_dir):
+    """The default logistic model, its solver run to the optimum."""
+    _, pred = _class_scored(spark, sf_dir, models.logistic(tol=1e-10, maxIter=1000))
+    return pred
+
+
 def m2_logistic_default(spark, sf_dir):
-    _, pred = _class_scored(spark, sf_dir, models.logistic())
-    return _scores(pred)
+    return _scores(_default_logistic(spark, sf_dir), r(p1(), 4).alias("p1"))
+
+
+def a2_confusion_logistic(spark, sf_dir):
+    return evaluate.confusion_cells(_default_logistic(spark, sf_dir))
+
+
+def e2_auc_logistic(spark, sf_dir):
+    pred = _default_logistic(spark, sf_dir)
+    return one_row(spark, auc=evaluate.area_under_roc(pred)).select(r("auc").alias("auc"))
 
 
 def m2_logistic_by_origin(spark, sf_dir):
@@ -339,6 +353,8 @@ QUERIES = {
     "m1_tree_stump": m1_tree_stump,
     "m1_tree_default": m1_tree_default,
     "m2_logistic_default": m2_logistic_default,
+    "a2_confusion_logistic": a2_confusion_logistic,
+    "e2_auc_logistic": e2_auc_logistic,
     "m2_logistic_by_origin": m2_logistic_by_origin,
     "m4_linear_km": m4_linear_km,
     "m5_linear_km_org": m5_linear_km_org,
@@ -480,8 +496,7 @@ cd(t, b) AS (
 
 # Unpenalised logistic regression on (mon, depart, duration): the maximum-
 # likelihood fit by cyclic one-coordinate Newton steps on standardized
-# columns (100 sweeps; converged well before).  Only the 0/1 predictions are
-# compared, which L-BFGS's stopping point does not change on these rows.
+# columns (100 sweeps; converged well before).
 _LOGISTIC_MLE = o.SPLIT + """,
 sc AS (SELECT avg(mon) AS m1, stddev_pop(mon) AS s1, avg(depart) AS m2, stddev_pop(depart) AS s2,
               avg(duration) AS m3, stddev_pop(duration) AS s3 FROM train),
@@ -498,6 +513,13 @@ nt(t, b) AS (
            FROM zt) AS step
         FROM nt WHERE t < 400))"""
 
+_LOGISTIC_SCORED = _LOGISTIC_MLE + """,
+margins AS (
+  SELECT t.event_id, t.label, nt.b[1] + nt.b[2] * (t.mon - sc.m1) / sc.s1 + nt.b[3] * (t.depart - sc.m2) / sc.s2
+    + nt.b[4] * (t.duration - sc.m3) / sc.s3 AS margin
+  FROM test t, sc, nt WHERE nt.t = 400),
+scored AS (SELECT *, CASE WHEN margin > 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction FROM margins)"""
+
 _ELASTIC = """(sy / sx) * sign(c / (sx * sy)) * greatest(abs(c / (sx * sy)) - lam * mix / sy, 0)
               / (1 + lam * (1 - mix) / sy)"""
 
@@ -511,12 +533,23 @@ ORACLE = {
         m AS (SELECT org, avg(label) AS p FROM train GROUP BY org)""", """
         SELECT t.event_id, t.label, CASE WHEN m.p > 0.5 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction, round(m.p, 6) AS p1
         FROM test t JOIN m ON t.org = m.org"""),
-    "m2_logistic_default": o.with_sql(_LOGISTIC_MLE, """
-        SELECT t.event_id, t.label,
-               CASE WHEN nt.b[1] + nt.b[2] * (t.mon - sc.m1) / sc.s1 + nt.b[3] * (t.depart - sc.m2) / sc.s2
-                         + nt.b[4] * (t.duration - sc.m3) / sc.s3 > 0
-                    THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction
-        FROM test t, sc, nt WHERE nt.t = 400""", recursive=True),
+    "m2_logistic_default": o.with_sql(_LOGISTIC_SCORED, """
+        SELECT event_id, label, prediction, round(1 / (1 + exp(-margin)), 4) AS p1 FROM scored""", recursive=True),
+    "a2_confusion_logistic": o.with_sql(_LOGISTIC_SCORED + """,
+        cells AS (SELECT count(*) FILTER (WHERE prediction = 0 AND label = 0) AS tn,
+                         count(*) FILTER (WHERE prediction = 1 AND label = 1) AS tp,
+                         count(*) FILTER (WHERE prediction = 0 AND label = 1) AS fn,
+                         count(*) FILTER (WHERE prediction = 1 AND label = 0) AS fp FROM scored)""", """
+        SELECT tn, tp, fn, fp,
+               CAST(tn + tp AS DOUBLE) / (tn + tp + fn + fp) AS accuracy,
+               CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) END AS precision,
+               CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) END AS recall
+        FROM cells""", recursive=True),
+    "e2_auc_logistic": o.with_sql(_LOGISTIC_SCORED + """,
+        ranked AS (SELECT label, rank() OVER (ORDER BY margin) + (count(*) OVER (PARTITION BY margin) - 1) / 2.0 AS place
+                   FROM scored)""", """
+        SELECT round((sum(place) FILTER (WHERE label = 1) - sum(label) * (sum(label) + 1) / 2.0)
+                     / (sum(label) * (count(*) - sum(label))), 6) AS auc FROM ranked""", recursive=True),
     "m4_linear_km": o.with_sql(_OLS_KM, """
         SELECT -1 AS position, 'intercept' AS term, round(a, 6) AS coefficient FROM ols
         UNION ALL SELECT 0, 'km', round(b, 6) FROM ols"""),
