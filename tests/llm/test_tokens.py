@@ -7,7 +7,6 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sparkwright.llm import bpe, queries, token_files, words
