@@ -180,6 +180,23 @@ def m7_linear_all(spark, sf_dir):
     return _residual_cosines(fitted, train)
 
 
+def m7_linear_all_scored(spark, sf_dir):
+    """Test predictions of the model on km and all dummies."""
+    fitted, _, test = _dummies_model(spark, sf_dir, ("dow", "mon"))
+    return fitted.transform(test).select(KEY, r("prediction", 4).alias("prediction"))
+
+
+def e3_rmse_all(spark, sf_dir):
+    """Test RMSE on km and all dummies: least squares, and the lasso (run to
+    its optimum)."""
+    rows = []
+    for name, params in (("linear_all", {}), ("lasso_all", {"regParam": LASSO_REG_PARAM, "elasticNetParam": 1.0,
+                                                            "tol": 1e-12, "maxIter": 1000})):
+        fitted, _, test = _dummies_model(spark, sf_dir, ("dow", "mon"), **params)
+        rows.append((name, "rmse", evaluate.rmse(fitted.transform(test))))
+    return evaluate.metric_table(spark, rows).withColumn("value", r("value", 5))
+
+
 def m8_lasso_km(spark, sf_dir):
     model, _, _ = _km_model(spark, sf_dir, regParam=LASSO_REG_PARAM, elasticNetParam=1.0)
     return introspect.coefficient_table(spark, model, ["km"]).withColumn("coefficient", r("coefficient"))
@@ -353,6 +370,8 @@ QUERIES = {
     "m1_tree_stump": m1_tree_stump,
     "m1_tree_default": m1_tree_default,
     "m2_logistic_default": m2_logistic_default,
+    "m7_linear_all_scored": m7_linear_all_scored,
+    "e3_rmse_all": e3_rmse_all,
     "a2_confusion_logistic": a2_confusion_logistic,
     "e2_auc_logistic": e2_auc_logistic,
     "m2_logistic_by_origin": m2_logistic_by_origin,
@@ -513,6 +532,23 @@ nt(t, b) AS (
            FROM zt) AS step
         FROM nt WHERE t < 400))"""
 
+def _layout_scored(penalty: float, sweeps: int, name: str) -> str:
+    """The descent of ``_LASSO_CD`` with another penalty (0: least squares),
+    more sweeps, and its predictions ``name`` for the test rows."""
+    fit = _LASSO_CD.replace(repr(LASSO_REG_PARAM) + " / (SELECT sy", repr(penalty) + " / (SELECT sy")
+    fit = fit.replace("t < 60 * p", f"t < {sweeps} * p")
+    slots = fit.split("\nex AS (")[1].split("),\nst AS (")[0]
+    return fit + f""",
+trw AS (SELECT t.event_id, t.km, CAST(t.duration AS DOUBLE) AS y, x.i AS oi,
+               CAST(least(floor(t.depart / 3), 7) AS INTEGER) AS b, t.dow, t.mon
+        FROM test t JOIN idx x ON t.org = x.org),
+tex AS ({slots.replace("FROM rw", "FROM trw")}),
+place AS (SELECT slot, m, s, row_number() OVER (ORDER BY slot) AS i FROM mom),
+beta AS (SELECT slot, m, cd.b[i] * (SELECT sy FROM st) / s AS w FROM place, cd WHERE t = {sweeps} * (SELECT p FROM mats)),
+{name} AS (SELECT r.event_id, r.y, (SELECT my FROM st) - (SELECT sum(w * m) FROM beta) + coalesce(sum(e.x * w), 0) AS prediction
+  FROM trw r LEFT JOIN tex e ON e.event_id = r.event_id LEFT JOIN beta USING (slot) GROUP BY r.event_id, r.y)"""
+
+
 _LOGISTIC_SCORED = _LOGISTIC_MLE + """,
 margins AS (
   SELECT t.event_id, t.label, nt.b[1] + nt.b[2] * (t.mon - sc.m1) / sc.s1 + nt.b[3] * (t.depart - sc.m2) / sc.s2
@@ -620,6 +656,13 @@ ORACLE = {
                round(sqrt(avg(pow(t.duration - (o.a + o.b * t.km), 2))), 6) AS value FROM test t, ols o
         UNION ALL
         SELECT 'km_org', 'rmse', round(sqrt(avg(pow(duration - prediction, 2))), 6) FROM fwl_test"""),
+    "m7_linear_all_scored": o.with_sql(_layout_scored(0.0, 200, "scored"), """
+        SELECT event_id, round(prediction, 4) AS prediction FROM scored""", recursive=True),
+    "e3_rmse_all": "SELECT 'linear_all' AS model, 'rmse' AS metric, value FROM (" + o.with_sql(
+        _layout_scored(0.0, 200, "scored"), "SELECT round(sqrt(avg(pow(y - prediction, 2))), 5) AS value FROM scored",
+        recursive=True) + ") UNION ALL SELECT 'lasso_all', 'rmse', value FROM (" + o.with_sql(
+        _layout_scored(LASSO_REG_PARAM, 60, "scored"), "SELECT round(sqrt(avg(pow(y - prediction, 2))), 5) AS value FROM scored",
+        recursive=True) + ")",
     "i4_zero_coefficients": o.with_sql(_LASSO_CD, """
         SELECT CAST(len(b) AS INTEGER) AS n_coefficients,
                CAST(len(list_filter(b, lambda v: v = 0)) AS INTEGER) AS n_zero
