@@ -6,9 +6,8 @@ above the limit are boilerplate.  They count as removed, and a document that
 keeps too small a part of its words is depleted and rejected.
 
 Copies of one document would make all of its lines look like boilerplate and
-be rejected together, original included.  So "distinct" is by what surrounds a
-line: documents count once per smallest hash among their *other* lines, which
-(near-)copies mostly share and unrelated documents do not.
+be rejected together, original included.  So documents of one host with the
+same set of lines count once; any other document counts as itself.
 
 The limit of a host is ``max_share`` of its documents, ``min_docs`` at least.
 
@@ -68,17 +67,20 @@ def line_hash(line: bytes) -> int:
     return int.from_bytes(md5(line).digest()[:8], "big") - (1 << 63)
 
 
-def line_table(lines: list[bytes]) -> list[tuple[int, int, int]]:
-    """Per distinct normalised line: hash, words in all its occurrences, and
-    the smallest hash among the other lines (its own if there is no other)."""
+def line_table(lines: list[bytes]) -> list[tuple[int, int]]:
+    """Per distinct normalised line: hash, and words in all its occurrences."""
     counts: dict[int, int] = {}
     for line in lines:
         words = line.split()
         if words:
             h = line_hash(b" ".join(words).lower())
             counts[h] = counts.get(h, 0) + len(words)
-    low = sorted(counts)[:2]
-    return [(h, n, low[-1] if h == low[0] else low[0]) for h, n in counts.items()]
+    return list(counts.items())
+
+
+def set_hash(table: list[tuple[int, int]]) -> bytes:
+    """128 bits of the set of a document's lines."""
+    return md5(np.sort(np.array([h for h, _ in table], "i8")).tobytes()).digest()
 
 
 def measure(text: str | None) -> tuple:
@@ -99,11 +101,11 @@ def measure(text: str | None) -> tuple:
     return len(words), len(text) - spaces, symbols, dup, repeated_words(words), line_table(lines)
 
 
-_LINES = pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64()), ("near", pa.int64())]))
+_LINES = pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64())]))
 
 
 def measure_documents(documents: DataFrame, host: str = "source") -> DataFrame:
-    """One pass: counts and ``lines`` (line, words, near) per document."""
+    """One pass: counts, ``lines`` (line, words) and ``line_set`` per document."""
     make_importable(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,25 +114,24 @@ def measure_documents(documents: DataFrame, host: str = "source") -> DataFrame:
                 part = batch.slice(at, 512)
                 columns = list(zip(*map(measure, part.column(2).to_pylist())))
                 values = [pa.array(c, pa.int64()) for c in columns[:5]]
-                lines = pa.array([[dict(zip(("line", "words", "near"), x)) for x in c] for c in columns[5]], _LINES)
+                lines = pa.array([[dict(zip(("line", "words"), x)) for x in c] for c in columns[5]], _LINES)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), *values, lines],
-                    ["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines"],
+                    [part.column(0), part.column(1), *values, lines, pa.array(map(set_hash, columns[5]), pa.binary())],
+                    ["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines", "line_set"],
                 )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", F.col(host).cast("string").alias("host"), "text").mapInArrow(
         run,
         f"doc_id {kind}, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-        "n_repeat_words long, lines array<struct<line:long,words:long,near:long>>",
+        "n_repeat_words long, lines array<struct<line:long,words:long>>, line_set binary",
     )
 
 
 def frequent_lines(lines: DataFrame, hosts: DataFrame, max_share: float, min_docs: int) -> DataFrame:
-    """``host, line`` above their host's limit. ``lines`` has a row per
-    document and line, ``hosts`` has ``host, docs``."""
-    contexts = lines.groupBy("host", "line", "near").agg(F.count("*"))
-    counts = contexts.groupBy("host", "line").agg(F.count("*").alias("docs_with"))
+    """``host, line`` above their host's limit. ``lines`` has a row per line
+    and distinct document, ``hosts`` has ``host, docs``."""
+    counts = lines.groupBy("host", "line").agg(F.count("*").alias("docs_with"))
     over = counts.where(F.col("docs_with") > min_docs).join(hosts, "host")
     return over.where(F.col("docs_with") > F.col("docs") * max_share).select("host", "line")
 
@@ -151,11 +152,13 @@ def quality(
     )
     lines = measured.select("row", "host", F.inline("lines"))
     hosts = measured.groupBy("host").agg(F.count("*").alias("docs"))
-    frequent = frequent_lines(lines, hosts, max_share, min_docs)
+    distinct = measured.groupBy("host", "line_set").agg(F.min("row").alias("row"))
+    counted = measured.join(distinct.select("row"), "row", "left_semi").select("host", F.inline("lines"))
+    frequent = frequent_lines(counted, hosts, max_share, min_docs)
     removed = lines.join(frequent, ["host", "line"]).groupBy("row").agg(F.sum("words").alias("removed_words"))
     failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") > F.col("n_words") * max_repeated)
     left = F.col("n_words") - F.col("removed_words")
-    judged = measured.drop("lines", "host").join(removed, "row", "left").drop("row")
+    judged = measured.drop("lines", "line_set", "host").join(removed, "row", "left").drop("row")
     judged = judged.withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("long")))
     return judged.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (left >= F.col("n_words") * least_left)

@@ -209,3 +209,11 @@ def test_quality_verdicts(spark):
     assert not verdict[None] and not verdict[600] and verdict[601] and not verdict[602] and not verdict[603]
     assert len(kept) == len(rows) and {r for _, _, _, r in kept if r} == {12, 24}
     assert quality.quality(df.limit(0)).count() == 0
+
+
+def test_block_shared_by_all_documents(spark):
+    block = "\n".join(" ".join(f"b{k}w{i}" for i in range(12)) for k in range(20))
+    rows = [(k, f"{block}\nown{k}", "h1") for k in range(1000)] + [(2000 + k, f"{block}\nown7", "h2") for k in range(1000)]
+    got = quality.quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {r.doc_id for r in got if not r.kept} == set(range(1000))
+    assert {r.removed_words for r in got} == {0, 20 * 12}
