@@ -9,7 +9,8 @@ Copies of one document would make all of its lines look like boilerplate and
 be rejected together, original included.  So documents of one host with the
 same set of lines count once; any other document counts as itself.
 
-The limit of a host is ``max_share`` of its documents, ``min_docs`` at least.
+The limit is ``min_docs`` documents, however large the host is; on a small host
+``small_share`` of its documents, ``FEW`` at least.
 
 Words are runs of ``[^\\x20\\x09-\\x0D]``; a few counts per document and rules
 on them (``base_failed``) come along from the same pass.
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from .storage import make_importable, settle
 
 SPACES, SYMBOLS = b" \t\n\x0b\x0c\r", b"#*$%&|<>"
-WINDOW = 5
+WINDOW, FEW = 5, 2
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], "u8")
 
 
@@ -128,19 +129,20 @@ def measure_documents(documents: DataFrame, host: str = "source") -> DataFrame:
     )
 
 
-def frequent_lines(lines: DataFrame, hosts: DataFrame, max_share: float, min_docs: int) -> DataFrame:
+def frequent_lines(lines: DataFrame, hosts: DataFrame, min_docs: int, small_share: float) -> DataFrame:
     """``host, line`` above their host's limit. ``lines`` has a row per line
     and distinct document, ``hosts`` has ``host, docs``."""
     counts = lines.groupBy("host", "line").agg(F.count("*").alias("docs_with"))
-    over = counts.where(F.col("docs_with") > min_docs).join(hosts, "host")
-    return over.where(F.col("docs_with") > F.col("docs") * max_share).select("host", "line")
+    small = hosts.select("host", (F.col("docs") * small_share).alias("limit")).where(F.col("limit") < min_docs)
+    over = counts.where(F.col("docs_with") > FEW).join(small, "host", "left")
+    return over.where(F.col("docs_with") > F.coalesce("limit", F.lit(min_docs))).select("host", "line")
 
 
 def quality(
     documents: DataFrame,
     host: str = "source",
-    max_share: float = 0.1,
     min_docs: int = 50,
+    small_share: float = 0.5,
     least_left: float = 0.3,
     min_words: int = 10,
     max_repeated: float = 0.2,
@@ -154,7 +156,7 @@ def quality(
     hosts = measured.groupBy("host").agg(F.count("*").alias("docs"))
     distinct = measured.groupBy("host", "line_set").agg(F.min("row").alias("row"))
     counted = measured.join(distinct.select("row"), "row", "left_semi").select("host", F.inline("lines"))
-    frequent = frequent_lines(counted, hosts, max_share, min_docs)
+    frequent = frequent_lines(counted, hosts, min_docs, small_share)
     removed = lines.join(frequent, ["host", "line"]).groupBy("row").agg(F.sum("words").alias("removed_words"))
     failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") > F.col("n_words") * max_repeated)
     left = F.col("n_words") - F.col("removed_words")

@@ -217,3 +217,13 @@ def test_block_shared_by_all_documents(spark):
     got = quality.quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
     assert {r.doc_id for r in got if not r.kept} == set(range(1000))
     assert {r.removed_words for r in got} == {0, 20 * 12}
+
+
+def test_limits_of_hot_and_small_hosts(spark):
+    said = lambda name: " ".join(f"{name}{i}" for i in range(12))
+    rows = [(k, f"{said('p') if k < 51 else said('q') if k < 101 else ''}\nown{k}", "hot") for k in range(3000)]
+    rows += [(4000 + k, f"{said('r')}\n{said('s') if k < 5 else ''}\nown{k}", "small") for k in range(10)]
+    rows += [(5000 + k, f"{said('t')}\nown{k}", "two") for k in range(2)]
+    got = quality.quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {r.doc_id for r in got if r.removed_words} == {*range(51), *range(4000, 4010)}
+    assert {r.removed_words for r in got} == {0, 12}
