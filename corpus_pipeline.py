@@ -4,7 +4,8 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
 written as Parquet and read again as the next one's ``docs``.  All but the last
 return the columns of ``documents``.
 
-1. quality: documents that fail the base rules or are depleted go.
+1. quality: documents that fail the base rules or are depleted go; of the
+   others the lines above the limit go (``n_chars`` follows).
 2. language: documents of no determinable language go.
 3. near_duplicates: of each group one document stays.
 4. decontamination: contaminated documents go.
@@ -53,7 +54,10 @@ def _keep(docs: DataFrame, judged: DataFrame) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _keep(docs, quality.quality(_keyed(docs)).where("kept"))
+    done = quality.clean(docs, carry=[c for c in docs.columns if c not in ("doc_id", "text")]).where("kept")
+    changed = F.size("removed_lines") > 0
+    n_chars = F.when(changed, F.char_length("clean_text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return done.withColumn("n_chars", n_chars).withColumn("text", F.col("clean_text")).select(*docs.columns)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

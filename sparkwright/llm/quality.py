@@ -2,8 +2,9 @@
 
 A document's lines are normalised (its words joined by one space, A-Z in lower
 case) and hashed.  Per host, each line's distinct documents are counted; lines
-above the limit are boilerplate.  They count as removed, and a document that
-keeps too small a part of its words is depleted and rejected.
+above the limit are boilerplate.  They are removed, and a document that keeps
+too small a part of its words is depleted and rejected.  ``quality`` returns the
+counts and verdicts, ``clean`` the texts without those lines.
 
 Copies of one document would make all of its lines look like boilerplate and
 be rejected together, original included.  So documents of one host with the
@@ -16,7 +17,8 @@ Words are runs of ``[^\\x20\\x09-\\x0D]``; a few counts per document and rules
 on them (``base_failed``) come along from the same pass.
 
 Scale: one pass over the texts writes a row per document with its line hashes
-to the shared folder; only hashes are shuffled.  Counts are combined before
+to the shared folder; only hashes are shuffled.  ``clean`` reads the texts a
+second time and joins them with their verdicts by id, host and md5 of the text.  Counts are combined before
 each shuffle, and the join with the frequent lines is on (host, line), whose
 skew Spark splits.
 
@@ -27,13 +29,14 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from .storage import make_importable, settle
 
@@ -68,17 +71,31 @@ def line_hash(line: bytes) -> int:
     return int.from_bytes(md5(line).digest()[:8], "big") - (1 << 63)
 
 
+def normal_hash(words: list[bytes]) -> int:
+    """Hash of the normalised line of these words."""
+    return line_hash(b" ".join(words).lower())
+
+
 def line_table(lines: list[bytes]) -> list[tuple[int, int]]:
     """Per distinct normalised line: hash, and words in all its occurrences."""
     counts: dict[int, int] = {}
     for line in lines:
         words = line.split()
         if words:
-            h = line_hash(b" ".join(words).lower())
+            h = normal_hash(words)
             counts[h] = counts.get(h, 0) + len(words)
     return list(counts.items())
 
 
+def split_text(text: str, frequent: set[int]) -> tuple[str, list[str]]:
+    """The text without its frequent lines, and those lines as they stood."""
+    left, gone = [], []
+    for line in text.split("\n"):
+        words = line.encode().split()
+        (gone if words and normal_hash(words) in frequent else left).append(line)
+    return "\n".join(left), gone
+
+
 def set_hash(table: list[tuple[int, int]]) -> bytes:
     """128 bits of the set of a document's lines."""
     return md5(np.sort(np.array([h for h, _ in table], "i8")).tobytes()).digest()
@@ -138,16 +155,8 @@ def frequent_lines(lines: DataFrame, hosts: DataFrame, min_docs: int, small_shar
     return over.where(F.col("docs_with") > F.coalesce("limit", F.lit(min_docs))).select("host", "line")
 
 
-def quality(
-    documents: DataFrame,
-    host: str = "source",
-    min_docs: int = 50,
-    small_share: float = 0.5,
-    least_left: float = 0.3,
-    min_words: int = 10,
-    max_repeated: float = 0.2,
-) -> DataFrame:
-    """Per document its counts, ``base_failed``, ``removed_words`` and ``kept``."""
+def _judge(documents: DataFrame, host: str, min_docs: int, small_share: float, least_left: float, min_words: int, max_repeated: float) -> DataFrame:
+    """``quality`` with ``frequent``, the hashes of a document's frequent lines."""
     measured = measure_documents(documents, host)
     measured = settle(
         measured.withColumn("host", F.coalesce("host", F.lit(""))).withColumn("row", F.monotonically_increasing_id())
@@ -157,7 +166,9 @@ def quality(
     distinct = measured.groupBy("host", "line_set").agg(F.min("row").alias("row"))
     counted = measured.join(distinct.select("row"), "row", "left_semi").select("host", F.inline("lines"))
     frequent = frequent_lines(counted, hosts, min_docs, small_share)
-    removed = lines.join(frequent, ["host", "line"]).groupBy("row").agg(F.sum("words").alias("removed_words"))
+    removed = lines.join(frequent, ["host", "line"]).groupBy("row").agg(
+        F.sum("words").alias("removed_words"), F.collect_list("line").alias("frequent")
+    )
     failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") > F.col("n_words") * max_repeated)
     left = F.col("n_words") - F.col("removed_words")
     judged = measured.drop("lines", "line_set", "host").join(removed, "row", "left").drop("row")
@@ -165,3 +176,52 @@ def quality(
     return judged.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (left >= F.col("n_words") * least_left)
     )
+
+
+def quality(
+    documents: DataFrame,
+    host: str = "source",
+    min_docs: int = 50,
+    small_share: float = 0.5,
+    least_left: float = 0.3,
+    min_words: int = 10,
+    max_repeated: float = 0.2,
+) -> DataFrame:
+    """Per document its counts, ``base_failed``, ``removed_words`` and ``kept``."""
+    return _judge(documents, host, min_docs, small_share, least_left, min_words, max_repeated).drop("frequent")
+
+
+def clean(
+    documents: DataFrame,
+    host: str = "source",
+    min_docs: int = 50,
+    small_share: float = 0.5,
+    least_left: float = 0.3,
+    min_words: int = 10,
+    max_repeated: float = 0.2,
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """``doc_id, host, text``, the columns in ``carry``, ``clean_text,
+    removed_lines, kept`` per document: its text without the lines above the
+    limit, and those lines in order.  ``clean_text`` of a null text is null."""
+    make_importable(documents.sparkSession)
+    own = documents.select("doc_id", F.col(host).cast("string").alias("host"), "text", *carry)
+    fields = [*own.schema.fields, *DataType.fromDDL("clean_text string, removed_lines array<string>, kept boolean").fields]
+    keys = own.withColumn("_key", F.to_json(F.struct("doc_id", "host", F.md5("text").alias("md5"))))
+    keyed = keys.select(F.col("_key").alias("doc_id"), "host", "text")
+    judged = _judge(keyed, "host", min_docs, small_share, least_left, min_words, max_repeated)
+    # rows of one key have one text and host, so one verdict
+    verdicts = judged.select(F.col("doc_id").alias("_key"), F.col("kept").alias("_kept"), F.col("frequent").alias("_frequent"))
+    verdicts = verdicts.dropDuplicates(["_key"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, found = batch.column("text").to_pylist(), batch.column("_frequent").to_pylist()
+            done = [split_text(t, set(f)) if f else (t, []) for t, f in zip(texts, found)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-2], pa.array([t for t, _ in done], pa.string()), pa.array([g for _, g in done], pa.list_(pa.string())), batch.column("_kept")],
+                [f.name for f in fields],
+            )
+
+    joined = keys.join(verdicts, "_key").drop("_key")
+    return joined.mapInArrow(run, StructType(fields))

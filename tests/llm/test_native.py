@@ -227,3 +227,24 @@ def test_limits_of_hot_and_small_hosts(spark):
     got = quality.quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
     assert {r.doc_id for r in got if r.removed_words} == {*range(51), *range(4000, 4010)}
     assert {r.removed_words for r in got} == {0, 12}
+
+
+def test_clean_texts(spark):
+    menu = "Home  About us and all the other pages of this site here"
+    own = lambda k: " ".join(f"o{k}w{i}" for i in range(15))
+    rows = [(k, f"{own(k)}\n{menu}\n\n  {menu.upper()}\r\nend{k}", "h", k % 2 == 0) for k in range(60)]
+    rows += [(100, f"{menu}\nok", "h", True), (101, own(101), "h", True), (102, f"{own(102)}\n{menu}", "h2", True)]
+    rows += [(None, None, None, None), (103, "", "h", True), (0, own(200), "h", True), (0, rows[0][1], "h2", True), rows[3]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, kept boolean")
+    got = quality.clean(df).collect()
+    assert sorted((r.doc_id or -1, r.text or "", r.host or "") for r in got) == sorted((d or -1, t or "", s or "") for d, t, s, _ in rows)
+    for r in got:
+        if r.host == "h" and r.doc_id < 60 and r.text != own(200):
+            assert r.clean_text == f"{own(r.doc_id)}\n\nend{r.doc_id}" and r.removed_lines == [menu, f"  {menu.upper()}\r"] and r.kept
+        elif r.doc_id == 100:
+            assert (r.clean_text, r.removed_lines, r.kept) == ("ok", [menu], False)
+        else:
+            assert (r.clean_text, r.removed_lines) == (r.text, []) and r.kept == bool(r.text)
+    carried = quality.clean(df.withColumnRenamed("kept", "lang"), carry=["lang"])
+    assert {(r.doc_id, r.lang) for r in carried.collect()} == {(d, x) for d, _, _, x in rows}
+    assert quality.clean(df.limit(0)).count() == 0

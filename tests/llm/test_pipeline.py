@@ -95,3 +95,12 @@ def test_stages_with_odd_rows(spark, sf_dir, tmp_path):
         docs = stage(spark, docs, sf_dir)
     assert docs.count() == 0
     assert language.UNDETERMINED == "und"
+
+
+def test_quality_stage_passes_clean_texts(spark, sf_dir):
+    menu = "Home About us and all the other pages of this site"
+    own = [" ".join(f"o{k}w{i}" for i in range(20)) for k in range(60)]
+    rows = [(k, f"{menu}\n{x}", "de", "h", len(menu) + 1 + len(x)) for k, x in enumerate(own)] + [(99, f"{menu}\nok", "de", "h", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(map(tuple, corpus_pipeline.quality_stage(spark, docs, sf_dir).collect()))
+    assert got == [(k, x, "de", "h", len(x)) for k, x in enumerate(own)]
