@@ -15,11 +15,15 @@ connected component of links.
    path with a probability that falls only slowly with the depth, others soon
    part.  ``recall_of_pair`` gives the recall of the trees for a similarity.
 3. Nodes of ``NODE`` documents or fewer are compared exhaustively on sketches.
-   Larger ones branch further; their documents are first compared with one of
-   them (the pivot), and those close to it leave, which loses nothing: the
-   distance of sketches is a metric, so whatever is near them is linked to the
-   pivot by the wider bound.  Nodes still large at ``DEPTH`` are compared in
-   all pairs of chunks.  A node reports a spanning forest of its pairs, not
+   In larger ones all documents are first compared with one of them (the
+   pivot), and those close to it leave, which loses nothing: the distance of
+   sketches is a metric, so whatever is near them is linked to the pivot by the
+   wider bound.  All others within the wider bound are linked to the pivot, so
+   only pairs with a document beyond it (far) are still to be found.  A node
+   with no far documents is done; up to ``NODE`` far ones are compared with all
+   of the node, chunk by chunk; more branch further, from ``FIRST_DEPTH`` in
+   ``REPEATS`` independent subtrees, so that the recall holds at any depth.
+   Nodes still large at ``DEPTH`` are compared in all pairs of chunks.  A node reports a spanning forest of its pairs, not
    all pairs.
 4. Components of these candidate pairs are families.  A family's full sets are
    made anew from the texts and compared exactly; a family of more than
@@ -59,6 +63,8 @@ TREES, WIDTH, FIRST_DEPTH, DEPTH = 10, 128, 3, 24
 NEAR, CLOSE = 76, 115
 WIDE = NEAR + CLOSE - WIDTH
 NODE, FAMILY = 1000, 4_000_000
+#: Subtrees of a branching first node: keeps ``recall_of_pair`` at ``DEPTH``.
+REPEATS = 15
 BROADCAST_ROWS = 1_000_000
 
 _RNG = np.random.default_rng(20240229)
@@ -113,9 +119,11 @@ def children(keys: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def recall_of_pair(similarity: float, trees: int = TREES, depth: int = FIRST_DEPTH) -> float:
-    """Chance that a pair meets in some node of the first nodes compared."""
+    """Chance that a pair meets in some node at ``depth``."""
     lost = 0.0
-    for _ in range(depth):
+    for below in range(depth):
+        if below and below == depth - FIRST_DEPTH:
+            lost **= REPEATS
         one = 1 - similarity + similarity * lost
         lost = one * 2 / 3 + one**2 / 3
     return 1 - lost**trees
@@ -229,25 +237,44 @@ def _compare_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*set(found))], ["a", "b"])
 
 
-def _descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``key, cls, sketch, pivot, pivot_sketch`` of large nodes to rows
-    ``key, a, b``: pairs (key null), and children (b null)."""
+def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``key, cls, sketch, pivot, pivot_sketch`` of large nodes to ``key, cls,
+    pivot, agree``."""
     for batch in batches:
         table = pa.Table.from_batches([batch])
-        keys = table["key"].to_numpy().view("u8")
-        sketch = _sketches(table["sketch"])
-        agree = (sketch == _sketches(table["pivot_sketch"])).sum(axis=1)
-        cls, pivot = table["cls"].to_pylist(), table["pivot"].to_pylist()
-        pairs = [(None, cls[k], pivot[k]) for k in np.flatnonzero(agree >= WIDE).tolist() if cls[k] != pivot[k]]
-        stay = np.flatnonzero(agree < CLOSE)
-        rows, down = children(keys[stay], sketch[stay])
-        rest = [(k, cls[stay[r]], None) for r, k in zip(rows.tolist(), down.view("i8").tolist())]
-        columns = list(zip(*pairs, *rest)) or [(), (), ()]
+        agree = (_sketches(table["sketch"]) == _sketches(table["pivot_sketch"])).sum(axis=1)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.binary()))], ["key", "a", "b"]
+            [batch.column("key"), batch.column("cls"), batch.column("pivot"), pa.array(agree, pa.int64())],
+            ["key", "cls", "pivot", "agree"],
         )
 
 
+def _descend(repeats: int):
+    """``key, cls, sketch`` to the children ``key, cls``, in ``repeats``
+    independent subtrees."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = pa.Table.from_batches([batch.slice(at, 1024)])
+                keys, sketch = part["key"].to_numpy().view("u8"), _sketches(part["sketch"])
+                for nth in range(repeats):
+                    rows, down = children(_mix(keys + np.uint64(nth) * _STEP[3]) if nth else keys, sketch)
+                    cls = part["cls"].combine_chunks().take(pa.array(rows))
+                    yield pa.RecordBatch.from_arrays([pa.array(down.view("i8")), cls], ["key", "cls"])
+
+    return run
+
+
+def _with_far(rows: DataFrame) -> DataFrame:
+    """Deal ``key, cls, agree, m`` of nodes with few far documents out in
+    chunks, the far ones to each chunk."""
+    chunks = F.ceil(F.col("m") / NODE).cast("long")
+    own = F.array(F.pmod(F.xxhash64("cls", F.lit(7)), chunks))
+    each = F.explode(F.when(F.col("agree") < WIDE, F.sequence(F.lit(0).cast("long"), chunks - 1)).otherwise(own))
+    return rows.withColumn("_chunk", each).select(F.xxhash64("key", "_chunk").alias("key"), "cls")
+
+
 def _chunk_pairs(df: DataFrame, key: str, chunks: str, cls: str) -> DataFrame:
     """Deal each group out in all pairs of its ``chunks``: every row goes to
     the pairs of its chunk with each chunk, under a new ``key``."""
@@ -281,9 +308,14 @@ def candidates(classes: DataFrame) -> DataFrame:
             break
         pivots = sketches.select(F.col("cls").alias("pivot"), F.col("sketch").alias("pivot_sketch"))
         rows = large.join(sketches, "cls").join(pivots, "pivot").select("key", "cls", "sketch", "pivot", "pivot_sketch")
-        down = settle(rows.mapInArrow(_descend, "key long, a binary, b binary"))
-        found.append(down.where("b IS NOT NULL").select("a", "b"))
-        level = down.where("key IS NOT NULL").select("key", F.col("a").alias("cls")).distinct()
+        seen = settle(rows.mapInArrow(_measure, "key long, cls binary, pivot binary, agree long"))
+        found.append(seen.where((F.col("agree") >= WIDE) & (F.col("cls") != F.col("pivot"))).select(F.col("cls").alias("a"), F.col("pivot").alias("b")))
+        far = seen.groupBy("key").agg(F.count_if(F.col("agree") < WIDE).alias("far"), F.count_if(F.col("agree") < CLOSE).alias("m"))
+        stay = seen.where(F.col("agree") < CLOSE).join(far.where("far > 0"), "key")
+        leaves.append(_with_far(stay.where(F.col("far") <= NODE)).withColumn("chunks", F.lit(1).cast("long")))
+        branching = stay.where(F.col("far") > NODE).join(sketches, "cls").select("key", "cls", "sketch")
+        repeats = REPEATS if depth == FIRST_DEPTH else 1
+        level = branching.mapInArrow(_descend(repeats), "key long, cls binary").distinct()
     nodes = leaves[0]
     for more in leaves[1:]:
         nodes = nodes.unionByName(more)

@@ -3,6 +3,7 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,3 +133,32 @@ def test_components_of_nothing(spark):
     none = spark.createDataFrame([], "a long, b long")
     assert components(none).count() == 0
     assert components(none.unionByName(spark.range(3).select(F.col("id").alias("a"), F.col("id").alias("b")))).count() == 0
+
+
+def isolated_pairs(spark, agree, first):
+    """Recall of pairs of 100 agreements whose nodes are one large node of
+    1500 more documents that have ``agree`` agreements with a template."""
+    rng = np.random.default_rng(first)
+    base = rng.integers(0, 256, near.WIDTH, "u1")
+
+    def like(sketch, n):
+        own = rng.integers(0, 256, near.WIDTH, "u1")
+        at = rng.permutation(near.WIDTH)[:n]
+        own[at] = sketch[at]
+        return own
+
+    sketches = [like(base, agree) for _ in range(1500)]
+    for _ in range(100):
+        one = like(base, 45)
+        sketches += [one, like(one, 100)]
+    rows = [(bytes([first]) + k.to_bytes(4, "big"), x.tobytes(), [first]) for k, x in enumerate(sketches)]
+    df = spark.createDataFrame(rows, "cls binary, sketch binary, nodes array<long>")
+    group = {bytes(r.node): bytes(r.component) for r in components(near.candidates(df)).collect()}
+    met = [group.get(a[0], a[0]) == group.get(b[0], b[0]) for a, b in zip(rows[1500::2], rows[1501::2])]
+    return sum(met) / len(met)
+
+
+def test_isolated_pairs_in_large_nodes(spark):
+    assert isolated_pairs(spark, 105, 1) == 1  # template pages: few far documents, exact
+    assert isolated_pairs(spark, 45, 2) >= 0.97  # only a frequent passage in common: one node of about 24
+    assert near.recall_of_pair(0.75, depth=near.DEPTH) > 0.9998
