@@ -6,7 +6,7 @@ return the columns of ``documents``.
 
 1. quality: documents that fail the base rules or are depleted go; of the
    others the lines above the limit go (``n_chars`` follows).
-2. language: documents of no determinable language go.
+2. language: documents without a letter go, also where no row has a label.
 3. near_duplicates: of each group one document stays.
 4. decontamination: contaminated documents go.
 5. tokens: what is left, encoded and decoded.
@@ -62,6 +62,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     names, model = language.learn(language.teaching(docs))
+    if not names:  # no row teaches: judged by the text alone
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     found = language.identify(_keyed(docs), names, model)
     return _keep(docs, found.where(F.col("lang_pred") != language.UNDETERMINED))
 

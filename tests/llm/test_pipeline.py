@@ -104,3 +104,9 @@ def test_quality_stage_passes_clean_texts(spark, sf_dir):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     got = sorted(map(tuple, corpus_pipeline.quality_stage(spark, docs, sf_dir).collect()))
     assert got == [(k, x, "de", "h", len(x)) for k, x in enumerate(own)]
+
+
+def test_language_stage_without_labels(spark, sf_dir):
+    rows = [(1, "ein Text", None), (2, "12 34", None), (3, "слово", None), (4, None, None), (5, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(map(tuple, corpus_pipeline.language_stage(spark, docs, sf_dir).collect())) == [rows[0], rows[2]]
