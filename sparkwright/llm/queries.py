@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, language, licenses, near_duplicates, quality, sharding, token_files, toxicity
+from . import audit, bpe, chat, decontaminate, language, licenses, middle, near_duplicates, quality, sharding, token_files, toxicity
 from .storage import shared_folder
 
 
@@ -222,6 +222,89 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, path)
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order of the five filters, step by step, per language."""
+    return audit.audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+marks AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+  FROM labels GROUP BY doc_id),
+failing AS (
+  SELECT d.row, part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, map {
+    'A': len(words) < 100,
+    'B': 100 * len(list_distinct(words)) < 80 * len(words),
+    'C': 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 10 * length(text),
+    'D': regexp_matches(text, '[#$%&*|]'),
+    'E': coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY text), false)} AS fails
+  FROM docs d LEFT JOIN marks m ON d.doc_id = m.doc_id),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+kinds AS (
+  SELECT part, array_to_string(list_filter(['A', 'B', 'C', 'D', 'E'], lambda f: fails[f]), '') AS failed, count(*) AS n,
+    count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failing GROUP BY ALL),
+ends AS (  -- the step that removes a kind of document, 6 if none does
+  SELECT part, filter_order, failed, n, good, toxic,
+    coalesce(list_min([instr(filter_order, f) for f in string_split(failed, '') if f <> '']), 6) AS gone
+  FROM kinds, orders),
+stepwise AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, substr(filter_order, step, 1) AS f,
+    sum(n) FILTER (gone > step) AS kept,
+    sum(n) FILTER (gone = step) AS removed,
+    sum(n) FILTER (gone < step AND contains(failed, substr(filter_order, step, 1))) AS redundant,
+    sum(n) FILTER (failed = substr(filter_order, step, 1)) AS unique_fails,
+    sum(good) FILTER (gone = step) AS good_lost,
+    sum(toxic) FILTER (gone = step) AS toxic_lost
+  FROM ends, range(1, 6) t(step) GROUP BY part, filter_order, step)
+SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM stepwise
+"""
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in its fill-in-middle form, and the text read back."""
+    done = middle.fill_in_middle(_read(spark, sf_dir, "documents"))
+    return done.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+OP13_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+    sha256('1:' || coalesce(doc_id::VARCHAR, 'null')) AS h FROM documents),
+drawn AS (
+  SELECT *, ('0x' || substr(h, 1, 8))::UBIGINT % (len(units) + 1) AS c1, ('0x' || substr(h, 9, 8))::UBIGINT % (len(units) + 1) AS c2,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+           OR ('0x' || substr(h, 17, 8))::UBIGINT % 100 >= 90 THEN 'plain'
+         WHEN ('0x' || substr(h, 25, 8))::UBIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM docs),
+cut AS (
+  SELECT *, array_to_string(units[1:least(c1, c2)::BIGINT], '') AS p, array_to_string(units[greatest(c1, c2)::BIGINT + 1:], '') AS s,
+    array_to_string(units[least(c1, c2)::BIGINT + 1:greatest(c1, c2)::BIGINT], '') AS m FROM drawn)
+SELECT doc_id, CAST(len(units) AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM cut
+"""
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_chat_format": op2_chat_format,
@@ -233,6 +316,8 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_token_files": op10_token_files,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLE = {
@@ -240,4 +325,6 @@ ORACLE = {
     "op3_quality_rules": OP3_SQL,
     "op4_sharding": OP4_SQL,
     "op8_decontaminate": OP8_SQL,
+    "op12_filter_audit": OP12_SQL,
+    "op13_fill_in_middle": OP13_SQL,
 }
