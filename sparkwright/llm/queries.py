@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audit, bpe, chat, decontaminate, language, licenses, middle, near_duplicates, quality, sharding, token_files, toxicity
+from . import audit, bpe, chat, decontaminate, language, licenses, middle, near_duplicates, packing, quality, sharding, token_files, toxicity
 from .storage import shared_folder
 
 
@@ -222,6 +222,14 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, path)
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 4096 tokens, by piece."""
+    pieces = packing.pack(_read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), 2)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order of the five filters, step by step, per language."""
     return audit.audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
@@ -316,6 +324,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_token_files": op10_token_files,
+    "op11_packing": op11_packing,
     "op12_filter_audit": op12_filter_audit,
     "op13_fill_in_middle": op13_fill_in_middle,
 }

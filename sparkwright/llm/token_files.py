@@ -197,20 +197,30 @@ def _fits(spec: str) -> bool:
     return '"ByteLevel"' in spec and ids(" a \n\tb's, É. ") == ids("a") + ids("b") + ids("'s") + ids(",") + ids("é") + ids(".")
 
 
-def id_kind(spec: str, end_id: int) -> str:
+def vocabulary_size(spec: str, end_id: int) -> int:
+    """One more than the largest id."""
     from tokenizers import Tokenizer
 
-    return "<u2" if max(end_id, *Tokenizer.from_str(spec).get_vocab().values()) < 1 << 16 else "<u4"
+    return max(end_id, *Tokenizer.from_str(spec).get_vocab().values()) + 1
 
 
-def encode_ids(documents: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
-    """``doc_id, width, ids``: the ids of a text and the end id, ``width``
-    bytes each (two, or four if the vocabulary needs them)."""
-    with open(tokenizer_path, encoding="utf-8") as f:
+def id_kind(spec: str, end_id: int) -> str:
+    return "<u2" if vocabulary_size(spec, end_id) <= 1 << 16 else "<u4"
+
+
+def tokenizer(path: str, end_id: int) -> tuple[str, str]:
+    """The tokenizer file's content, and the numpy kind that holds its ids."""
+    with open(path, encoding="utf-8") as f:
         spec = f.read()
     if not _fits(spec):
         raise ValueError("a byte-level tokenizer that drops white space is expected")
-    kind = id_kind(spec, end_id)
+    return spec, id_kind(spec, end_id)
+
+
+def encode_ids(documents: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
+    """``doc_id, width, ids``: the ids of a text and the end id, ``width``
+    bytes each (two, or four if the vocabulary needs them)."""
+    spec, kind = tokenizer(tokenizer_path, end_id)
     end = np.array([end_id], kind).tobytes()
     make_importable(documents.sparkSession)
 

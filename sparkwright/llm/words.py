@@ -13,7 +13,7 @@ _SEPARATORS = re.compile("[\x1c-\x1f]")  # white space for str.split(), not for
 _SPACE = regex.compile(r"\s+")
 #: From here on character classes differ between Unicode versions.
 FAR = re.compile("[԰-\U0010ffff]")
-_TAILS = frozenset(".,;:!?")
+_TAILS = ".,;:!?#$%&*()"
 
 #: Cached words per Python worker; beyond it the cache starts anew.
 CACHE_WORDS = 250_000
@@ -48,8 +48,8 @@ class WordCache(dict):
 
     ``letters`` encodes a lower-case word of plain letters, ``any_word`` any
     word; ``join`` puts two values together.  A word that is plain letters and
-    one mark is its letters' value and the mark's, so that ``Word,`` and
-    ``word`` are encoded once."""
+    marks after them is its letters' value and the marks', so that ``Word,``
+    and ``word`` are encoded once."""
 
     def __init__(self, letters: Callable, any_word: Callable, join: Callable, size: int = CACHE_WORDS):
         super().__init__()
@@ -57,8 +57,8 @@ class WordCache(dict):
         self.marks: dict = {}
 
     def __missing__(self, word: str):
-        mark = word[-1] if word[-1] in _TAILS else ""
-        core = word[:-1] if mark else word
+        core = word.rstrip(_TAILS)
+        mark = word[len(core) :]
         low = core.lower()
         if len(self) >= self.size:
             self.clear()
@@ -71,9 +71,12 @@ class WordCache(dict):
                 if len(low) <= CACHE_LENGTH:
                     self[low] = value
             if mark:
-                if mark not in self.marks:
-                    self.marks[mark] = self.any_word(mark)
-                value = self.join(value, self.marks[mark])
+                last = self.marks.get(mark)
+                if last is None:
+                    last = self.any_word(mark)
+                    if len(mark) <= 4:
+                        self.marks[mark] = last
+                value = self.join(value, last)
         if len(word) <= CACHE_LENGTH:
             self[word] = value
         return value
