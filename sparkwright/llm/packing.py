@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from . import token_files
 from .storage import make_importable, settle
-from .words import split_words
+from .words import slices
 
 WINDOW = 4096
 #: Ids of a shard, about.
@@ -68,27 +68,27 @@ def encode(documents: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     and ids; and, with null ``ids``, each task's documents ``n`` per ``term``."""
     spec, kind = token_files.tokenizer(tokenizer_path, end_id)
     size = token_files.vocabulary_size(spec, end_id)
-    end = np.array([end_id], kind).tobytes()
     make_importable(documents.sparkSession)
     id_type = documents.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "term", "n", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = token_files._encoder(spec, kind)
+        one = token_files.encoder(spec, kind)
         ranks, used, id_arrow = routing_ranks(size), np.zeros(size, "i8"), None
         for batch in batches:
             id_arrow = batch.schema.field(0).type
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                data = [b"".join([*cache.many(split_words(t or "")), end]) for t in part.column(1).to_pylist()]
-                terms = []
-                for d in data:
-                    ids = np.frombuffer(d, kind)
-                    terms.append(ids[ranks[ids].argmin()])
+            for part in slices(batch, 1):
+                docs = one.with_end(part.column(1), end_id)
+                for ids in docs:
                     ordered = np.sort(ids, kind="stable")
                     used[ordered[np.flatnonzero(np.diff(ordered, prepend=ordered[0] ^ 1))]] += 1
-                n = pa.array([len(d) // len(end) for d in data], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(terms, pa.int32()), n, pa.array(data, pa.binary())], names)
+                columns = [
+                    part.column(0),
+                    pa.array([ids[ranks[ids].argmin()] for ids in docs], pa.int32()),
+                    pa.array(list(map(len, docs)), pa.int64()),
+                    pa.array([ids.tobytes() for ids in docs], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names)
         seen = np.flatnonzero(used)
         if len(seen):
             columns = [pa.nulls(len(seen), id_arrow), pa.array(seen, pa.int32()), pa.array(used[seen]), pa.nulls(len(seen), pa.binary())]

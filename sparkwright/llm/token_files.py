@@ -31,7 +31,9 @@ other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -44,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .storage import make_importable
-from .words import CACHE_WORDS, WordCache, byte_characters, split_words
+from .words import WordCache, byte_characters, distinct_words, slices, split_marks, spread
 
 MAGIC, HEAD = b"PFR1", struct.Struct("<4sIIIQ")
 _DOC = np.dtype([("has", "u1"), ("doc_id", "<i8"), ("n", "<u4")])
@@ -156,16 +158,13 @@ class Segment:
 
 # -- tokenizing -----------------------------------------------------------
 
-_LOADED: dict[str, WordCache] = {}
+class Encoder:
+    """Texts to ids through the tokenizers library, each distinct word of a
+    slice once.  The pre-tokenizer must not reach over white space
+    (``tokenizer`` checks).  A word of plain letters is one pre-split word,
+    which goes to the library's BPE model as it is."""
 
-
-def _encoder(spec: str, kind: str) -> WordCache:
-    """Words to the bytes of their ids, through the tokenizers library.  Its
-    pre-tokenizer must not reach over white space (``encode_ids`` checks).  A
-    word of plain letters is one pre-split word, which goes to the library's
-    BPE model as it is."""
-    key = hashlib.md5(spec.encode()).hexdigest()
-    if key not in _LOADED:
+    def __init__(self, spec: str, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -173,6 +172,7 @@ def _encoder(spec: str, kind: str) -> WordCache:
         tok.no_truncation()
         tok.no_padding()
         model, characters, code = tok.model, byte_characters(), {"<u2": "H", "<u4": "I"}[kind]
+        self.kind = kind
 
         def letters(word: str) -> bytes:
             if not word.isascii():
@@ -182,8 +182,42 @@ def _encoder(spec: str, kind: str) -> WordCache:
         def any_word(word: str) -> bytes:
             return np.array(tok.encode(word, add_special_tokens=False).ids, kind).tobytes()
 
+        self.cache = WordCache(letters, any_word, lambda a, b: a + b)
+        self.special = "|".join(re.escape(t["content"]) for t in json.loads(spec)["added_tokens"])
+
+    def _table(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words one after another, and their numbers."""
+        data = [self.cache[w] if w else b"" for w in words.to_numpy(zero_copy_only=False).tolist()]
+        ids = np.frombuffer(b"".join(data), self.kind)
+        return ids, np.fromiter(map(len, data), "i8", len(data)) // ids.itemsize
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null: none), and where texts begin and end."""
+        distinct, words, ends = distinct_words(texts)
+        # two parts per distinct word: without its marks, and the marks
+        cores, marks = (x.dictionary_encode() for x in split_marks(distinct, self.special))
+        (core_ids, core_n), (mark_ids, mark_n) = self._table(cores.dictionary), self._table(marks.dictionary)
+        parts = np.stack([cores.indices.to_numpy(), marks.indices.to_numpy() + len(core_n)], axis=1).ravel()
+        ids, at = spread(np.concatenate([core_ids, mark_ids]), np.concatenate([core_n, mark_n]), parts, np.arange(0, len(parts) + 1, 2))
+        return spread(ids, np.diff(at), words, ends)
+
+    def with_end(self, texts: pa.Array, end_id: int) -> list[np.ndarray]:
+        """Each text's ids and the end id."""
+        ids, ends = self.encode(texts)
+        ids = np.insert(ids, ends[1:], end_id)
+        at = (ends + np.arange(len(ends))).tolist()
+        return [ids[a:b] for a, b in zip(at, at[1:])]
+
+
+_LOADED: dict[str, Encoder] = {}
+
+
+def encoder(spec: str, kind: str) -> Encoder:
+    """The encoder and its word cache, once per Python worker."""
+    key = hashlib.md5(spec.encode()).hexdigest()
+    if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = WordCache(letters, any_word, lambda a, b: a + b, 2 * CACHE_WORDS)
+        _LOADED[key] = Encoder(spec, kind)
     return _LOADED[key]
 
 
@@ -221,15 +255,13 @@ def encode_ids(documents: DataFrame, tokenizer_path: str, end_id: int) -> DataFr
     """``doc_id, width, ids``: the ids of a text and the end id, ``width``
     bytes each (two, or four if the vocabulary needs them)."""
     spec, kind = tokenizer(tokenizer_path, end_id)
-    end = np.array([end_id], kind).tobytes()
     make_importable(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _encoder(spec, kind)
+        one = encoder(spec, kind)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = [b"".join([*cache.many(split_words(t or "")), end]) for t in part.column(1).to_pylist()]
+            for part in slices(batch, 1):
+                ids = [d.tobytes() for d in one.with_end(part.column(1), end_id)]
                 width = pa.array([int(kind[-1])] * len(ids), pa.int32())
                 yield pa.RecordBatch.from_arrays([part.column(0), width, pa.array(ids, pa.binary())], ["doc_id", "width", "ids"])
 
