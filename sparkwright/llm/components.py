@@ -46,7 +46,7 @@ def components(links: DataFrame, rounds: int = 100) -> DataFrame:
     for _ in range(rounds):
         if not before[0]:
             break
-        stars = settle(_small_star(_large_star(stars)))
+        stars = settle(_small_star(_large_star(stars)), before[0])
         after = _sum(stars)
         if after == before:
             break

@@ -10,8 +10,10 @@ Copies of one document would make all of its lines look like boilerplate and
 be rejected together, original included.  So documents of one host with the
 same set of lines count once; any other document counts as itself.
 
-The limit is ``min_docs`` documents, however large the host is; on a small host
-``small_share`` of its documents, ``FEW`` at least.
+A line is above the limit if more than ``min(min_docs, max(few, small_share *
+docs))`` of the ``docs`` documents of its host have it, copies counted once on
+both sides: an absolute limit however large the host is, and a share of a small
+one.
 
 Words are runs of ``[^\\x20\\x09-\\x0D]``; a few counts per document and rules
 on them (``base_failed``) come along from the same pass.
@@ -24,12 +26,13 @@ skew Spark splits.
 
 Defined results: a null text has no words and fails the base rules; a null
 host is a host of its own; repeated rows and equal ids keep a row each; an
-empty table gives an empty result; other columns are ignored.
+empty table gives an empty result; other columns are ignored, whatever their names
+(``clean`` carries them in a struct).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from hashlib import md5
 
 import numpy as np
@@ -41,7 +44,7 @@ from pyspark.sql.types import DataType, StructType
 from .storage import make_importable, settle
 
 SPACES, SYMBOLS = b" \t\n\x0b\x0c\r", b"#*$%&|<>"
-WINDOW, FEW = 5, 2
+WINDOW = 5
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], "u8")
 
 
@@ -146,26 +149,27 @@ def measure_documents(documents: DataFrame, host: str = "source") -> DataFrame:
     )
 
 
-def frequent_lines(lines: DataFrame, hosts: DataFrame, min_docs: int, small_share: float) -> DataFrame:
+def frequent_lines(lines: DataFrame, hosts: DataFrame, min_docs: int, small_share: float, few: int) -> DataFrame:
     """``host, line`` above their host's limit. ``lines`` has a row per line
-    and distinct document, ``hosts`` has ``host, docs``."""
-    counts = lines.groupBy("host", "line").agg(F.count("*").alias("docs_with"))
-    small = hosts.select("host", (F.col("docs") * small_share).alias("limit")).where(F.col("limit") < min_docs)
-    over = counts.where(F.col("docs_with") > FEW).join(small, "host", "left")
-    return over.where(F.col("docs_with") > F.coalesce("limit", F.lit(min_docs))).select("host", "line")
+    and distinct document, ``hosts`` has ``host, docs`` (distinct ones)."""
+    counts = lines.groupBy("host", "line").agg(F.count("*").alias("docs_with")).where(F.col("docs_with") > min(few, min_docs))
+    limit = F.least(F.lit(float(min_docs)), F.greatest(F.lit(float(few)), F.col("docs") * small_share))
+    return counts.join(hosts, "host").where(F.col("docs_with") > limit).select("host", "line")
 
 
-def _judge(documents: DataFrame, host: str, min_docs: int, small_share: float, least_left: float, min_words: int, max_repeated: float) -> DataFrame:
+def _judge(
+    documents: DataFrame, host: str, min_docs: int, small_share: float, few: int, least_left: float, min_words: int, max_repeated: float
+) -> DataFrame:
     """``quality`` with ``frequent``, the hashes of a document's frequent lines."""
     measured = measure_documents(documents, host)
     measured = settle(
         measured.withColumn("host", F.coalesce("host", F.lit(""))).withColumn("row", F.monotonically_increasing_id())
     )
     lines = measured.select("row", "host", F.inline("lines"))
-    hosts = measured.groupBy("host").agg(F.count("*").alias("docs"))
     distinct = measured.groupBy("host", "line_set").agg(F.min("row").alias("row"))
+    hosts = distinct.groupBy("host").agg(F.count("*").alias("docs"))
     counted = measured.join(distinct.select("row"), "row", "left_semi").select("host", F.inline("lines"))
-    frequent = frequent_lines(counted, hosts, min_docs, small_share)
+    frequent = frequent_lines(counted, hosts, min_docs, small_share, few)
     removed = lines.join(frequent, ["host", "line"]).groupBy("row").agg(
         F.sum("words").alias("removed_words"), F.collect_list("line").alias("frequent")
     )
@@ -183,12 +187,13 @@ def quality(
     host: str = "source",
     min_docs: int = 50,
     small_share: float = 0.5,
+    few: int = 2,
     least_left: float = 0.3,
     min_words: int = 10,
     max_repeated: float = 0.2,
 ) -> DataFrame:
     """Per document its counts, ``base_failed``, ``removed_words`` and ``kept``."""
-    return _judge(documents, host, min_docs, small_share, least_left, min_words, max_repeated).drop("frequent")
+    return _judge(documents, host, min_docs, small_share, few, least_left, min_words, max_repeated).drop("frequent")
 
 
 def clean(
@@ -196,32 +201,32 @@ def clean(
     host: str = "source",
     min_docs: int = 50,
     small_share: float = 0.5,
+    few: int = 2,
     least_left: float = 0.3,
     min_words: int = 10,
     max_repeated: float = 0.2,
-    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """``doc_id, host, text``, the columns in ``carry``, ``clean_text,
+    """``row`` (all columns of a document, as a struct), ``clean_text,
     removed_lines, kept`` per document: its text without the lines above the
     limit, and those lines in order.  ``clean_text`` of a null text is null."""
     make_importable(documents.sparkSession)
-    own = documents.select("doc_id", F.col(host).cast("string").alias("host"), "text", *carry)
-    fields = [*own.schema.fields, *DataType.fromDDL("clean_text string, removed_lines array<string>, kept boolean").fields]
-    keys = own.withColumn("_key", F.to_json(F.struct("doc_id", "host", F.md5("text").alias("md5"))))
-    keyed = keys.select(F.col("_key").alias("doc_id"), "host", "text")
-    judged = _judge(keyed, "host", min_docs, small_share, least_left, min_words, max_repeated)
+    own = documents.select(
+        F.struct(*[documents[c] for c in documents.columns]).alias("row"),
+        F.col("text"),
+        F.to_json(F.struct("doc_id", F.col(host).cast("string").alias("host"), F.md5("text").alias("md5"))).alias("key"),
+    )
+    keyed = own.select(F.col("key").alias("doc_id"), F.col(f"row.{host}").alias("host"), "text")
+    judged = _judge(keyed, "host", min_docs, small_share, few, least_left, min_words, max_repeated)
     # rows of one key have one text and host, so one verdict
-    verdicts = judged.select(F.col("doc_id").alias("_key"), F.col("kept").alias("_kept"), F.col("frequent").alias("_frequent"))
-    verdicts = verdicts.dropDuplicates(["_key"])
+    verdicts = judged.select(F.col("doc_id").alias("key"), "kept", "frequent").dropDuplicates(["key"])
+    fields = [own.schema["row"], *DataType.fromDDL("clean_text string, removed_lines array<string>, kept boolean").fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, found = batch.column("text").to_pylist(), batch.column("_frequent").to_pylist()
+            texts, found = batch.column("text").to_pylist(), batch.column("frequent").to_pylist()
             done = [split_text(t, set(f)) if f else (t, []) for t, f in zip(texts, found)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-2], pa.array([t for t, _ in done], pa.string()), pa.array([g for _, g in done], pa.list_(pa.string())), batch.column("_kept")],
-                [f.name for f in fields],
-            )
+            columns = [batch.column("row"), pa.array([t for t, _ in done], pa.string()), pa.array([g for _, g in done], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*columns, batch.column("kept")], [f.name for f in fields])
 
-    joined = keys.join(verdicts, "_key").drop("_key")
+    joined = own.join(verdicts, "key").select("row", "text", "kept", "frequent")
     return joined.mapInArrow(run, StructType(fields))

@@ -93,14 +93,15 @@ lines AS (
     SELECT row, host, len(line_words) AS words, substr(md5(translate(array_to_string(line_words, ' '),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')), 1, 16) AS line
     FROM raw_lines WHERE len(line_words) > 0) GROUP BY ALL),
-lows AS (
-  SELECT row, min(line) AS low, coalesce(list_sort(list(line))[2], min(line)) AS second FROM lines GROUP BY row),
+sets AS (
+  SELECT row, docs.host, coalesce(string_agg(line, '' ORDER BY line), '') AS line_set
+  FROM docs LEFT JOIN lines USING (row) GROUP BY row, docs.host),
+firsts AS (SELECT host, min(row) AS row FROM sets GROUP BY host, line_set),  -- copies count once
 frequent AS (
   SELECT host, line FROM (
-    SELECT host, line, count(DISTINCT CASE WHEN line = low THEN second ELSE low END) AS n
-    FROM lines JOIN lows USING (row) GROUP BY host, line)
-  JOIN (SELECT host, count(*) AS docs FROM docs GROUP BY host) USING (host)
-  WHERE n > 50 AND n > docs * 0.1),
+    SELECT lines.host, line, count(*) AS n FROM lines JOIN firsts USING (row) GROUP BY lines.host, line)
+  JOIN (SELECT host, count(*) AS docs FROM firsts GROUP BY host) USING (host)
+  WHERE n > least(50, greatest(2, docs * 0.5))),
 removed AS (SELECT row, sum(words) AS n FROM lines JOIN frequent USING (host, line) GROUP BY row),
 judged AS (
   SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,

@@ -75,9 +75,11 @@ def table_frame(spark: SparkSession, shards: Sequence[str], table_size: int) ->
 def assign_shards(df: DataFrame, key: str, shards: Sequence[str], table_size: int = 5003) -> DataFrame:
     """``df`` with ``slot`` and ``shard``, placed by column ``key``."""
     table = table_frame(df.sparkSession, shards, table_size)
-    keyed = df.withColumn("slot", slot_of(F.col(key), table_size))
-    placed = keyed.join(F.broadcast(table), F.col("slot") == F.col("_slot"))
-    return placed.withColumn("shard", F.col("_shard")).drop("_slot", "_shard")
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    keyed = df.select(row.alias("_row"), slot_of(F.col(key), table_size).alias("_at"))
+    placed = keyed.join(F.broadcast(table), F.col("_at") == F.col("_slot"))
+    own = [F.col("_row").getField(c).alias(c) for c in df.columns if c not in ("slot", "shard")]
+    return placed.select(*own, F.col("_slot").alias("slot"), F.col("_shard").alias("shard"))
 
 
 def write_shards(df: DataFrame, path: str, files_per_shard: int = 8) -> None:

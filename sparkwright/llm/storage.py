@@ -33,7 +33,15 @@ def make_importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage: ``df`` written once to the shared folder."""
+#: Rows of a file of a settled table whose number of rows is known.
+ROWS_PER_FILE = 50_000
+
+
+def settle(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Cut the lineage: ``df`` written once to the shared folder.  ``rows``,
+    where it is known about how many there are, keeps small tables (of short
+    rows) from being written in as many files as there are partitions."""
     shared_folder(df.sparkSession)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
     return df.checkpoint()

@@ -196,7 +196,7 @@ def test_quality_verdicts(spark):
     empty = [(100 + k, f"{menu.upper()}\n  {menu}\nok{k}", "h1") for k in range(3)]  # depleted
     other = [(200, f"{menu}\n{menu[:9]} x", "h2")]  # rare on its host
     text = "\n".join(line() for _ in range(5))
-    copies = [(300 + k, text, "h3") for k in range(80)] + [(400 + k, line(), "h3") for k in range(20)]
+    copies = [(300 + k, text, "h3") for k in range(80)] + [(400 + k, line(), "h3") for k in range(80)]
     near = [(500 + k, text.replace(" ", f" n{k} ", 1), "h3") for k in range(40)]
     odd = [(None, None, None), (600, "", "h1"), (601, "a b c d e f g h i j", None), (602, "a b c d e f g h i", "h1"), (603, "z " * 50000, "h1")]
     rows = own + empty + other + copies + near + odd + [odd[2]]
@@ -237,14 +237,61 @@ def test_clean_texts(spark):
     rows += [(None, None, None, None), (103, "", "h", True), (0, own(200), "h", True), (0, rows[0][1], "h2", True), rows[3]]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, kept boolean")
     got = quality.clean(df).collect()
-    assert sorted((r.doc_id or -1, r.text or "", r.host or "") for r in got) == sorted((d or -1, t or "", s or "") for d, t, s, _ in rows)
+    assert sorted((r.row.doc_id or -1, r.row.text or "", r.row.source or "") for r in got) == sorted((d or -1, t or "", s or "") for d, t, s, _ in rows)
+    assert {(r.row.doc_id, r.row.kept) for r in got} == {(d, x) for d, _, _, x in rows}
     for r in got:
-        if r.host == "h" and r.doc_id < 60 and r.text != own(200):
-            assert r.clean_text == f"{own(r.doc_id)}\n\nend{r.doc_id}" and r.removed_lines == [menu, f"  {menu.upper()}\r"] and r.kept
-        elif r.doc_id == 100:
+        row = r.row
+        if row.source == "h" and row.doc_id < 60 and row.text != own(200):
+            assert r.clean_text == f"{own(row.doc_id)}\n\nend{row.doc_id}" and r.removed_lines == [menu, f"  {menu.upper()}\r"] and r.kept
+        elif row.doc_id == 100:
             assert (r.clean_text, r.removed_lines, r.kept) == ("ok", [menu], False)
         else:
-            assert (r.clean_text, r.removed_lines) == (r.text, []) and r.kept == bool(r.text)
-    carried = quality.clean(df.withColumnRenamed("kept", "lang"), carry=["lang"])
-    assert {(r.doc_id, r.lang) for r in carried.collect()} == {(d, x) for d, _, _, x in rows}
+            assert (r.clean_text, r.removed_lines) == (row.text, []) and r.kept == bool(row.text)
     assert quality.clean(df.limit(0)).count() == 0
+
+
+def line_limit_rows():
+    """Hosts of many sizes with lines below, at and above their limits, and copies."""
+    said = lambda name: " ".join(f"{name}{i}" for i in range(12))
+    rows = [(k, f"{said('p') if k < 51 else said('q') if k < 101 else ''}\nown{k} {said('x')}{k}", "hot") for k in range(1500)]
+    rows += [(2000 + k, f"{said('r')}\n{said('s') if k < 5 else ''}\nown{k}", "small") for k in range(10)]
+    rows += [(2100 + k, said("t"), "copies") for k in range(10)] + [(2110 + k, f"{said('t')}\nown{k}", "copies") for k in range(5)]
+    rows += [(2200 + k, f"{said('u')}\nown{k}", "two") for k in range(2)]
+    rows += [(2300 + k, f"{said('v')}\n{said('V').upper()}\n\n own{k}", "half") for k in range(3)] + [(2310 + k, f"own{k}", "half") for k in range(3)]
+    rows += [(2400 + k, f"{said('w')}\n" * (1 + k % 2) + f"{said(f'z{k}')}", None) for k in range(60)] + [(None, None, None), (2500, "", "hot"), (2500, "", "hot")]
+    return rows
+
+
+def test_line_limits_equal_sql(spark, tmp_path):
+    """The registered SQL on lines that are above their limits."""
+    df = spark.createDataFrame([(*r, "x", 1) for r in line_limit_rows()], "doc_id long, text string, source string, line string, docs int")
+    df.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.sql(queries.OP3_SQL)
+    got = queries.op3_quality_rules(spark, str(tmp_path))
+    key = lambda r: tuple((x is None, x or 0) for x in r)
+    rows = sorted(map(tuple, got.select(*want.columns).collect()), key=key)
+    assert rows == sorted(want.fetchall(), key=key)
+    removed = {r.doc_id for r in got.where("removed_words > 0").collect()}
+    assert removed == {*range(51), *range(2000, 2010), *range(2100, 2115), *range(2400, 2460)}
+
+
+CLASHING = "host key row kept clean_text removed_lines frequent line words line_set _key _kept _slot _shard _row _at slot doc md5 n node".split()
+
+
+@pytest.mark.parametrize("operator", ["quality", "clean", "shards", "decontaminate"])
+def test_columns_with_clashing_names(spark, operator):
+    plain = spark.createDataFrame([(1, "a b c d e f g h i j k l", "h"), (2, None, None)], "doc_id long, text string, source string")
+    clash = plain.withColumns({c: F.lit(c) for c in CLASHING})
+    benchmark = spark.createDataFrame([("i", "a b c", "x")], "item_id string, text string, window string")
+    run = {
+        "quality": quality.quality,
+        "clean": lambda d: quality.clean(d).select("row.doc_id", "row.text", "clean_text", "kept"),
+        "shards": lambda d: sharding.assign_shards(d, "doc_id", ["a", "b"], 11).select("doc_id", "text", "slot", "shard"),
+        "decontaminate": lambda d: decontaminate.decontaminate(d, benchmark),
+    }[operator]
+    assert sorted(map(str, run(clash).collect())) == sorted(map(str, run(plain).collect()))
+    if operator == "shards":
+        kept = sharding.assign_shards(clash, "doc_id", ["a", "b"], 11)
+        assert {c: kept.first()[c] for c in CLASHING if c != "slot"} == {c: c for c in CLASHING if c != "slot"}
