@@ -6,7 +6,8 @@ return the columns of ``documents``.
 
 1. quality: documents that fail the base rules or are depleted go; of the
    others the lines above the limit go (``n_chars`` follows).
-2. language: documents without a letter go, also where no row has a label.
+2. language: documents whose language stays undetermined go, which are those
+   without a letter, also where no row has a label.  All learnt languages pass.
 3. near_duplicates: of each group one document stays.
 4. decontamination: contaminated documents go.
 5. tokens: what is left, encoded and decoded.
@@ -14,7 +15,8 @@ return the columns of ``documents``.
 Rows are judged by id and text: different texts under one id apart, repeated
 rows alike until stage 3 leaves one of them.  That stage keeps the smallest id
 of a group; a row without an id stays only where the group has no id at all.
-Null and empty texts go in stage 1.
+Null and empty texts go in stage 1.  An empty table stays empty in each stage;
+further columns of any name come through as they are.
 
 ORACLE_SQL is None: language identification (a trained mixture) and the
 tokenizer cannot be written in SQL.  ``tests/llm/test_pipeline.py`` holds each
@@ -48,16 +50,19 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _keep(docs: DataFrame, judged: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are in ``judged``."""
-    kept = judged.select(_key(F.col("doc_id.id"), F.col("doc_id.md5")).alias("_key")).distinct()
-    own = docs.withColumn("_key", _key(F.col("doc_id"), F.md5(F.coalesce("text", F.lit("")))))
-    return own.join(kept, "_key", "left_semi").select(*docs.columns)
+    kept = judged.select(_key(F.col("doc_id.id"), F.col("doc_id.md5")).alias("key")).distinct()
+    own = _key(docs["doc_id"], F.md5(F.coalesce(docs["text"], F.lit(""))))
+    return docs.join(kept, own == kept["key"], "left_semi")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    done = quality.clean(docs, carry=[c for c in docs.columns if c not in ("doc_id", "text")]).where("kept")
+    done = quality.clean(docs).where("kept")
     changed = F.size("removed_lines") > 0
-    n_chars = F.when(changed, F.char_length("clean_text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return done.withColumn("n_chars", n_chars).withColumn("text", F.col("clean_text")).select(*docs.columns)
+    new = {
+        "text": F.col("clean_text"),
+        "n_chars": F.when(changed, F.char_length("clean_text")).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType),
+    }
+    return done.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
