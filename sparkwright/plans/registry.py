@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import flights, models, search, text
+from . import flights, models, search, text, trees
 
-_MODULES = [flights, models, text, search]
+_MODULES = [flights, models, text, search, trees]
 
 
 def queries() -> dict:
