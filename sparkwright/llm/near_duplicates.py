@@ -295,21 +295,20 @@ def candidates(classes: DataFrame) -> DataFrame:
     connected."""
     sketches = classes.select("cls", "sketch")
     level = classes.select(F.explode("nodes").alias("key"), "cls")
-    found, leaves, rows = [], [], None
+    found, leaves = [], []
     for depth in range(FIRST_DEPTH, DEPTH + 1):
         sizes = level.groupBy("key").agg(F.count("*").alias("m"), F.min("cls").alias("pivot")).where("m > 1")
-        live = settle(level.join(sizes, "key"), rows)
+        live = settle(level.join(sizes, "key"))
         leaves.append(live.where(F.col("m") <= NODE).select("key", "cls", F.lit(1).cast("long").alias("chunks")))
         large = live.where(F.col("m") > NODE)
-        n_large = large.count()
-        if not n_large:
+        if not large.take(1):
             break
         if depth == DEPTH:
             leaves.append(large.select("key", "cls", F.ceil(F.col("m") * 2 / NODE).cast("long").alias("chunks")))
             break
         pivots = sketches.select(F.col("cls").alias("pivot"), F.col("sketch").alias("pivot_sketch"))
         measured = large.join(sketches, "cls").join(pivots, "pivot").select("key", "cls", "sketch", "pivot", "pivot_sketch")
-        seen = settle(measured.mapInArrow(_measure, "key long, cls binary, pivot binary, agree long"), n_large)
+        seen = settle(measured.mapInArrow(_measure, "key long, cls binary, pivot binary, agree long"))
         found.append(seen.where((F.col("agree") >= WIDE) & (F.col("cls") != F.col("pivot"))).select(F.col("cls").alias("a"), F.col("pivot").alias("b")))
         far = seen.groupBy("key").agg(F.count_if(F.col("agree") < WIDE).alias("far"), F.count_if(F.col("agree") < CLOSE).alias("m"))
         stay = seen.where(F.col("agree") < CLOSE).join(far.where("far > 0"), "key")
@@ -317,7 +316,6 @@ def candidates(classes: DataFrame) -> DataFrame:
         branching = stay.where(F.col("far") > NODE).join(sketches, "cls").select("key", "cls", "sketch")
         repeats = REPEATS if depth == FIRST_DEPTH else 1
         level = branching.mapInArrow(_descend(repeats), "key long, cls binary").distinct()
-        rows = 2 * repeats * n_large  # at most
     nodes = leaves[0]
     for more in leaves[1:]:
         nodes = nodes.unionByName(more)
