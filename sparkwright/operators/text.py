@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.joins import skew_safe_join
+from ..functions.vectors import sparse_slots
 from ..session import shared_root
 
 # The cleaning patterns of the exercises.
@@ -32,8 +33,10 @@ def clean_text(df: DataFrame, col: str = "text", output_col: str | None = None)
 
 def tokenize(df: DataFrame, col: str = "text", output_col: str = "words") -> DataFrame:
     """X4. Lower-case, split on single whitespace characters; a trailing empty
-    token is dropped, a leading one kept.  Null text raises, so filter first."""
-    return Tokenizer(inputCol=col, outputCol=output_col).transform(df)
+    token is dropped, a leading one kept.  A null text counts as empty: one
+    empty token, as Spark has it for an empty text."""
+    filled = df.withColumn("__filled", F.coalesce(F.col(col), F.lit("")))
+    return Tokenizer(inputCol="__filled", outputCol=output_col).transform(filled).drop("__filled")
 
 
 def remove_stop_words(df: DataFrame, col: str = "words", output_col: str = "terms",
@@ -59,6 +62,25 @@ def fit_idf(df: DataFrame, col: str = "hash", output_col: str = "features",
     return model, model.transform(df)
 
 
+def slot_dictionary(df: DataFrame, terms_col: str, id_col: str, num_features: int, model=None) -> DataFrame:
+    """X6 back to terms: ``(slot, n_terms, top_term, top_docs, sum_docs)``: the
+    distinct terms hashed to a slot (more than one: a collision), the one in
+    most documents (of equals the last by name), and the terms' documents added
+    up.  With a fitted linear ``model`` its ``coefficient`` of the slot.  Terms
+    are counted before they are hashed, each once, by ``HashingTF`` itself."""
+    pairs = df.select(id_col, F.explode_outer(terms_col).alias("term")).where(F.col("term").isNotNull()).distinct()
+    docs = pairs.groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
+    hashed = hash_terms(docs.withColumn("one", F.array("term")), "one", "hash", num_features)
+    slots = hashed.select("term", "docs", F.get(sparse_slots("hash"), F.lit(0))["slot"].alias("slot"))
+    top = F.max(F.struct("docs", "term"))
+    out = slots.groupBy("slot").agg(F.count(F.lit(1)).alias("n_terms"), top.alias("top"), F.sum("docs").alias("sum_docs"))
+    out = out.select("slot", "n_terms", F.col("top.term").alias("top_term"), F.col("top.docs").alias("top_docs"), "sum_docs")
+    if model is None:
+        return out
+    weights = [(k, float(b)) for k, b in enumerate(model.coefficients.toArray())]
+    return out.join(F.broadcast(df.sparkSession.createDataFrame(weights, "slot int, coefficient double")), "slot")
+
+
 def term_tfidf(df: DataFrame, id_col: str = "id", terms_col: str = "terms",
                n_docs: int | None = None) -> DataFrame:
     """X8 per term, no hashing: rows ``(id, term, tf, doc_freq, idf, tfidf)``.

@@ -14,18 +14,19 @@ validator for the duration of that fold only.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.feature import (IDF, HashingTF, OneHotEncoder, StopWordsRemover,
-                                StringIndexer, Tokenizer, VectorAssembler)
+from pyspark.ml.feature import (IDF, HashingTF, OneHotEncoder, SQLTransformer,
+                                StopWordsRemover, StringIndexer, Tokenizer, VectorAssembler)
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.partitioning import persisted
 from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, StringType,
@@ -53,14 +54,16 @@ def regression_stages(categorical: str = "org", raw_int_cols: tuple[str, ...] =
 def text_stages(text_col: str = "text", classifier: LogisticRegression | None = None,
                 num_features: int | None = None) -> Pipeline:
     """T2. Tokens -> terms -> hashed counts -> IDF -> logistic; each stage wired
-    to the previous one's output column."""
-    tokenizer = Tokenizer(inputCol=text_col, outputCol="words")
+    to the previous one's output column.  A first stage turns a null text into
+    an empty one (column ``<text_col>_filled``)."""
+    filled = SQLTransformer(statement=f"SELECT *, coalesce(`{text_col}`, '') AS `{text_col}_filled` FROM __THIS__")
+    tokenizer = Tokenizer(inputCol=f"{text_col}_filled", outputCol="words")
     remover = StopWordsRemover(inputCol=tokenizer.getOutputCol(), outputCol="terms")
     hasher = HashingTF(inputCol=remover.getOutputCol(), outputCol="hash")
     if num_features:
         hasher.setNumFeatures(num_features)
     idf = IDF(inputCol=hasher.getOutputCol(), outputCol="features")
-    return Pipeline(stages=[tokenizer, remover, hasher, idf, classifier or LogisticRegression()])
+    return Pipeline(stages=[filled, tokenizer, remover, hasher, idf, classifier or LogisticRegression()])
 
 
 def stage(pipeline: Pipeline, cls: type):
@@ -164,6 +167,8 @@ class SearchResult:
     metrics: list[float]
     evaluator: Evaluator
     best_model: PipelineModel | None = None
+    #: per point, the metric of every fold
+    fold_metrics: list[list[float]] = field(default_factory=list)
 
     @property
     def best(self) -> int:
@@ -179,7 +184,7 @@ def staged_search(stages: Pipeline, stage_grid: list[dict], model: Estimator, gr
     cluster has cores (``parallelism``).  The winner is refitted on all rows."""
     spark = df.sparkSession
     points = [{**a, **b} for a in stage_grid for b in grid]
-    totals = [0.0] * len(points)
+    by_fold: list[list[float]] = [[] for _ in points]
     with persisted(df) as rows, ThreadPool(parallelism or spark.sparkContext.defaultParallelism) as pool:
         for s, setting in enumerate(stage_grid):
             for fold in range(num_folds):
@@ -192,8 +197,8 @@ def staged_search(stages: Pipeline, stage_grid: list[dict], model: Estimator, gr
 
                     found = pool.map(inheritable_thread_target(spark)(score), grid, chunksize=1)
                 for k, metric in enumerate(found):
-                    totals[s * len(grid) + k] += metric
-        result = SearchResult(points, [t / num_folds for t in totals], evaluator)
+                    by_fold[s * len(grid) + k].append(float(metric))
+        result = SearchResult(points, [sum(m) / num_folds for m in by_fold], evaluator, fold_metrics=by_fold)
         setting, point = stage_grid[result.best // len(grid)], grid[result.best % len(grid)]
         fitted = stages.fit(rows, setting)
         best = model.fit(fitted.transform(rows), point)
@@ -208,3 +213,31 @@ def search_table(spark: SparkSession, found: CrossValidatorModel | SearchResult)
         found = SearchResult(found.getEstimatorParamMaps(), [float(m) for m in found.avgMetrics], found.getEvaluator())
     rows = [(i, describe_point(p), float(m), i == found.best) for i, (p, m) in enumerate(zip(found.points, found.metrics))]
     return spark.createDataFrame(rows, SEARCH_SCHEMA)
+
+
+FOLD_SCHEMA = StructType([StructField("fold", IntegerType(), False),
+                          StructField("point", IntegerType(), False),
+                          StructField("params", StringType(), False),
+                          StructField("metric", DoubleType(), False)])
+
+
+def fold_table(spark: SparkSession, found: SearchResult) -> DataFrame:
+    """T6-T8. One row per fold and grid point with that fold's metric."""
+    rows = [(fold, i, describe_point(p), m) for i, (p, metrics) in enumerate(zip(found.points, found.fold_metrics))
+            for fold, m in enumerate(metrics)]
+    return spark.createDataFrame(rows, FOLD_SCHEMA)
+
+
+def fold_spread(folds: DataFrame, larger_is_better: bool) -> DataFrame:
+    """T12. Per grid point the mean metric, its standard deviation over the
+    folds, and ``gap``: by how many standard errors of the paired differences
+    it is worse than the best point (null for the best, and without spread)."""
+    points = folds.groupBy("point", "params").agg(F.avg("metric").alias("mean"), F.stddev_samp("metric").alias("spread"))
+    order = F.col("mean").desc() if larger_is_better else F.col("mean").asc()
+    best = points.orderBy(order, "point").limit(1).select(F.col("point").alias("best"))
+    winner = folds.join(F.broadcast(best), folds["point"] == best["best"]).select("fold", F.col("metric").alias("winner"))
+    worse = (F.col("winner") - F.col("metric")) * (1 if larger_is_better else -1)
+    paired = folds.join(winner, "fold").groupBy("point").agg(
+        F.avg(worse).alias("d"), F.stddev_samp(worse).alias("s"), F.count(F.lit(1)).alias("k"))
+    gap = F.try_divide(F.col("d"), F.col("s") / F.sqrt("k"))
+    return points.join(paired, "point").select("point", "params", "mean", "spread", gap.alias("gap"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.vectors import one_hot_slot, vector_slots, vector_width
 from ..operators import features, prep
@@ -31,6 +32,44 @@ def s1_csv_inferred(spark, sf_dir):
     return df.withColumns({c: F.col(c).cast("bigint") for c in ("event_id", "flight")})
 
 
+#: Stand-in for a faulty file: every so many rows a field that is not of its type.
+BAD_FIELDS = {"mile": (97, "far"), "duration": (89, "12x"), "depart": (83, "noon"), "mon": (79, "99999999999")}
+
+
+def _faulty_csv(spark, sf_dir) -> str:
+    """The flights as a CSV of strings in which some fields are no numbers."""
+    rows = views.flights(spark, sf_dir)
+    texts = {c: F.col(c).cast("string") for c in rows.columns}
+    for c, (every, token) in BAD_FIELDS.items():
+        texts[c] = F.when(F.col("event_id") % every == 0, token).otherwise(texts[c])
+    return csv_source.write_flights_csv(rows.select(*(v.alias(c) for c, v in texts.items())), scratch_path(spark, "faulty-csv"))
+
+
+def _faulty_read(spark, sf_dir):
+    schema = StructType([StructField("event_id", LongType()), *csv_source.FLIGHTS_SCHEMA.fields])
+    return csv_source.read_with_rejects(spark, _faulty_csv(spark, sf_dir), schema)
+
+
+def s1_rejected_rows(spark, sf_dir):
+    """Rows of a faulty CSV that do not fit the schema, with what is wrong."""
+    _, rejected = _faulty_read(spark, sf_dir)
+    event_id = F.split_part("record", F.lit(","), F.lit(1)).cast("bigint")
+    return rejected.select(event_id.alias("event_id"), F.array_join("reasons", "; ").alias("reasons"),
+                           F.col("file").endswith(".csv").alias("has_file"))
+
+
+def s1_accepted_rows(spark, sf_dir):
+    """The other rows of that file, typed."""
+    accepted, _ = _faulty_read(spark, sf_dir)
+    return accepted.select("event_id", "mon", "depart", "mile", "duration", "delay")
+
+
+def s1_column_types(spark, sf_dir):
+    """The narrowest type of each column of the faulty file, from one pass."""
+    strings = spark.read.options(sep=",", header="true").csv(_faulty_csv(spark, sf_dir))
+    return csv_source.column_types(strings)
+
+
 def s2_csv_declared(spark, sf_dir):
     """Semicolon CSV, no header, declared (id bigint, text string, label int);
     the texts hold line feeds, and null is told from empty."""
@@ -156,6 +195,9 @@ def f6_assemble(spark, sf_dir):
 
 QUERIES = {
     "s1_csv_inferred": s1_csv_inferred,
+    "s1_rejected_rows": s1_rejected_rows,
+    "s1_accepted_rows": s1_accepted_rows,
+    "s1_column_types": s1_column_types,
     "s2_csv_declared": s2_csv_declared,
     "s4_schema_table": s4_schema_table,
     "s5_row_counts": s5_row_counts,
@@ -193,7 +235,29 @@ _SCHEMA_ROWS = ", ".join(
         FLIGHT_COLS, ["bigint", "int", "int", "int", "string", "bigint", "string", "int", "double",
                       "int", "int"])))
 
+_KINDS = {"mile": "int", "duration": "int", "depart": "double", "mon": "int"}
+_REASONS = " , ".join(f"CASE WHEN event_id % {BAD_FIELDS[c][0]} = 0 THEN '{c}: not {_KINDS[c]}' END" for c in ("mon", "mile", "depart", "duration"))
+_BAD = " OR ".join(f"event_id % {every} = 0" for every, _ in BAD_FIELDS.values())
+_TEXTS = ", ".join(
+    f"CASE WHEN event_id % {BAD_FIELDS[c][0]} = 0 THEN '{BAD_FIELDS[c][1]}' ELSE CAST({c} AS VARCHAR) END AS {c}" if c in BAD_FIELDS
+    else f"CAST({c} AS VARCHAR) AS {c}" for c in FLIGHT_COLS)
+
 ORACLE = {
+    "s1_rejected_rows": o.with_sql(o.FLIGHTS, f"""
+        SELECT event_id, concat_ws('; ', {_REASONS}) AS reasons, true AS has_file FROM flights WHERE {_BAD}"""),
+    "s1_accepted_rows": o.with_sql(o.FLIGHTS, f"""
+        SELECT event_id, mon, depart, CAST(mile AS INTEGER) AS mile, duration, delay FROM flights WHERE NOT ({_BAD})"""),
+    "s1_column_types": o.with_sql(o.FLIGHTS + f""",
+        texts AS (SELECT {_TEXTS} FROM flights),
+        long AS (UNPIVOT texts ON COLUMNS(*) INTO NAME column_name VALUE v),
+        counts AS (
+          SELECT column_name, count(*) AS n_values,
+            count(*) FILTER (NOT regexp_full_match(v, '[+-]?[0-9]{{1,18}}') OR TRY_CAST(v AS INTEGER) IS NULL) AS not_int,
+            count(*) FILTER (NOT regexp_full_match(v, '[+-]?[0-9]{{1,18}}')) AS not_bigint,
+            count(*) FILTER (TRY_CAST(v AS DOUBLE) IS NULL) AS not_double
+          FROM long GROUP BY column_name)""", """
+        SELECT column_name, CASE WHEN not_int = 0 THEN 'int' WHEN not_bigint = 0 THEN 'bigint' WHEN not_double = 0 THEN 'double'
+               ELSE 'string' END AS data_type, n_values, not_int, not_bigint, not_double FROM counts"""),
     "s1_csv_inferred": o.with_sql(o.FLIGHTS, f"SELECT {_FLIGHT_SELECT} FROM flights"),
     "s2_csv_declared": o.with_sql(o.SMS, "SELECT id, text, label FROM sms"),
     "s4_schema_table": ("SELECT CAST(position AS INTEGER) AS position, column_name, data_type, nullable "

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.partitioning import persisted
-from ..operators import evaluate, features, introspect, models, prep, tune
+from ..operators import certify, evaluate, features, introspect, models, prep, tune
 from . import oracle as o
 from .common import KEY, one_row, p1, plain_bucket, r, split
 
@@ -294,6 +294,16 @@ def i4_zero_coefficients(spark, sf_dir):
     return introspect.zero_count(spark, fitted.stages[-1])
 
 
+def m8_kkt(spark, sf_dir):
+    """The lasso on km and all dummies, run to its optimum, with the conditions
+    of that optimum per column, from the sums of products of its columns."""
+    fitted, train, _ = _dummies_model(spark, sf_dir, ("dow", "mon"), regParam=LASSO_REG_PARAM, elasticNetParam=1.0,
+                                      tol=1e-12, maxIter=1000)
+    gram = certify.gram_table(fitted.transform(train), "duration")
+    table = certify.subgradients(gram, fitted.stages[-1], LASSO_REG_PARAM)
+    return table.select("slot", *(r(c, 5).alias(c) for c in ("coefficient", "gradient", "bound", "slack")))
+
+
 def i5_tree_count(spark, sf_dir):
     model, _ = _class_scored(spark, sf_dir, models.boosted_trees())
     return introspect.tree_summary(spark, model)
@@ -390,6 +400,7 @@ QUERIES = {
     "i3_level_effects": i3_level_effects,
     "i3_level_effects_depart": i3_level_effects_depart,
     "i4_zero_coefficients": i4_zero_coefficients,
+    "m8_kkt": m8_kkt,
     "i5_tree_count": i5_tree_count,
     "i6_feature_importance": i6_feature_importance,
     "i7_stage_params": i7_stage_params,
@@ -667,6 +678,12 @@ ORACLE = {
         SELECT CAST(len(b) AS INTEGER) AS n_coefficients,
                CAST(len(list_filter(b, lambda v: v = 0)) AS INTEGER) AS n_zero
         FROM cd WHERE t = 60 * (SELECT p FROM mats)""", recursive=True),
+    "m8_kkt": o.with_sql(_LASSO_CD + """,
+        place AS (SELECT slot, s, row_number() OVER (ORDER BY slot) AS i FROM mom),
+        done AS (SELECT b FROM cd WHERE t = 60 * (SELECT p FROM mats))""", """
+        SELECT CAST(slot AS INTEGER) AS slot, round(b[i] * (SELECT sy FROM st) / s, 5) AS coefficient,
+               round(cv[i] - list_dot_product(rm[i], b), 5) AS gradient, round(lam, 5) AS bound, CAST(0 AS DOUBLE) AS slack
+        FROM place, done, mats""", recursive=True),
     "i7_stage_params": """
         SELECT CAST(stage AS INTEGER) AS stage, stage_class, param, value FROM (VALUES
           (0, 'StringIndexerModel', 'inputCol', 'org'),

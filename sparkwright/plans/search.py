@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.partitioning import persisted
-from ..operators import evaluate, features, models, tune
+from ..operators import certify, evaluate, features, models, tune
 from . import oracle as o
 from .common import KEY, r, split, with_folds
 from .models import CLASS_FEATURES, MIX_PARAMS, REG_PARAMS, _residual_cosines
@@ -116,7 +116,36 @@ def t12_best_metric(spark, sf_dir):
                      F.lit(larger).alias("larger_is_better"))
 
 
+def t8_fold_metrics(spark, sf_dir):
+    """T8 laid open: the metric of every fold and grid point, 60 rows."""
+    found, _ = _linear_search(spark, sf_dir, tol=1e-12, maxIter=1000)
+    return tune.fold_table(spark, found).withColumn("metric", r("metric", 5))
+
+
+def t12_fold_spread(spark, sf_dir):
+    """T12 with its uncertainty: per point the mean and spread over the folds,
+    and how many standard errors it is behind the best, fold by fold."""
+    found, _ = _linear_search(spark, sf_dir, tol=1e-12, maxIter=1000)
+    table = tune.fold_spread(tune.fold_table(spark, found), found.evaluator.isLargerBetter())
+    return table.select("point", "params", r("mean").alias("mean"), r("spread", 5).alias("spread"), r("gap", 2).alias("gap"))
+
+
+SYSTEM_COLUMNS = ["km", "depart", "mon"]
+
+
+def t6_training_systems(spark, sf_dir):
+    """Per fold the sums of products that its training rows give, total minus
+    fold, for ``duration`` on km, departure and month."""
+    train, _ = split(spark, sf_dir)
+    folds = with_folds(features.assemble(train, SYSTEM_COLUMNS), 5)
+    systems = certify.training_systems(certify.gram_table(folds, "duration", by=("fold",)))
+    return systems.select("fold", "i", "j", r("s", 2).alias("s"))
+
+
 QUERIES = {
+    "t8_fold_metrics": t8_fold_metrics,
+    "t12_fold_spread": t12_fold_spread,
+    "t6_training_systems": t6_training_systems,
     "t1_regression_stages": t1_regression_stages,
     "t1_regression_scored": t1_regression_scored,
     "t6_cv_linear_km": t6_cv_linear_km,
@@ -245,7 +274,27 @@ named AS (SELECT * FROM (VALUES """ + ", ".join(
 SELECT CAST(a.point AS INTEGER) AS point, params, round(metric, 6) AS metric, a.point = (SELECT point FROM best) AS is_best
 FROM avgm a JOIN named n ON a.point = n.point""", recursive=True)
 
+_NAMED = _T8_SQL.split("named AS (")[1].split("\nSELECT")[0].rsplit(")", 1)[0]
+_FOLDS = _SEARCH_CD + ",\nnamed AS (" + _NAMED + """),
+fm AS (SELECT val.k AS fold, point, params, rmse AS metric FROM val JOIN named USING (point))"""
+_SYSTEM_VALUES = ", ".join(f"({k}, CAST({c} AS DOUBLE))" for k, c in [(-2, "duration"), (-1, "1"), *enumerate(SYSTEM_COLUMNS)])
+
 ORACLE = {
+    "t8_fold_metrics": o.with_sql(_FOLDS, """
+        SELECT CAST(fold AS INTEGER) AS fold, CAST(point AS INTEGER) AS point, params, round(metric, 5) AS metric FROM fm""", recursive=True),
+    "t12_fold_spread": o.with_sql(_FOLDS + """,
+        paired AS (
+          SELECT point, avg(fm.metric - w.metric) AS d, stddev_samp(fm.metric - w.metric) AS s, count(*) AS n
+          FROM fm JOIN (SELECT fold, metric FROM fm WHERE point = (SELECT point FROM best)) w USING (fold) GROUP BY point)""", """
+        SELECT CAST(point AS INTEGER) AS point, params, round(avg(metric), 6) AS mean, round(stddev_samp(metric), 5) AS spread,
+               round(CASE WHEN any_value(s) > 0 THEN any_value(d) / (any_value(s) / sqrt(any_value(n))) END, 2) AS gap
+        FROM fm JOIN paired USING (point) GROUP BY point, params""", recursive=True),
+    "t6_training_systems": o.with_sql(o.SPLIT + f""",
+        f AS (SELECT *, CAST({o.md5_bucket('event_id', 'fold', 5)} AS INTEGER) AS fold FROM train),
+        held AS (SELECT DISTINCT fold AS held FROM f),
+        v AS (SELECT event_id, fold, x.i, x.v FROM f, LATERAL (VALUES {_SYSTEM_VALUES}) x(i, v))""", """
+        SELECT held AS fold, CAST(a.i AS INTEGER) AS i, CAST(b.i AS INTEGER) AS j, round(sum(a.v * b.v), 2) AS s
+        FROM v a JOIN v b ON a.event_id = b.event_id AND a.i <= b.i, held WHERE a.fold <> held GROUP BY held, a.i, b.i"""),
     "t8_grid_linear": _T8_SQL,
     "t11_best_model": _T11_SQL,
     "t12_best_metric": _T12_SQL,

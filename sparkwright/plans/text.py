@@ -10,13 +10,15 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.partitioning import persisted
 from ..functions.vectors import sparse_slots
-from ..operators import models, prep, text, tune
+from ..operators import certify, models, prep, text, tune
 from ..sources import views
+from ..functions.hashing import split_point
 from . import oracle as o
 from .common import SMS_SPLIT_SEED, TRAIN_FRACTION, r, with_folds
 
@@ -68,6 +70,12 @@ def x6_hashed_counts(spark, sf_dir):
     return _slots(hashed, "hash", "count")
 
 
+def x6_slot_collisions(spark, sf_dir):
+    """The dictionary of 1024 slots over all documents: terms per slot, and the
+    most frequent term with its documents."""
+    return text.slot_dictionary(_terms(spark, sf_dir), "terms", SMS_KEY, 1024)
+
+
 def x7_hashed_presence(spark, sf_dir):
     """Binary hashing: every set slot is exactly 1."""
     hashed = text.hash_terms(_terms(spark, sf_dir), "terms", "hash", num_features=1024, binary=True)
@@ -88,6 +96,17 @@ def x8_idf_hashed(spark, sf_dir):
     return _slots(weighted, "features", "weight").withColumn("weight", r("weight"))
 
 
+def m3_slot_terms(spark, sf_dir):
+    """Slots of the spam model back to terms: per slot its coefficient, how many
+    terms share it, and the most frequent one with its documents."""
+    terms = _terms(spark, sf_dir, _labelled)
+    train, _ = _sms_split(text.hash_terms(terms, "terms", "hash", num_features=1024))
+    with persisted(train) as rows:
+        weighted = IDF(inputCol="hash", outputCol="features").fit(rows).transform(rows)
+        model = models.logistic(regParam=SPAM_REG_PARAM, tol=1e-8, maxIter=1000).fit(weighted)
+    return text.slot_dictionary(terms, "terms", SMS_KEY, 1024, model).withColumn("coefficient", r("coefficient", 3))
+
+
 def _sms_split(df: DataFrame):
     return prep.train_test_split(df, SMS_KEY, TRAIN_FRACTION, SMS_SPLIT_SEED)
 
@@ -102,6 +121,26 @@ def m3_logistic_tfidf(spark, sf_dir):
     return pred.select(SMS_KEY, "label", "prediction")
 
 
+SPAM_REG_PARAM = 0.2  # fixed value: the exercises' penalty of the spam model
+
+
+def m3_gradient(spark, sf_dir):
+    """Optimality of the spam model, run to its optimum: per hashed slot (and
+    the intercept, -1) the training rows that store it, and the gradient of the
+    log-loss plus that of the penalty on the scaled coefficient, which is 0."""
+    hashed = text.hash_terms(_terms(spark, sf_dir, _labelled), "terms", "hash", num_features=1024)
+    train, _ = _sms_split(hashed)
+    with persisted(train) as rows:
+        weighted = IDF(inputCol="hash", outputCol="features").fit(rows).transform(rows)
+        model = models.logistic(regParam=SPAM_REG_PARAM, tol=1e-8, maxIter=1000).fit(weighted)
+        error = vector_to_array("probability")[1] - F.col("label")
+        sums = certify.slot_gradients(model.transform(weighted), error)
+        coefficients = spark.createDataFrame([(k, float(b)) for k, b in enumerate(model.coefficients.toArray())], "slot int, b double")
+        penalty = F.coalesce(SPAM_REG_PARAM * F.col("std") * F.col("std") * F.col("b"), F.lit(0.0))
+        table = sums.join(F.broadcast(coefficients), "slot", "left")
+        return table.select("slot", "n_rows", r(F.abs(F.col("gradient") + penalty)).alias("gradient"))
+
+
 def t2_text_stages(spark, sf_dir):
     train, test = _sms_split(_labelled(spark, sf_dir))
     with persisted(train) as rows:
@@ -135,6 +174,9 @@ QUERIES = {
     "x8_tfidf_terms": x8_tfidf_terms,
     "x8_idf_hashed": x8_idf_hashed,
     "m3_logistic_tfidf": m3_logistic_tfidf,
+    "m3_gradient": m3_gradient,
+    "m3_slot_terms": m3_slot_terms,
+    "x6_slot_collisions": x6_slot_collisions,
     "t2_text_stages": t2_text_stages,
     "t9_grid_text": t9_grid_text,
 }
@@ -144,7 +186,21 @@ vocab AS (SELECT DISTINCT unnest(terms) AS term FROM termed),""" + o.term_slots(
 doc_terms AS (SELECT t.id, m.slot FROM (SELECT id, unnest(terms) AS term FROM termed) t
               JOIN mm_slot m ON t.term = m.term)"""
 
+_SPAM_TRAIN = _HASHED + f""",
+lab AS (SELECT doc_id AS id FROM labels WHERE {o.md5_hash('doc_id', str(SMS_SPLIT_SEED))} < {split_point(TRAIN_FRACTION)}),
+spam_rows AS (SELECT t.id FROM termed t JOIN lab USING (id))"""
+
+_DICTIONARY = _HASHED + """,
+term_docs AS (SELECT term, count(DISTINCT id) AS docs FROM (SELECT id, unnest(terms) AS term FROM termed) GROUP BY term)"""
+
 ORACLE = {
+    "m3_gradient": o.with_sql(_SPAM_TRAIN, """
+        SELECT slot, count(*) AS n_rows, CAST(0 AS DOUBLE) AS gradient
+        FROM (SELECT DISTINCT id, slot FROM doc_terms) JOIN spam_rows USING (id) GROUP BY slot
+        UNION ALL SELECT -1, count(*), 0 FROM spam_rows"""),
+    "x6_slot_collisions": o.with_sql(_DICTIONARY, """
+        SELECT slot, count(*) AS n_terms, max_by(term, (docs, term)) AS top_term, max(docs) AS top_docs, CAST(sum(docs) AS BIGINT) AS sum_docs
+        FROM term_docs JOIN mm_slot USING (term) GROUP BY slot"""),
     "x1_clean_text": o.with_sql(o.CLEANED, "SELECT id, text FROM cleaned"),
     "x4_tokens": o.with_sql(o.TOKENS, """
         SELECT id, CAST(generate_subscripts(words, 1) - 1 AS INTEGER) AS pos, unnest(words) AS token

@@ -1,7 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
-from sparkwright.sources import (FLIGHTS_SCHEMA, SMS_SCHEMA, preview, read_flights_csv,
-                                 read_sms_csv, row_count, schema_table, write_sms_csv)
+from conftest import SF_SMALL
+from sparkwright.sources import (FLIGHTS_SCHEMA, SMS_SCHEMA, column_types, preview, read_flights_csv, read_sms_csv,
+                                 read_with_rejects, row_count, schema_table, views, write_sms_csv)
 from sparkwright.session import scratch_path
 
 
@@ -45,6 +48,43 @@ def test_sms_round_trip_keeps_awkward_text(spark):
     assert sorted(map(tuple, told.collect())) == texts
 
 
+@pytest.mark.parametrize("options", [{}, {"escaped_lines": True}])
+def test_sms_table_round_trip_with_defaults(spark, options):
+    """Texts with line feeds come back as one row each, equal."""
+    rows = views.sms(spark, SF_SMALL)
+    wanted = sorted(map(tuple, rows.collect()))
+    assert sum("\n" in (t or "") for _, t, _ in wanted) > 50
+    back = read_sms_csv(spark, write_sms_csv(rows, scratch_path(spark, "sms-all"), **options), **options)
+    assert sorted(map(tuple, back.collect())) == [(i, t or None, x) for i, t, x in wanted]
+
+
+def test_escaped_lines_keep_backslashes(spark):
+    texts = ["a\nb", "a\\nb", "\\", "\\\\n", "\r\n\\\n", 'q"; \\"\n', "plain"]
+    df = spark.createDataFrame([(k, t, 0) for k, t in enumerate(texts)] + [(9, None, None)], SMS_SCHEMA)
+    path = write_sms_csv(df, scratch_path(spark, "sms-esc"), "\\N", escaped_lines=True)
+    back = read_sms_csv(spark, path, null_token="\\N", escaped_lines=True)
+    assert {r.id: r.text for r in back.collect()} == {**dict(enumerate(texts)), 9: None}
+
+
+def test_rejected_rows_have_reasons(spark, write_text):
+    schema = StructType([StructField("a", IntegerType()), StructField("b", DoubleType()), StructField("c", StringType())])
+    text = 'a,b,c\n1,2.5,x\nNA,NA,NA\n2,two,y\n3,1\n4,1,z,more\nfive,six,"q, r"\n99999999999,1,z\n,,\n'
+    good, bad = read_with_rejects(spark, write_text("faulty", text), schema)
+    assert sorted(map(tuple, good.collect()), key=str) == sorted([(1, 2.5, "x"), (None, None, None), (None, None, None)], key=str)
+    found = {r.record: r.reasons for r in bad.collect()}
+    assert found == {
+        "2,two,y": ["b: not double"], "3,1": ["c: missing"], "4,1,z,more": ["more than 3 fields"],
+        'five,six,"q, r"': ["a: not int", "b: not double"], "99999999999,1,z": ["a: not int"]}
+    assert all(r.file.endswith("part-0.csv") for r in bad.collect())
+    assert bad.count() == 5 and good.count() == 3 and good.select("a").count() == 3 and len(good.select("a").collect()) == 3
+
+
+def test_column_types(spark):
+    rows = [("1", "1", "1.5", "x", "NA"), ("-2", "3000000000", "2", "1", ""), ("NA", "", "1e3", "2", None)]
+    got = {r.column_name: r.data_type for r in column_types(spark.createDataFrame(rows, "a string, b string, c string, d string, e string")).collect()}
+    assert got == {"a": "int", "b": "bigint", "c": "double", "d": "string", "e": "string"}
+
+
 def test_schema_count_preview(flights_fixture):
     st = schema_table(flights_fixture).orderBy("position").collect()
     assert [(r.column_name, r.data_type) for r in st][:3] == [("mon", "int"), ("dom", "int"), ("dow", "int")]

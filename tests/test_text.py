@@ -90,9 +90,23 @@ def test_sql_murmur3_slot_matches_hashing_tf(spark):
         assert got == {w: hasher.indexOf(w) for w in words}
 
 
-def test_null_text_must_be_filtered_before_tokenizing(spark):
-    import pytest
-    df = spark.createDataFrame([(1, None), (2, "Hi there")], "id int, text string")
-    with pytest.raises(Exception):
-        text.tokenize(df).collect()
-    assert text.tokenize(df.filter("text IS NOT NULL")).first().words == ["hi", "there"]
+def test_null_text_counts_as_empty(spark):
+    from sparkwright.operators import tune
+    df = spark.createDataFrame([(1, None, 0), (2, "Hi there", 1), (3, "", 0)], "id int, text string, label int")
+    words = {r.id: r.words for r in text.tokenize(df).collect()}
+    assert words == {1: [""], 2: ["hi", "there"], 3: [""]}
+    assert text.tokenize(df).columns == [*df.columns, "words"]
+    scored = tune.text_stages(num_features=16).fit(df).transform(df)
+    assert scored.count() == 3 and scored.where("id = 1").first().prediction == 0.0
+
+
+def test_slot_dictionary_finds_collisions(spark):
+    from pyspark.ml.feature import HashingTF
+    docs = [(i, [f"w{k}" for k in range(40) if (i * k) % 3 != 1] + ["w1"]) for i in range(9)] + [(99, None), (100, [])]
+    df = spark.createDataFrame(docs, "id int, terms array<string>")
+    slots = {}
+    for w in {w for _, t in docs for w in t or []}:
+        slots.setdefault(HashingTF(numFeatures=16).indexOf(w), []).append((sum(w in (t or []) for _, t in docs), w))
+    got = {r.slot: (r.n_terms, r.top_docs, r.top_term, r.sum_docs) for r in text.slot_dictionary(df, "terms", "id", 16).collect()}
+    assert got == {s: (len(t), *max(t), sum(n for n, _ in t)) for s, t in slots.items()}
+    assert text.slot_dictionary(df.limit(0), "terms", "id", 16).count() == 0

@@ -52,6 +52,7 @@ def test_best_index_direction():
 
 def test_text_stages_wiring():
     stages = tune.text_stages().getStages()
-    assert [s.getInputCol() for s in stages[1:4]] == [stages[0].getOutputCol(), stages[1].getOutputCol(),
-                                                      stages[2].getOutputCol()]
+    assert "coalesce(`text`, '') AS `text_filled`" in stages[0].getStatement()
+    assert [s.getInputCol() for s in stages[1:5]] == ["text_filled", stages[1].getOutputCol(), stages[2].getOutputCol(),
+                                                      stages[3].getOutputCol()]
     assert isinstance(stages[-1], LogisticRegression)
