@@ -175,6 +175,16 @@ class SearchResult:
         return best_index(self.metrics, self.evaluator.isLargerBetter())
 
 
+#: Rows of a task at least, where many small fits run side by side.
+ROWS_PER_TASK = 20_000
+
+
+def _few_parts(df: DataFrame, rows: int) -> DataFrame:
+    """Small inputs of many fits in few partitions: a fit is then one stage per
+    iteration, and the cores work on different fits instead."""
+    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+
+
 def staged_search(stages: Pipeline, stage_grid: list[dict], model: Estimator, grid: list[dict],
                   evaluator: Evaluator, df: DataFrame, num_folds: int, keep: list[str],
                   fold_col: str = "fold", parallelism: int | None = None) -> SearchResult:
@@ -186,12 +196,14 @@ def staged_search(stages: Pipeline, stage_grid: list[dict], model: Estimator, gr
     points = [{**a, **b} for a in stage_grid for b in grid]
     by_fold: list[list[float]] = [[] for _ in points]
     with persisted(df) as rows, ThreadPool(parallelism or spark.sparkContext.defaultParallelism) as pool:
+        n_rows = rows.count()
         for s, setting in enumerate(stage_grid):
             for fold in range(num_folds):
                 train = rows.where(rows[fold_col] != fold)
                 fitted = stages.fit(train, setting)
                 valid = fitted.transform(rows.where(rows[fold_col] == fold)).select(*keep)
-                with persisted(fitted.transform(train).select(*keep)) as seen, persisted(valid) as unseen:
+                kept = fitted.transform(train).select(*keep)
+                with persisted(_few_parts(kept, n_rows)) as seen, persisted(_few_parts(valid, n_rows)) as unseen:
                     def score(point):
                         return evaluator.evaluate(model.fit(seen, point).transform(unseen))
 
@@ -201,7 +213,8 @@ def staged_search(stages: Pipeline, stage_grid: list[dict], model: Estimator, gr
         result = SearchResult(points, [sum(m) / num_folds for m in by_fold], evaluator, fold_metrics=by_fold)
         setting, point = stage_grid[result.best // len(grid)], grid[result.best % len(grid)]
         fitted = stages.fit(rows, setting)
-        best = model.fit(fitted.transform(rows), point)
+        with persisted(_few_parts(fitted.transform(rows).select(*keep), n_rows)) as every:
+            best = model.fit(every, point)
     result.best_model = PipelineModel([*fitted.stages, best])
     return result
 

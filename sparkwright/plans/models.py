@@ -175,6 +175,12 @@ def m6_linear_depart(spark, sf_dir):
     return _residual_cosines(fitted, train)
 
 
+def m6_linear_depart_scored(spark, sf_dir):
+    """Test predictions of the model on km, origin and departure bucket."""
+    fitted, _, test = _dummies_model(spark, sf_dir, ())
+    return fitted.transform(test).select(KEY, r("prediction", 4).alias("prediction"))
+
+
 def m7_linear_all(spark, sf_dir):
     fitted, train, _ = _dummies_model(spark, sf_dir, ("dow", "mon"))
     return _residual_cosines(fitted, train)
@@ -388,6 +394,7 @@ QUERIES = {
     "m4_linear_km": m4_linear_km,
     "m5_linear_km_org": m5_linear_km_org,
     "m6_linear_depart": m6_linear_depart,
+    "m6_linear_depart_scored": m6_linear_depart_scored,
     "m7_linear_all": m7_linear_all,
     "m8_lasso_km": m8_lasso_km,
     "m9_elastic_net_km": m9_elastic_net_km,
@@ -634,6 +641,10 @@ ORACLE = {
                round(fit.a + fit.f[l.fi] + fit.g[k], 6) AS effect
         FROM (SELECT DISTINCT org, CAST(least(floor(depart / 3), 7) + 1 AS INTEGER) AS k FROM train)
         JOIN flv l ON l.lvl = org, fit""", recursive=True),
+    "m6_linear_depart_scored": o.with_sql(
+        o.SPLIT + "," + o.two_factor_fit("train", "org", "least(floor(depart / 3), 7) + 1", 8), """
+        SELECT t.event_id, round(fit.a + fit.b * t.km + fit.f[l.fi] + fit.g[CAST(least(floor(t.depart / 3), 7) + 1 AS INTEGER)], 4) AS prediction
+        FROM test t JOIN flv l ON t.org = l.lvl, fit""", recursive=True),
     "a1_confusion_matrix": o.with_sql(_STUMP, """
         SELECT label, tree_prediction AS prediction, count(*) AS count FROM stump GROUP BY 1, 2"""),
     "a2_confusion_cells": o.with_sql(_STUMP + """,
