@@ -17,13 +17,14 @@ is aligned around its candidates only, so the work is linear in its words.
 
 Defined results: a null or empty text has no match; repeated rows give
 repeated matches; equal ids are scanned apart; templates with fewer words than
-``GRAM`` are refused; an empty table gives an empty result; other columns are
-ignored.
+``GRAM`` are refused; an empty table or list of templates gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +40,7 @@ BLOCK_WORDS = 200_000
 _WORD = re.compile(r"[^\W_]+")
 _FAR_HASH = np.uint64(0xFFFFFFFFFFFFFFFF)
 
-# Notices as projects write them, by SPDX identifier.
+# Notices and short full texts as projects write them, by SPDX identifier.
 TEMPLATES = {
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
@@ -54,6 +55,69 @@ TEMPLATES = {
         "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
         "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
         "Software, and to permit persons to whom the Software is furnished to do so.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+        "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+        "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+        "the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT "
+        "NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT "
+        "SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+        "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS "
+        "IN THE SOFTWARE.",
+    ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS "
+        "PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+        "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER "
+        "IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+        "PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+        "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+        "purpose, commercial or non-commercial, and by any means.",
+    ),
+    "CC0-1.0": (
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this "
+        "work.",
+    ),
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version.",
+    ),
+    "LGPL-2.1": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at "
+        "your option) any later version.",
+    ),
+    "LGPL-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version.",
+    ),
+    "AGPL-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version.",
+    ),
+    "BSD-2-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this "
+        "list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above "
+        "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials "
+        "provided with the distribution. "
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+        "PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+        "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+        "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+        "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY "
+        "OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
     ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
@@ -64,6 +128,20 @@ TEMPLATES = {
     "BSD-3-Clause": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
         "the following conditions are met:",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this "
+        "list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above "
+        "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials "
+        "provided with the distribution. "
+        "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission. "
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+        "PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+        "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+        "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+        "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY "
+        "OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
     ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
@@ -73,6 +151,10 @@ TEMPLATES = {
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
+    "CC-BY-SA-4.0": (
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ),
     "CC-BY-4.0": (
         "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
@@ -205,10 +287,15 @@ def scan_words(index: Index, words: list[str], least: float) -> list[tuple[int,
 def largest(matches: list[tuple], sizes: list[int]) -> list[tuple]:
     """Without matches that lie within the span of one with more words
     matched (of equal ones that of the shorter template, then the first)."""
-    out = []
+    out, starts, ends = [], [], []  # kept spans that lie in no other, so both ascend
     for m in sorted(matches, key=lambda m: (-m[1], sizes[m[0]], m[2], m[0])):
-        if not any(o[2] <= m[2] and m[3] <= o[3] for o in out):
-            out.append(m)
+        at = bisect_right(starts, m[2])
+        if at and ends[at - 1] >= m[3]:
+            continue
+        out.append(m)
+        low = bisect_left(starts, m[2])
+        high = bisect_right(ends, m[3])
+        starts[low:high], ends[low:high] = [m[2]], [m[3]]
     return sorted(out, key=lambda m: (m[2], m[3], m[0]))
 
 
@@ -233,6 +320,9 @@ def scan(documents: DataFrame, templates: list[tuple[str, str]] | None = None, l
     templates = default_templates() if templates is None else templates
     kind = documents.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, license string, template int, matched int, coverage double, start int, end int, span string"
+    if not templates:
+        kinds = dict(c.split() for c in schema.split(", "))
+        return documents.where("false").select("doc_id", *(F.lit(None).cast(t).alias(c) for c, t in kinds.items() if c != "doc_id"))
     out, first = None, 0
     for block in _blocks(templates):
         rows = documents.select("doc_id", "text").mapInArrow(_scanner(Index(block), first, least, schema), schema)

@@ -110,6 +110,30 @@ def dict_text(rows, doc_id):
     return next(t for d, t in rows if d == doc_id)
 
 
+def test_largest_equals_all_pairs():
+    rng = random.Random(8)
+    sizes = [3, 5, 9]
+    for _ in range(300):
+        matches = [(rng.randrange(3), rng.randrange(1, 6), b, b + rng.randrange(1, 9)) for b in (rng.randrange(20) for _ in range(rng.randrange(12)))]
+        kept = []
+        for m in sorted(matches, key=lambda m: (-m[1], sizes[m[0]], m[2], m[0])):
+            if not any(o[2] <= m[2] and m[3] <= o[3] for o in kept):
+                kept.append(m)
+        assert licenses.largest(matches, sizes) == sorted(kept, key=lambda m: (m[2], m[3], m[0]))
+
+
+def test_each_template_is_found_as_its_own(spark):
+    """Similar notices (GPL, LGPL, AGPL; BSD with two and three clauses) are told apart."""
+    templates = licenses.default_templates()
+    df = spark.createDataFrame([(k, f"some code\n{t}\nmore code") for k, (_, t) in enumerate(templates)], "doc_id long, text string")
+    rows = licenses.scan(df).collect()
+    for k, (name, _) in enumerate(templates):
+        best = [r for r in rows if r.doc_id == k and r.template == k]
+        assert len(best) == 1 and best[0].license == name and best[0].coverage == 1.0
+        assert {r.license for r in rows if r.doc_id == k} == {name}
+    assert licenses.scan(df, []).count() == 0 and licenses.scan(df, []).columns == licenses.scan(df).columns
+
+
 def test_templates_in_blocks(spark, monkeypatch):
     df = spark.createDataFrame([(1, NOTICE), (2, "Released under the MIT License.")], "doc_id long, text string")
     whole = sorted(map(tuple, licenses.scan(df).collect()))
