@@ -129,6 +129,22 @@ def test_components(spark, n):
     assert got == up
 
 
+def test_components_over_many_tasks(spark, monkeypatch):
+    """Local contraction of a few links each, then star operations."""
+    from sparkwright.llm import components as module
+
+    monkeypatch.setattr(module, "LINKS_PER_TASK", 40)
+    rng = random.Random(3)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(500 + k, 501 + k) for k in range(60)]
+    low = {x: x for link in links for x in link if link[0] != link[1]}
+    for _ in range(300):
+        for a, b in links:
+            if a != b:
+                low[a] = low[b] = min(low[a], low[b])
+    df = spark.createDataFrame(links, "a long, b long").repartition(6)
+    assert {r.node: r.component for r in components(df).collect()} == low
+
+
 def test_components_of_nothing(spark):
     none = spark.createDataFrame([], "a long, b long")
     assert components(none).count() == 0
