@@ -11,28 +11,40 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as entry  # noqa: E402
 from check_oracle import TABLES, _kind, _rows  # noqa: E402
-from conftest import SF_SMALL  # noqa: E402
+from conftest import SF_CHECK, SF_SMALL  # noqa: E402
 
 ORACLE = entry.oracle_sql()
 
 
-@pytest.fixture(scope="module")
-def con():
+def connect(sf_dir):
     c = duckdb.connect()
     for t in TABLES:
-        p = f"{SF_SMALL}/{t}.parquet"
+        p = f"{sf_dir}/{t}.parquet"
         if os.path.exists(p):
             c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
     return c
 
 
+@pytest.fixture(scope="module")
+def con():
+    return connect(SF_SMALL)
+
+
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(entry.queries())
 
 
+#: Boosted trees: on the smallest tables two features may split a node's training
+#: rows alike, and rounding decides which one Spark takes; these run on sf0.01.
+BOOSTED = {"m10_gbt_default", "m10_rounds", "i5_splits_by_tree", "i6_feature_importance", "e4_compare_auc_default",
+           "e4_auc_difference_default"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    df = entry.queries()[name](spark, SF_SMALL)
+    if name in BOOSTED:
+        con = connect(SF_CHECK)
+    df = entry.queries()[name](spark, SF_CHECK if name in BOOSTED else SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
     rel = con.sql(ORACLE[name])
     drows = rel.fetchall()
