@@ -1,7 +1,10 @@
 """BPE automaton and token files against the tokenizers library."""
 
 import hashlib
+import itertools
+import json
 import random
+import time
 import zlib
 
 import numpy as np
@@ -51,6 +54,78 @@ def test_arc_table_may_start_anew(monkeypatch, library):
         assert a.encode(t) == expected(library, t)[0]
 
 
+def test_tables_are_compiled_whole():
+    t = bpe.compile_tables(bpe.read_spec(PATH))
+    made = t.rank >= 0
+    # one removed arc per gadget, that of its own state and label
+    assert sorted(t.removed) == sorted(t.left[made].astype("i8") * len(t.rank) + t.right[made])
+    assert len(set(t.edges.tolist())) == len(t.edges) and (np.sort(t.to) == np.arange(1, len(t.back))).all()
+    assert (t.length[t.left[made]] + t.length[t.right[made]] == t.length[made]).all()
+    assert sum(x.nbytes for x in t) < 5e6
+
+
+def naive_bpe(word, merges):
+    """The merges in order, each on all its pairs from the left."""
+    for u, v in merges:
+        out = []
+        for s in word:
+            if out and out[-1] == u and s == v:
+                out[-1] = u + v
+            else:
+                out.append(s)
+        word = out
+    return word
+
+
+def small_spec(rng):
+    letters = list("abc")
+    vocab, merges = [*letters, *(c + "</w>" for c in letters)], []
+    while len(merges) < 12:
+        u = rng.choice([x for x in vocab if not x.endswith("</w>")])
+        v = rng.choice(vocab)
+        if u + v not in vocab:
+            merges.append((u, v))
+            vocab.append(u + v)
+    split = {"type": "Split", "pattern": {"Regex": r"\w+"}}
+    conf = {
+        "model": {"type": "BPE", "vocab": {x: i for i, x in enumerate(vocab)}, "merges": [f"{u} {v}" for u, v in merges], "end_of_word_suffix": "</w>"},
+        "added_tokens": [], "pre_tokenizer": {"pretokenizers": [split]},
+    }
+    return json.dumps(conf), vocab, merges
+
+
+def test_automaton_accepts_what_merging_gives():
+    rng = random.Random(3)
+    for _ in range(60):
+        spec, vocab, merges = small_spec(rng)
+        a = bpe.Automaton(spec)
+        for n in range(1, 8):
+            for word in itertools.product("abc", repeat=n):
+                want = naive_bpe([*word[:-1], word[-1] + "</w>"], merges)
+                assert [vocab[i] for i in a.encode_word("".join(word).encode())] == want, (word, merges)
+
+
+def test_words_after_one_another(library):
+    a = bpe.Automaton(bpe.read_spec(PATH))
+    words_ = ["national", "nationality", "nation", "nation", "n", "", "nationwide", "zebra", "national"]
+    ids, numbers = a.encode_words([w.encode() for w in words_])
+    want = [expected(library, w)[0] for w in words_]
+    assert numbers == [len(w) for w in want] and list(ids) == sum(want, [])
+
+
+def test_long_word_takes_linear_time(library):
+    a = bpe.Automaton(bpe.read_spec(PATH))
+    rng = random.Random(1)
+    long = "".join(rng.choice("abcdeinorst") for _ in range(1_000_000))
+    assert a.encode_word(long.encode()) == expected(library, long)[0]
+    seconds = []
+    for n in (250_000, 1_000_000):
+        at = time.process_time()
+        a.encode_word(long[:n].encode())
+        seconds.append(time.process_time() - at)
+    assert seconds[1] < 10 * seconds[0]
+
+
 def test_small_word_cache():
     asked = []
     cache = words.WordCache(lambda w: asked.append(w) or f"<{w}>", lambda w: f"[{w}]", lambda a, b: a + b, 4)
