@@ -16,11 +16,14 @@ Defined results: a null role or text counts as empty; a null ``turn`` sorts
 first; equal turns are ordered by role, then text, and repeated rows are all
 kept; a null ``conv_id`` is one conversation of its own; an empty table gives
 an empty result; other columns are ignored.  A formatted conversation is one
-row, so one conversation must fit a task.
+row, so one conversation must fit a task; the work is linear in its turns, but for
+the running sums of the spans, which take a step per binary digit of their number.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,21 +49,35 @@ def _unescape_role(role: Column) -> Column:
     return F.array_join(F.transform(parts, lambda p: F.replace(p, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value worked out once: within a lambda a plain column would be
+    worked out again for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _blocks(turns: Column) -> Column:
     """Adjacent turns of one role as ``array<struct<role, texts>>``."""
-    starts = F.filter(
-        F.sequence(F.lit(1), F.size(turns)),
-        lambda i: (i == 1) | (F.get(turns, i - 1)["role"] != F.get(turns, i - 2)["role"]),
-    )
-    return F.transform(
-        starts,
-        lambda start, k: F.struct(
-            F.get(turns, start - 1)["role"].alias("role"),
-            F.transform(
-                F.slice(turns, start, F.coalesce(F.get(starts, k + 1), F.size(turns) + 1) - start), lambda t: t["text"]
-            ).alias("texts"),
-        ),
-    )
+
+    def cut(turns: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(turns) - 1)
+        starts = F.filter(
+            places, lambda i: (i == 0) | (F.get(turns, i)["role"] != F.get(turns, F.greatest(i - 1, F.lit(0)))["role"])
+        )
+        return _let(
+            starts,
+            lambda starts: F.transform(
+                starts,
+                lambda start, k: F.struct(
+                    F.get(turns, start)["role"].alias("role"),
+                    F.transform(
+                        F.sequence(start, F.coalesce(F.get(starts, k + 1), F.size(turns)) - 1),
+                        lambda i: F.get(turns, i)["text"],
+                    ).alias("texts"),
+                ),
+            ),
+        )
+
+    return _let(turns, cut)
 
 
 def _piece(text: Column, loss: Column) -> Column:
@@ -84,25 +101,49 @@ def _pieces(blocks: Column, loss_role: str) -> Column:
     return F.flatten(F.transform(blocks, block))
 
 
+def _running(lengths: Column) -> Column:
+    """Running sums of an array.  Each step adds the sums that end twice as far
+    before, so there are as many steps as the array's size has binary digits."""
+    start = F.struct(F.lit(1).alias("by"), lengths.alias("sums"))
+
+    def step(acc: Column, _: Column) -> Column:
+        by, sums = acc["by"], acc["sums"]
+        added = F.transform(sums, lambda n, i: F.when(i < by, n).otherwise(n + F.get(sums, F.greatest(i - by, F.lit(0)))))
+        return F.struct((by * 2).alias("by"), added.alias("sums"))
+
+    digits = F.length(F.bin(F.size(lengths)))
+    return F.aggregate(F.sequence(F.lit(1), digits), start, step, lambda acc: acc["sums"])
+
+
 def _spans(pieces: Column) -> Column:
-    """Start (0-based code point) and length of every piece under the loss."""
-    empty = F.lit(None).cast("array<struct<start:int,length:int>>")
-    start = F.struct(F.lit(0).alias("at"), F.coalesce(empty, F.array().cast("array<struct<start:int,length:int>>")).alias("spans"))
+    """Start and length of every piece under the loss, in code points and bytes."""
+    chars = F.transform(pieces, lambda p: F.char_length(p["s"]))
+    octets = F.transform(pieces, lambda p: F.octet_length(p["s"]))
 
-    def step(acc: Column, p: Column) -> Column:
-        n = F.char_length(p["s"])
-        span = F.struct(acc["at"].alias("start"), n.alias("length"))
-        spans = F.when(p["loss"], F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
-        return F.struct((acc["at"] + n).alias("at"), spans.alias("spans"))
+    def spans(ends: Column) -> Column:
+        def span(p: Column, i: Column) -> Column:
+            n, size = F.char_length(p["s"]), F.octet_length(p["s"])
+            return F.when(
+                p["loss"],
+                F.struct(
+                    (F.get(ends["chars"], i) - n).alias("start"),
+                    n.alias("length"),
+                    (F.get(ends["bytes"], i) - size).alias("first_byte"),
+                    size.alias("bytes"),
+                ),
+            )
 
-    return F.aggregate(pieces, start, step, lambda acc: acc["spans"])
+        return F.filter(F.transform(pieces, span), lambda x: x.isNotNull())
+
+    return _let(F.struct(_running(chars).alias("chars"), _running(octets).alias("bytes")), spans)
 
 
 def format_conversations(conversations: DataFrame, loss_role: str = "assistant") -> DataFrame:
     """``conv_id, formatted, loss_spans``: one row per conversation.
 
-    ``loss_spans`` are the code-point ranges of ``formatted`` that hold texts
-    of ``loss_role``; marks and separators are outside of them."""
+    ``loss_spans`` are the ranges of ``formatted`` that hold texts of
+    ``loss_role``, in code points (``start, length``) and in bytes of UTF-8
+    (``first_byte, bytes``); marks and separators are outside of them."""
     turn = F.struct(
         "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
@@ -130,10 +171,13 @@ def read_turns(formatted: Column) -> Column:
 
 
 def read_loss(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped, in order, nothing between."""
-    return F.array_join(
-        F.transform(spans, lambda s: unescape(F.substr(formatted, s["start"] + 1, s["length"]))), ""
-    )
+    """All text under the loss mask, unescaped, in order, nothing between.  Spans
+    are cut by their bytes, which takes no count of code points from the start."""
+
+    def cut(data: Column) -> Column:
+        return F.transform(spans, lambda s: unescape(F.decode(F.substr(data, s["first_byte"] + 1, s["bytes"]), "UTF-8")))
+
+    return F.array_join(_let(formatted.cast("binary"), cut), "")
 
 
 def count_blocks(formatted: Column) -> Column:

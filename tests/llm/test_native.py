@@ -4,6 +4,7 @@ brute force; whole tables are held against SQL."""
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import duckdb
@@ -76,6 +77,32 @@ def test_chat_round_trip(spark):
     assert chat.format_conversations(df.limit(0)).count() == 0
 
 
+def test_chat_long_conversation(spark):
+    """Spans of many turns, and work in proportion to the turns."""
+
+    def read(n):
+        # two turns of one role after one another now and then
+        role = F.when(F.col("id") % 5 < 2, "user").otherwise("assistant")
+        text = F.concat(F.lit("é <turn> 😀 "), F.col("id").cast("string"))
+        turns = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), text.alias("text"))
+        done = chat.format_conversations(turns)
+        back = chat.read_turns(F.col("formatted")).alias("turns"), chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss")
+        at = time.perf_counter()
+        (row,) = done.select("formatted", "loss_spans", *back).collect()
+        return row, time.perf_counter() - at
+
+    read(10)
+    row, seconds = read(2000)
+    want = [("user" if i % 5 < 2 else "assistant", f"é <turn> 😀 {i}") for i in range(2000)]
+    assert [(t.role, t.text) for t in row.turns] == want
+    assert row.loss == "".join(t for r, t in want if r == "assistant")
+    cut = [row.formatted[s.start : s.start + s.length] for s in row.loss_spans]
+    data = row.formatted.encode()
+    assert [data[s.first_byte : s.first_byte + s.bytes].decode() for s in row.loss_spans] == cut
+    assert "".join(cut).replace("\\<turn>", "<turn>") == row.loss
+    assert read(20_000)[1] < 20 * max(seconds, 0.5)
+
+
 # -- sharding ---------------------------------------------------------------
 
 
