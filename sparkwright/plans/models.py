@@ -59,7 +59,7 @@ def _stump_forest():
 
 def _class_scored(spark, sf_dir, estimator):
     train, test = split(spark, sf_dir)
-    return models.fit_and_score(estimator, features.assemble(train, CLASS_FEATURES),
+    return models.fit_and_score(estimator, features.assemble(train, CLASS_FEATURES).select("features", "label"),
                                 features.assemble(test, CLASS_FEATURES))
 
 

@@ -2,7 +2,9 @@ import math
 
 import numpy as np
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
+from sparkwright.functions import partitioning
 from sparkwright.operators import features, introspect, models
 from sparkwright.plans import common
 from sparkwright.plans.models import CLASS_FEATURES
@@ -146,3 +148,12 @@ def test_unknown_levels_raise(spark):
     with pytest.raises(KeyError):
         introspect.level_effects_2(spark, model, names, ("a", "org_dummy_", labels), ("b", "org_dummy_", labels),
                                    [(labels[0], "misspelt")])
+
+
+def test_split_deals_out_a_single_row_group(spark, monkeypatch):
+    before = [sorted(map(tuple, part.collect())) for part in common.split(spark, SF_SMALL)]
+    monkeypatch.setattr(partitioning, "SPREAD_ROWS", 100)
+    after = common.split(spark, SF_SMALL)
+    assert [sorted(map(tuple, part.collect())) for part in after] == before
+    held = [n for n, in after[0].groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert len(held) >= 8 and max(held) < 2 * sum(held) / len(held)
