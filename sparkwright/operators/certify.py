@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import sparse_slots
+from ..session import shared_root
 
 INTERCEPT = -1
 
@@ -38,14 +39,21 @@ def gram_table(df: DataFrame, target: str, features_col: str = "features", by: t
     """Sums of products of all pairs of columns, ``(by.., i, j, s)`` with
     ``i <= j``: slots of the vector, -1 the constant 1, -2 the target.  Pairs
     that no row stores are absent.  One aggregate, combined before its shuffle:
-    a row makes as many pairs as it has stored slots, squared and halved."""
+    a row makes as many pairs as it has stored slots, squared and halved.  The
+    table is written once to the shared checkpoint folder: its readers take it
+    several times, and would pass over the rows again each time."""
     own = F.array(F.struct(F.lit(-2).alias("slot"), F.col(target).cast("double").alias("value")),
                   F.struct(F.lit(-1).alias("slot"), F.lit(1.0).alias("value")))
-    rows = df.select(*by, F.array_sort(F.concat(own, sparse_slots(features_col))).alias("v"))
-    pairs = F.flatten(F.transform("v", lambda a: F.transform(
-        F.filter("v", lambda b: b["slot"] >= a["slot"]),
-        lambda b: F.struct(a["slot"].alias("i"), b["slot"].alias("j"), (a["value"] * b["value"]).alias("x")))))
-    return rows.select(*by, F.inline(pairs)).groupBy(*by, "i", "j").agg(F.sum("x").alias("s"))
+    # Stored slots ascend, so the pairs of a slot are those from its place on.
+    # explode_outer + filter: a plain explode makes Catalyst test the array's size
+    # below, computing the vector twice per row.
+    rows = df.select(*by, F.concat(own, sparse_slots(features_col)).alias("v"))
+    firsts = rows.select(*by, "v", F.posexplode_outer("v").alias("k", "a")).where(F.col("a").isNotNull())
+    pairs = firsts.select(*by, "a", F.explode_outer(F.slice("v", F.col("k") + 1, F.size("v"))).alias("b"))
+    table = pairs.groupBy(*by, F.col("a.slot").alias("i"), F.col("b.slot").alias("j")).agg(
+        F.sum(F.col("a.value") * F.col("b.value")).alias("s"))
+    shared_root(df.sparkSession)
+    return table.checkpoint()
 
 
 def training_systems(by_fold: DataFrame, fold_col: str = "fold") -> DataFrame:

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -91,3 +92,19 @@ def test_fold_table_and_spread(spark):
     assert sorted((r.fold, r.point, r.metric) for r in folds.collect()) == [(0, 0, 1.0), (0, 1, 2.5), (0, 2, 1.0), (1, 0, 3.0), (1, 1, 3.5), (1, 2, 3.0)]
     got = {r.point: (r["mean"], round(r.spread, 6), r.gap) for r in tune.fold_spread(folds, False).collect()}
     assert got == {0: (2.0, 1.414214, None), 1: (3.0, 0.707107, pytest.approx(2.0)), 2: (2.0, 1.414214, None)}
+
+
+def test_sums_of_products_pass_over_the_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def target(k):
+        seen.add(1)
+        return float(k % 7)
+
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(
+        spark.range(200).selectExpr("id", "cast(id % 5 as double) a", "cast(id % 11 as double) b"))
+    df = df.withColumn("y", F.udf(target, "double")("id"))
+    fit = models.linear("y", regParam=0.1, elasticNetParam=1.0).fit(df)
+    before = seen.value
+    assert certify.subgradients(certify.gram_table(df, "y"), fit, 0.1).count() == 2
+    assert seen.value - before == 200
