@@ -81,31 +81,59 @@ def slot_dictionary(df: DataFrame, terms_col: str, id_col: str, num_features: in
     return out.join(F.broadcast(df.sparkSession.createDataFrame(weights, "slot int, coefficient double")), "slot")
 
 
+#: Dictionaries of more bytes than this are joined by shuffles.
+BROADCAST_BYTES = 64 << 20
+
+
+def _counted_runs(df: DataFrame, id_col: str, terms_col: str) -> DataFrame:
+    """``(id, runs)`` of every row by itself, ``runs`` its terms in sorted order
+    with their counts as ``array<struct<term, tf>>``."""
+    # sort_array: array_sort would compare through a lambda
+    ordered = df.select(id_col, F.sort_array(F.array_compact(terms_col)).alias("s"))
+    places = F.slice(F.sequence(F.lit(0), F.size("s")), F.lit(1), F.size("s"))  # none of an empty row
+    starts = F.filter(places, lambda k: (k == 0) | (F.get("s", k) != F.get("s", k - 1)))
+    starting = ordered.select(id_col, "s", starts.alias("starts"))
+    end = lambda i: F.coalesce(F.get("starts", i + 1), F.size("s"))
+    return starting.select(id_col, F.transform("starts", lambda k, i: F.struct(
+        F.get("s", k).alias("term"), (end(i) - k).cast("long").alias("tf"))).alias("runs"))
+
+
+def term_counts(df: DataFrame, id_col: str = "id", terms_col: str = "terms") -> DataFrame:
+    """Rows ``(id, term, tf)``, counted within each row of ``df``; only the rows
+    of ids that come more than once (null counts as an id) are added up by a
+    shuffle.  Written once to the shared checkpoint folder, a row per row of
+    ``df``: readers do not tokenize again, nor read a record per term."""
+    shared_root(df.sparkSession)
+    runs = _counted_runs(df, id_col, terms_col).checkpoint(eager=True)
+    repeated = runs.groupBy(F.col(id_col).alias("__id")).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    if repeated.isEmpty():
+        return runs.select(id_col, F.inline("runs"))
+    marked = runs.join(repeated, F.col(id_col).eqNullSafe(F.col("__id")), "left")
+    again = marked.where("__n IS NOT NULL").select(id_col, F.inline("runs")).groupBy(id_col, "term").agg(F.sum("tf").alias("tf"))
+    return marked.where("__n IS NULL").select(id_col, F.inline("runs")).unionByName(again)
+
+
 def term_tfidf(df: DataFrame, id_col: str = "id", terms_col: str = "terms",
                n_docs: int | None = None) -> DataFrame:
     """X8 per term, no hashing: rows ``(id, term, tf, doc_freq, idf, tfidf)``.
 
-    Plan: explode terms -> count per (id, term) (checkpointed once) ->
+    Plan: terms counted within each document (checkpointed once) ->
     document frequency per term (each pair counts once; partial aggregation
-    absorbs hot terms) -> join back on term.  The dictionary is broadcast only after its size is
-    checked at run time (AQE); past the threshold the sort-merge join's skewed
-    partitions are split, so a term held by most documents does not land on
-    one task (without AQE: a row-count check, then a salted join).
+    absorbs hot terms) -> join back on term.  The dictionary is written out and
+    measured: up to ``BROADCAST_BYTES`` it is broadcast, so that the pairs stay
+    where they are; past that the sort-merge join's skewed partitions are split
+    (AQE), so a term held by most documents does not land on one task (without
+    AQE: a salted join).
     """
-    # explode_outer + filter: a plain explode makes Catalyst infer size(terms) > 0
-    # and push it below upstream joins, running the tokenizer twice per document.
-    pairs = (df.select(id_col, F.explode_outer(terms_col).alias("term"))
-             .filter(F.col("term").isNotNull())
-             .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
-    # Both join sides read the pairs: write them once to the shared checkpoint
-    # folder (also cuts the tokenizing lineage, so a lost executor does not
-    # re-tokenize whole texts) instead of tokenizing twice.
-    shared_root(df.sparkSession)
-    pairs = pairs.checkpoint(eager=True)
+    # Both join sides read the counts, which are written once.
+    pairs = term_counts(df, id_col, terms_col)
     if n_docs is None:
         n_docs = df.count()  # N counts every document row, as IDF does
-    dictionary = pairs.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
     idf = F.ln((F.lit(n_docs) + 1.0) / (F.col("doc_freq") + 1.0))
-    joined = skew_safe_join(pairs, dictionary, on="term", salts=32)
-    return joined.select(id_col, "term", "tf", "doc_freq", idf.alias("idf"),
-                         (F.col("tf") * idf).alias("tfidf"))
+    dictionary = pairs.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq")).withColumn("idf", idf).checkpoint(eager=True)
+    held = dictionary.agg(F.coalesce(F.sum(F.octet_length("term") + F.lit(40)), F.lit(0))).first()[0]
+    if held <= BROADCAST_BYTES:
+        joined = pairs.join(F.broadcast(dictionary), on="term")
+    else:
+        joined = skew_safe_join(pairs, dictionary, on="term", salts=32)
+    return joined.select(id_col, "term", "tf", "doc_freq", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))

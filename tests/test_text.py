@@ -110,3 +110,27 @@ def test_slot_dictionary_finds_collisions(spark):
     got = {r.slot: (r.n_terms, r.top_docs, r.top_term, r.sum_docs) for r in text.slot_dictionary(df, "terms", "id", 16).collect()}
     assert got == {s: (len(t), *max(t), sum(n for n, _ in t)) for s, t in slots.items()}
     assert text.slot_dictionary(df.limit(0), "terms", "id", 16).count() == 0
+
+
+def test_term_weights_count_within_documents(spark, monkeypatch):
+    data = [(1, ["a", "b", "a", None]), (1, ["a", "c"]), (2, []), (3, ["b"]), (None, ["a", "z"]), (None, ["z"]), (4, None)]
+    df = spark.createDataFrame(data, "id long, terms array<string>")
+    tf = {}
+    for key, terms in data:
+        for term in filter(None, terms or []):
+            tf[key, term] = tf.get((key, term), 0) + 1
+    freq = {t: sum(term == t for _, term in tf) for _, t in tf}
+    want = sorted((str(k), t, n, freq[t], round(n * math.log((7 + 1) / (freq[t] + 1)), 9)) for (k, t), n in tf.items())
+
+    def got(found):
+        return sorted((str(r.id), r.term, r.tf, r.doc_freq, round(r.tfidf, 9)) for r in found.collect())
+
+    found = text.term_tfidf(df)
+    assert got(found) == want
+    # a small dictionary comes to the counts, which are not shuffled by term
+    once = text.term_tfidf(df.where("id > 1"))
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    monkeypatch.setattr(text, "BROADCAST_BYTES", 0)
+    assert got(text.term_tfidf(df)) == want
+    assert text.term_tfidf(df.limit(0)).count() == 0
