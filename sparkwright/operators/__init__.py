@@ -6,5 +6,6 @@
 * ``models``      M1-M11        model families and fit-then-score
 * ``introspect``  I1-I7         learned state as tables
 * ``evaluate``    A1-A5, E1-E4  confusion counts and metrics
+* ``forests``     T10           forest search on grouped rows
 * ``tune``        T1-T12        pipelines, grids, cross-validated search
 """

@@ -17,8 +17,10 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvalu
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from ..functions import partitioning
 from ..functions.partitioning import persisted
-from ..operators import certify, evaluate, features, models, tune
+from ..operators import certify, evaluate, features, forests, models, tune
+from ..sources import views
 from . import oracle as o
 from .common import KEY, r, split, with_folds
 from .models import CLASS_FEATURES, MIX_PARAMS, REG_PARAMS, _residual_cosines
@@ -83,13 +85,18 @@ def t8_grid_linear(spark, sf_dir):
 
 
 def t10_grid_forest(spark, sf_dir):
-    """Forest, featureSubsetStrategy x maxDepth (12 points) x 5 folds, exact AUC."""
+    """Forest, featureSubsetStrategy x maxDepth (12 points) x 5 folds, exact
+    AUC.  Large tables are grouped first (``forests.grouped_search``)."""
     train, _ = split(spark, sf_dir)
-    train = with_folds(features.assemble(train, CLASS_FEATURES), 5).select("features", "label", "fold")
+    train = with_folds(train, 5)
     forest = models.random_forest()
-    cv = tune.cross_validate(forest, tune.forest_grid(forest), BinaryClassificationEvaluator(numBins=0),
-                             train, 5, "fold", PARALLELISM)
-    return tune.search_table(spark, cv).withColumn("metric", r("metric"))
+    grid, evaluator = tune.forest_grid(forest), BinaryClassificationEvaluator(numBins=0)
+    if views.table(spark, sf_dir, "events").count() > partitioning.SPREAD_ROWS:
+        found = forests.grouped_search(forest, grid, evaluator, train, CLASS_FEATURES, 5)
+    else:
+        train = features.assemble(train, CLASS_FEATURES).select("features", "label", "fold")
+        found = tune.cross_validate(forest, grid, evaluator, train, 5, "fold", PARALLELISM)
+    return tune.search_table(spark, found).withColumn("metric", r("metric"))
 
 
 def t11_best_model(spark, sf_dir):
