@@ -1,9 +1,17 @@
-"""Forest search on grouped rows (T10 on large tables).
+"""Forest search: each forest fitted once for all its depths.
 
-A forest reads a feature only through at most ``maxBins`` bins, so rows of the
-same bins and label are alike to every tree.  ``grouped_search`` counts such
-rows once per fold and fits Spark's trees on the counts as weights: the passes
-over all rows do not depend on the number of grid points, trees and levels.
+Spark grows trees level by level, so that one of depth 5 is one of depth 10 cut
+there: ``nested_search`` fits the deepest point of those that differ in nothing
+else, and reads the others off its trees (``cut_shares``).  Strategies that
+leave the same number of features to a node are alike too (``sqrt`` and ``log2``
+of three).  Draws and features of a node depend on the seed and its place only,
+so all points have the areas that fits of their own would have.
+
+On large tables rows are grouped first.  A forest reads a feature only through
+at most ``maxBins`` bins, so rows of the same bins and label are alike to every
+tree.  ``grouped_search`` counts such rows once per fold and fits Spark's trees
+on the counts as weights: the passes over all rows do not depend on the number
+of grid points, trees and levels.
 
 * Bins are learnt per fold on its training rows, from quantiles of all of them.
 * Bootstrap: a row is drawn Poisson(rate) times for each tree, so ``n`` alike
@@ -19,6 +27,8 @@ with many features there may be nearly as many, and nothing is saved.
 
 from __future__ import annotations
 
+import json
+import math
 from collections import Counter
 from contextlib import ExitStack
 from dataclasses import dataclass
@@ -31,20 +41,157 @@ from pyspark.ml.classification import RandomForestClassificationModel, RandomFor
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import partitioning
 from ..functions.partitioning import persisted
-from ..session import shared_root
+from ..session import scratch_path, shared_root
+from .trees import with_leaf_indices
 from .tune import ROWS_PER_TASK, SearchResult
 
 #: Quantiles from which the bins are chosen; rarer values may share a bin.
 QUANTILES = 2_000
 
+#: Rows of a group on average, of all groups that there can be, for grouping to pay.
+ROWS_PER_GROUP = 16
+
 #: Parameters that a grid may vary: they change neither bins nor draws.
 GRID_PARAMS = {"featureSubsetStrategy", "maxDepth", "impurity", "minInfoGain"}
 
 
+# ---- points that share their trees ---------------------------------------------------
+
+
+def features_per_node(strategy: str, n_features: int) -> int | str:
+    """Features that a node of a forest chooses from; other strategies by name."""
+    if strategy == "all":
+        return n_features
+    if strategy in ("auto", "sqrt"):
+        return math.ceil(math.sqrt(n_features))
+    if strategy == "log2":
+        return max(1, math.ceil(math.log(n_features) / math.log(2)))
+    if strategy == "onethird":
+        return math.ceil(n_features / 3)
+    return strategy
+
+
+def _fits_one_pass(forest: RandomForestClassifier, n_features: int) -> bool:
+    """Whether the nodes of the deepest level of all trees are split in one pass,
+    whose order of nodes is then that of the levels: their bins in the memory
+    that a pass is given (three numbers each)."""
+    nodes = forest.getNumTrees() * 2.0 ** max(0, forest.getMaxDepth() - 1)
+    return nodes * n_features * (forest.getMaxBins() * 3 * 8 + 64) < forest.getMaxMemoryInMB() * 2**20
+
+
+def alike_points(forest: RandomForestClassifier, grid: list[dict], n_features: int) -> list[list[int]]:
+    """The points of ``grid`` in groups that differ in depth only, the deepest
+    point of a group first."""
+    groups: dict[tuple, list[int]] = {}
+    for k, point in enumerate(grid):
+        own = forest.copy(point)
+        other = sorted((p.name, repr(v)) for p, v in point.items() if p.name not in ("maxDepth", "featureSubsetStrategy"))
+        key = (features_per_node(own.getFeatureSubsetStrategy(), n_features) if own.getNumTrees() > 1
+               else own.getFeatureSubsetStrategy(), *other, *(() if _fits_one_pass(own, n_features) else (k,)))
+        groups.setdefault(key, []).append(k)
+    return [sorted(g, key=lambda k: -forest.copy(grid[k]).getMaxDepth()) for g in groups.values()]
+
+
+def saved_nodes(spark: SparkSession, root: str) -> list[dict[int, tuple]]:
+    """Per tree of the models saved as ``<root>/model=0``, ``model=1``.., in
+    order, ``{node: (prediction, stats, left, right)}``; node 0 is the root, a
+    leaf has children below 0.  Model state: it grows with depth and trees, not
+    with rows."""
+    node = F.col("nodeData")
+    rows = spark.read.option("basePath", root).parquet(f"{root}/model=*/data").select(
+        "model", "treeID", node["id"], node["prediction"], node["impurityStats"], node["leftChild"], node["rightChild"]).collect()
+    found: dict[tuple, dict[int, tuple]] = {}
+    for model, tree, number, *values in rows:
+        found.setdefault((int(model), tree), {})[number] = tuple(values)
+    return [found[key] for key in sorted(found)]
+
+
+def cut_shares(nodes: dict[int, tuple], depth: int) -> list[float]:
+    """For each leaf of a tree, from left to right, the share of class 1 where
+    its rows end in the tree cut at ``depth``.  As in Spark, two leaves of the
+    same prediction with one parent are one leaf."""
+    def walk(number: int, level: int) -> tuple[list[float], bool]:
+        prediction, stats, left, right = nodes[number]
+        share = stats[1] / sum(stats) if sum(stats) else 0.0
+        if left < 0:
+            return [share], True
+        (a, a_ends), (b, b_ends) = walk(left, level + 1), walk(right, level + 1)
+        one = level >= depth or a_ends and b_ends and nodes[left][0] == nodes[right][0]
+        return ([share] * (len(a) + len(b)), True) if one else (a + b, False)
+
+    return walk(0, 0)[0]
+
+
+def _scored_at(df: DataFrame, leaves: list, nodes: list[dict[int, tuple]], depths: list[int], keep: list[str]) -> DataFrame:
+    """``keep`` and a column ``score_<depth>`` for each depth: the sum of the
+    trees' shares of class 1, ``leaves`` being the columns of the leaf indices."""
+    def score(depth):
+        shares = (F.from_json(F.lit(json.dumps(cut_shares(tree, depth))), "array<double>") for tree in nodes)  # a constant
+        return sum((F.get(held, leaf.cast("int")) for held, leaf in zip(shares, leaves)), F.lit(0.0))
+
+    return df.select(*keep, *(score(d).alias(f"score_{d}") for d in dict.fromkeys(depths)))
+
+
+def _areas(scored: DataFrame, evaluator: BinaryClassificationEvaluator, depths: list[int]) -> list[float]:
+    with persisted(scored) as rows:
+        found = {d: float(evaluator.evaluate(rows, {evaluator.rawPredictionCol: f"score_{d}"})) for d in dict.fromkeys(depths)}
+    return [found[d] for d in depths]
+
+
+def _gathered(grid: list[dict], groups: list[list[int]], found: list[list[float]], num_folds: int) -> list[list[float]]:
+    """Per point the areas of every fold, from those per group and fold."""
+    by_fold: list[list[float]] = [[] for _ in grid]
+    for g, points in enumerate(groups):
+        for at, k in enumerate(points):
+            by_fold[k] = [areas[at] for areas in found[g * num_folds:(g + 1) * num_folds]]
+    return by_fold
+
+
+def nested_search(forest: RandomForestClassifier, grid: list[dict], evaluator: BinaryClassificationEvaluator,
+                  df: DataFrame, num_folds: int, fold_col: str = "fold", parallelism: int = 4) -> SearchResult:
+    """T10. K-fold search of a binary forest over ``grid``: one fit per fold for
+    all points that differ in depth only, ``parallelism`` at once over all
+    folds.  The winner is refitted on all rows."""
+    spark, label, features = df.sparkSession, forest.getLabelCol(), forest.getFeaturesCol()
+    with persisted(df) as rows, ThreadPool(parallelism) as pool:
+        sizes = dict(rows.groupBy(fold_col).count().collect())
+        if set(sizes) - set(range(num_folds)):
+            raise ValueError(f"folds are numbered from 0 to {num_folds - 1}")
+        for fold in range(num_folds):
+            for part, n in (("training", sum(sizes.values()) - sizes.get(fold, 0)), ("validation", sizes.get(fold, 0))):
+                if not n:
+                    raise ValueError(f"The {part} data at fold {fold} is empty.")
+        groups = alike_points(forest, grid, len(rows.select(features).first()[0]))
+
+        def score(job):
+            points, fold = job
+            depths = [forest.copy(grid[k]).getMaxDepth() for k in points]
+            model = forest.fit(rows.where(F.col(fold_col) != fold), grid[points[0]])
+            routed = with_leaf_indices(rows.where(F.col(fold_col) == fold), model, "_leaves")
+            leaves = [F.get("_leaves", F.lit(k)) for k in range(model.getNumTrees)]
+            model.save(f"{(root := scratch_path(spark, 'trees'))}/model=0")
+            return _areas(_scored_at(routed, leaves, saved_nodes(spark, root), depths, [label]), evaluator, depths)
+
+        found = pool.map(inheritable_thread_target(spark)(score), [(g, fold) for g in groups for fold in range(num_folds)], chunksize=1)
+        by_fold = _gathered(grid, groups, found, num_folds)
+        result = SearchResult(grid, [sum(m) / num_folds for m in by_fold], evaluator, fold_metrics=by_fold)
+        result.best_model = forest.fit(rows, grid[result.best])
+    return result
+
+
+# ---- grouped rows --------------------------------------------------------------------
+
+
+def pays_to_group(n_rows: int, forest: RandomForestClassifier, n_features: int) -> bool:
+    """Fits on groups are many small ones, a tree each: only for rows enough."""
+    return n_rows > partitioning.SPREAD_ROWS and n_rows > ROWS_PER_GROUP * 2 * forest.getMaxBins() ** n_features
+
+
 def equal_shares(values: list[float], bins: int) -> list[float]:
     """Lower edges of all bins but the first: one bin per value if there are
     few enough, else equal shares of what is left after each bin (a frequent
@@ -138,7 +285,8 @@ def grouped_search(forest: RandomForestClassifier, grid: list[dict], evaluator:
                    df: DataFrame, cols: list[str], num_folds: int, fold_col: str = "fold",
                    parallelism: int | None = None) -> SearchResult:
     """T10. K-fold search of a binary forest over ``grid`` on rows grouped by
-    the bins of ``cols``; as many fits at once as the cluster has cores
+    the bins of ``cols``, points that differ in depth only sharing their trees;
+    as many fits at once as the cluster has cores
     (``parallelism``).  The winner is refitted on all rows."""
     _checked(forest, grid)
     spark, label = df.sparkSession, forest.getLabelCol()
@@ -171,13 +319,28 @@ def grouped_search(forest: RandomForestClassifier, grid: list[dict], evaluator:
         rows.count()
         folds = in_parallel(prepare, range(num_folds))
 
-        def score(job):
-            point, (bins, seen, unseen) = job
-            fitted = GroupedForest(bins, [_fit_tree(forest, point, seen, k) for k in range(n_trees)])
-            return float(weighted.evaluate(fitted.score_groups(unseen)))
+        def grow(job):
+            point, fold, k, root = job
+            tree = _fit_tree(forest, point, folds[fold][1], k)
+            tree.save(f"{root}/model={k}")
+            return tree
 
-        found = in_parallel(score, [(point, parts) for point in grid for parts in folds])
-        by_fold = [found[k * num_folds:(k + 1) * num_folds] for k in range(len(grid))]
+        def score(job):
+            depths, fold, trees, root = job
+            routed = folds[fold][2]
+            for k, tree in enumerate(trees):
+                routed = with_leaf_indices(routed, tree, f"leaf_{k}")
+            leaves = [F.get(f"leaf_{k}", F.lit(0)) for k in range(n_trees)]
+            return _areas(_scored_at(routed, leaves, saved_nodes(spark, root), depths, [label, "n"]), weighted, depths)
+
+        groups, areas = alike_points(forest, grid, len(cols)), []
+        for points in groups:
+            roots = [scratch_path(spark, "trees") for _ in range(num_folds)]
+            grown = in_parallel(grow, [(grid[points[0]], fold, k, roots[fold]) for fold in range(num_folds) for k in range(n_trees)])
+            depths = [forest.copy(grid[k]).getMaxDepth() for k in points]
+            areas += in_parallel(score, [(depths, fold, grown[fold * n_trees:(fold + 1) * n_trees], roots[fold])
+                                         for fold in range(num_folds)])
+        by_fold = _gathered(grid, groups, areas, num_folds)
         result = SearchResult(grid, [sum(m) / num_folds for m in by_fold], evaluator, fold_metrics=by_fold)
         bins, every, _ = prepare(None)
         result.best_model = GroupedForest(bins, in_parallel(lambda k: _fit_tree(forest, grid[result.best], every, k), range(n_trees)))

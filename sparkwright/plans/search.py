@@ -17,7 +17,6 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvalu
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ..functions import partitioning
 from ..functions.partitioning import persisted
 from ..operators import certify, evaluate, features, forests, models, tune
 from ..sources import views
@@ -86,16 +85,17 @@ def t8_grid_linear(spark, sf_dir):
 
 def t10_grid_forest(spark, sf_dir):
     """Forest, featureSubsetStrategy x maxDepth (12 points) x 5 folds, exact
-    AUC.  Large tables are grouped first (``forests.grouped_search``)."""
+    AUC; points that differ in depth only share their trees.  Large tables are
+    grouped first (``forests.grouped_search``)."""
     train, _ = split(spark, sf_dir)
     train = with_folds(train, 5)
     forest = models.random_forest()
     grid, evaluator = tune.forest_grid(forest), BinaryClassificationEvaluator(numBins=0)
-    if views.table(spark, sf_dir, "events").count() > partitioning.SPREAD_ROWS:
+    if forests.pays_to_group(views.table(spark, sf_dir, "events").count(), forest, len(CLASS_FEATURES)):
         found = forests.grouped_search(forest, grid, evaluator, train, CLASS_FEATURES, 5)
     else:
         train = features.assemble(train, CLASS_FEATURES).select("features", "label", "fold")
-        found = tune.cross_validate(forest, grid, evaluator, train, 5, "fold", PARALLELISM)
+        found = forests.nested_search(forest, grid, evaluator, train, 5, "fold", PARALLELISM)
     return tune.search_table(spark, found).withColumn("metric", r("metric"))
 
 

@@ -96,3 +96,46 @@ def test_fits_of_a_large_search_do_not_read_all_rows(spark, monkeypatch):
     table = search.t10_grid_forest(spark, SF_SMALL).collect()
     assert len(table) == 1 and 0.5 < table[0].metric <= 1
     assert len(sizes) == 6 * 2 and max(sizes) <= 2 * 3 ** 3
+
+
+def test_points_that_differ_in_depth_share_a_fit(spark, monkeypatch):
+    """Every point was fitted for itself before: 13 fits of 2 folds and 6 points."""
+    df = VectorAssembler(inputCols=COLS, outputCol="features").transform(_rows(spark)).selectExpr(
+        "features", "label", "cast(id % 2 as int) fold").repartition(3)
+    forest, evaluator = _forest(), BinaryClassificationEvaluator(numBins=0)
+    grid = [{forest.featureSubsetStrategy: s, forest.maxDepth: d} for s in ("all", "sqrt") for d in (1, 7, 3)]
+    assert forests.alike_points(forest, grid, 2) == [[1, 4, 2, 5, 0, 3]]
+    assert forests.alike_points(forest, grid, 5) == [[1, 2, 0], [4, 5, 3]]
+    plain = tune.cross_validate(forest, grid, evaluator, df, 2)
+    fits, fit = [], RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, *a: fits.append(1) or fit(self, *a))
+    found = forests.nested_search(forest, grid, evaluator, df, 2)
+    assert len(fits) == 3
+    assert all(abs(a - b) < 1e-12 for a, b in zip(found.metrics, plain.avgMetrics))
+    assert found.best_model.toDebugString == plain.bestModel.toDebugString
+
+
+def test_cut_trees_merge_leaves_of_one_prediction():
+    nodes = {0: (0.0, [10.0, 6.0], 1, 2), 1: (0.0, [7.0, 1.0], -1, -1), 2: (1.0, [3.0, 5.0], 3, 4), 3: (1.0, [0.0, 2.0], -1, -1),
+             4: (0.0, [3.0, 3.0], 5, 6), 5: (0.0, [3.0, 1.0], -1, -1), 6: (1.0, [0.0, 2.0], -1, -1)}
+    assert forests.cut_shares(nodes, 3) == [1 / 8, 1.0, 1 / 4, 1.0]
+    assert forests.cut_shares(nodes, 2) == [1 / 8, 1.0, 1 / 2, 1 / 2]
+    assert forests.cut_shares(nodes, 1) == [1 / 8, 5 / 8, 5 / 8, 5 / 8]
+    nodes[2] = (0.0, [5.0, 3.0], 3, 4)  # at depth 1 both sides say 0: one leaf
+    assert forests.cut_shares(nodes, 1) == [6 / 16] * 4
+
+
+def test_nested_search_wants_rows_in_every_fold(spark):
+    df = VectorAssembler(inputCols=COLS, outputCol="features").transform(_rows(spark, 60)).select("features", "label", "fold")
+    for rows, folds, said in ((df, 4, "validation data at fold 3 is empty"), (df.where("fold = 1"), 2, "validation data at fold 0"),
+                              (df, 2, "from 0 to 1")):
+        with pytest.raises(ValueError, match=said):
+            forests.nested_search(_forest(), [{}], BinaryClassificationEvaluator(), rows, folds)
+
+
+def test_middling_tables_are_not_grouped():
+    """600,000 events were fitted as 1,220 single trees before."""
+    forest = RandomForestClassifier()
+    assert not forests.pays_to_group(600_000, forest, 3)
+    assert forests.pays_to_group(6_000_000, forest, 3)
+    assert not forests.pays_to_group(6_000_000, forest, 4)
