@@ -27,7 +27,6 @@ with many features there may be nearly as many, and nothing is saved.
 
 from __future__ import annotations
 
-import json
 import math
 from collections import Counter
 from contextlib import ExitStack
@@ -97,20 +96,6 @@ def alike_points(forest: RandomForestClassifier, grid: list[dict], n_features: i
     return [sorted(g, key=lambda k: -forest.copy(grid[k]).getMaxDepth()) for g in groups.values()]
 
 
-def saved_nodes(spark: SparkSession, root: str) -> list[dict[int, tuple]]:
-    """Per tree of the models saved as ``<root>/model=0``, ``model=1``.., in
-    order, ``{node: (prediction, stats, left, right)}``; node 0 is the root, a
-    leaf has children below 0.  Model state: it grows with depth and trees, not
-    with rows."""
-    node = F.col("nodeData")
-    rows = spark.read.option("basePath", root).parquet(f"{root}/model=*/data").select(
-        "model", "treeID", node["id"], node["prediction"], node["impurityStats"], node["leftChild"], node["rightChild"]).collect()
-    found: dict[tuple, dict[int, tuple]] = {}
-    for model, tree, number, *values in rows:
-        found.setdefault((int(model), tree), {})[number] = tuple(values)
-    return [found[key] for key in sorted(found)]
-
-
 def cut_shares(nodes: dict[int, tuple], depth: int) -> list[float]:
     """For each leaf of a tree, from left to right, the share of class 1 where
     its rows end in the tree cut at ``depth``.  As in Spark, two leaves of the
@@ -127,28 +112,55 @@ def cut_shares(nodes: dict[int, tuple], depth: int) -> list[float]:
     return walk(0, 0)[0]
 
 
-def _scored_at(df: DataFrame, leaves: list, nodes: list[dict[int, tuple]], depths: list[int], keep: list[str]) -> DataFrame:
+def saved_shares(spark: SparkSession, root: str, depths: list[int]) -> list[np.ndarray]:
+    """Per tree of the models saved as ``<root>/model=0``, ``model=1``.., in
+    order, the ``cut_shares`` of its leaves, a column per depth.  The nodes of a
+    tree are read in a task; the driver gets a number per leaf and depth."""
+    def cut(nodes: pd.DataFrame) -> pd.DataFrame:
+        of = {n[0]: n[1:] for n in nodes[["id", "prediction", "stats", "left", "right"]].itertuples(index=False, name=None)}
+        shares = np.array([cut_shares(of, depth) for depth in depths]).T
+        return pd.DataFrame({"model": [nodes["model"].iloc[0]], "tree": [nodes["tree"].iloc[0]], "shares": [shares.ravel()]})
+
+    node = F.col("nodeData")
+    saved = spark.read.option("basePath", root).parquet(f"{root}/model=*/data").select(
+        F.col("model").cast("int").alias("model"), F.col("treeID").cast("int").alias("tree"), node["id"].alias("id"),
+        node["prediction"].alias("prediction"), node["impurityStats"].alias("stats"), node["leftChild"].alias("left"),
+        node["rightChild"].alias("right"))
+    found = saved.groupBy("model", "tree").applyInPandas(cut, "model int, tree int, shares array<double>").collect()
+    return [np.array(r.shares).reshape(-1, len(depths)) for r in sorted(found, key=lambda r: (r.model, r.tree))]
+
+
+def _scored_at(df: DataFrame, leaves, shares: list[np.ndarray], depths: list[int], keep: list[str]) -> DataFrame:
     """``keep`` and a column ``score_<depth>`` for each depth: the sum of the
-    trees' shares of class 1, ``leaves`` being the columns of the leaf indices."""
-    def score(depth):
-        shares = (F.from_json(F.lit(json.dumps(cut_shares(tree, depth))), "array<double>") for tree in nodes)  # a constant
-        return sum((F.get(held, leaf.cast("int")) for held, leaf in zip(shares, leaves)), F.lit(0.0))
+    trees' shares of class 1, ``leaves`` being the array of the leaf indices."""
+    @F.pandas_udf("array<double>")
+    def score(at: pd.Series) -> pd.Series:
+        ends = np.array(at.tolist(), dtype=float).astype(int).reshape(-1, len(shares))
+        total = np.zeros((len(ends), len(depths)))
+        for k, held in enumerate(shares):
+            total += held[ends[:, k]]
+        return pd.Series(list(total))
 
-    return df.select(*keep, *(score(d).alias(f"score_{d}") for d in dict.fromkeys(depths)))
+    scored = df.select(*keep, score(leaves).alias("_scores"))
+    return scored.select(*keep, *(F.get("_scores", F.lit(k)).alias(f"score_{d}") for k, d in enumerate(depths)))
 
 
-def _areas(scored: DataFrame, evaluator: BinaryClassificationEvaluator, depths: list[int]) -> list[float]:
+def _areas(scored: DataFrame, evaluator: BinaryClassificationEvaluator, depths: list[int]) -> dict[int, float]:
     with persisted(scored) as rows:
-        found = {d: float(evaluator.evaluate(rows, {evaluator.rawPredictionCol: f"score_{d}"})) for d in dict.fromkeys(depths)}
-    return [found[d] for d in depths]
+        return {d: float(evaluator.evaluate(rows, {evaluator.rawPredictionCol: f"score_{d}"})) for d in depths}
+
+
+def _depths(forest: RandomForestClassifier, grid: list[dict], points: list[int]) -> list[int]:
+    return sorted({forest.copy(grid[k]).getMaxDepth() for k in points})
 
 
-def _gathered(grid: list[dict], groups: list[list[int]], found: list[list[float]], num_folds: int) -> list[list[float]]:
-    """Per point the areas of every fold, from those per group and fold."""
+def _gathered(forest: RandomForestClassifier, grid: list[dict], groups: list[list[int]], found: list[dict[int, float]],
+              num_folds: int) -> list[list[float]]:
+    """Per point the areas of every fold, from those per group, fold and depth."""
     by_fold: list[list[float]] = [[] for _ in grid]
     for g, points in enumerate(groups):
-        for at, k in enumerate(points):
-            by_fold[k] = [areas[at] for areas in found[g * num_folds:(g + 1) * num_folds]]
+        for k in points:
+            by_fold[k] = [areas[forest.copy(grid[k]).getMaxDepth()] for areas in found[g * num_folds:(g + 1) * num_folds]]
     return by_fold
 
 
@@ -170,15 +182,14 @@ def nested_search(forest: RandomForestClassifier, grid: list[dict], evaluator: B
 
         def score(job):
             points, fold = job
-            depths = [forest.copy(grid[k]).getMaxDepth() for k in points]
+            depths = _depths(forest, grid, points)
             model = forest.fit(rows.where(F.col(fold_col) != fold), grid[points[0]])
             routed = with_leaf_indices(rows.where(F.col(fold_col) == fold), model, "_leaves")
-            leaves = [F.get("_leaves", F.lit(k)) for k in range(model.getNumTrees)]
             model.save(f"{(root := scratch_path(spark, 'trees'))}/model=0")
-            return _areas(_scored_at(routed, leaves, saved_nodes(spark, root), depths, [label]), evaluator, depths)
+            return _areas(_scored_at(routed, F.col("_leaves"), saved_shares(spark, root, depths), depths, [label]), evaluator, depths)
 
         found = pool.map(inheritable_thread_target(spark)(score), [(g, fold) for g in groups for fold in range(num_folds)], chunksize=1)
-        by_fold = _gathered(grid, groups, found, num_folds)
+        by_fold = _gathered(forest, grid, groups, found, num_folds)
         result = SearchResult(grid, [sum(m) / num_folds for m in by_fold], evaluator, fold_metrics=by_fold)
         result.best_model = forest.fit(rows, grid[result.best])
     return result
@@ -330,17 +341,17 @@ def grouped_search(forest: RandomForestClassifier, grid: list[dict], evaluator:
             routed = folds[fold][2]
             for k, tree in enumerate(trees):
                 routed = with_leaf_indices(routed, tree, f"leaf_{k}")
-            leaves = [F.get(f"leaf_{k}", F.lit(0)) for k in range(n_trees)]
-            return _areas(_scored_at(routed, leaves, saved_nodes(spark, root), depths, [label, "n"]), weighted, depths)
+            leaves = F.concat(*(f"leaf_{k}" for k in range(n_trees)))
+            return _areas(_scored_at(routed, leaves, saved_shares(spark, root, depths), depths, [label, "n"]), weighted, depths)
 
         groups, areas = alike_points(forest, grid, len(cols)), []
         for points in groups:
             roots = [scratch_path(spark, "trees") for _ in range(num_folds)]
             grown = in_parallel(grow, [(grid[points[0]], fold, k, roots[fold]) for fold in range(num_folds) for k in range(n_trees)])
-            depths = [forest.copy(grid[k]).getMaxDepth() for k in points]
+            depths = _depths(forest, grid, points)
             areas += in_parallel(score, [(depths, fold, grown[fold * n_trees:(fold + 1) * n_trees], roots[fold])
                                          for fold in range(num_folds)])
-        by_fold = _gathered(grid, groups, areas, num_folds)
+        by_fold = _gathered(forest, grid, groups, areas, num_folds)
         result = SearchResult(grid, [sum(m) / num_folds for m in by_fold], evaluator, fold_metrics=by_fold)
         bins, every, _ = prepare(None)
         result.best_model = GroupedForest(bins, in_parallel(lambda k: _fit_tree(forest, grid[result.best], every, k), range(n_trees)))
